@@ -3,23 +3,56 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from corvid.session import table
 
-from . import bytebpe, fertility, packing, tiff
+from . import bytebpe, fertility, hierbayes, jaccard, langid, linededup, ngramlm, packing, suffixdedup, tiff
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PATTERN = public_tokenizers.PATTERN
 
 
 def op1_packing(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, PATTERN)
+
+
+def op2_langid(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"), PIECES)
 
 
 def op3_fertility(spark, sf_dir):
-    judged = fertility.rules(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    judged = fertility.rules(table(spark, sf_dir, "documents"), PIECES, RANKS, PATTERN)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_tokens", *fertility.MEASURES)
 
 
+def op4_line_dedup(spark, sf_dir):
+    return linededup.dedup(table(spark, sf_dir, "documents"))
+
+
+def op5_lm_scoring(spark, sf_dir):
+    return ngramlm.score(table(spark, sf_dir, "documents"))
+
+
+def op6_jaccard(spark, sf_dir):
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark, sf_dir):
+    """Host: the source; path: the source's documents of one language. kept: good quality and not toxic."""
+    docs = table(spark, sf_dir, "documents")
+    found = hierbayes.classify(docs, table(spark, sf_dir, "labels"), docs["source"], F.concat_ws("/", docs["source"], docs["lang"]), ["quality", "toxic"])
+    return found.select("doc_id", "quality", "toxic", "quality_doc", "quality_host", "quality_path", "toxic_doc", "toxic_host", "toxic_path", (F.col("toxic") >= 0.5).alias("is_toxic"), ((F.col("quality") >= 0.5) & (F.col("toxic") < 0.5)).alias("kept"))
+
+
+def op8_suffix_dedup(spark, sf_dir):
+    return suffixdedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark, sf_dir):
-    return bytebpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bytebpe.digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
 def op10_tiff(spark, sf_dir):
@@ -27,8 +60,24 @@ def op10_tiff(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_packing, op3_fertility, op9_byte_bpe, op10_tiff)}
+    return {f.__name__: f for f in (op1_packing, op2_langid, op3_fertility, op4_line_dedup, op5_lm_scoring, op6_jaccard, op7_quality, op8_suffix_dedup, op9_byte_bpe, op10_tiff)}
+
+
+#: A document's eligible keys, and those of five documents or more.
+_OP4 = r"""
+WITH lines AS (
+  SELECT doc_id, line, pos,
+         lower(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')) AS any_case,
+         translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents)),
+heavy AS (
+  SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+SELECT l.doc_id, count(*) AS n_lines, count(*) FILTER (WHERE h.key IS NOT NULL AND h.keeper <> l.doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(CASE WHEN h.key IS NOT NULL AND h.keeper <> l.doc_id THEN NULL ELSE line END, chr(10) ORDER BY pos), '')) AS kept_sha256
+FROM lines l LEFT JOIN heavy h ON l.key = h.key
+GROUP BY l.doc_id
+"""
 
 
 def oracle_sql():
-    return {}
+    return {"op4_line_dedup": _OP4}
