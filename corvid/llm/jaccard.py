@@ -37,13 +37,16 @@ from .exchange import by_part, components, deal, parts, repeated
 
 SHINGLE = 5
 NUM, DEN = 3, 4  # links need NUM / DEN = 0.75
-GROUPS = 64
+GROUPS = 256
 #: Shingles that the order puts last: at most so many (a broadcast of 8 bytes each), each held
 #: by over COMMON documents. Any such set is exact; it only shapes the cells.
 MOST_COMMON, COMMON = 100_000, 50
 LEAF = 32
 #: Members of a cell that one task compares; larger cells are dealt as pairs of blocks.
 BLOCK = 4096
+CHUNK = 30_000
+#: Ids that are sent to all tasks rather than the texts to them (16 MB).
+FEW_IDS = 1_000_000
 
 _hashes: dict[bytes, int] = {}
 
@@ -77,8 +80,16 @@ def prefix_size(n: int) -> int:
 
 
 def point(shingles: np.ndarray) -> bytes:
-    """Group counts, as 32-bit numbers."""
-    return np.bincount((shingles & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<u4").tobytes()
+    """Group counts as bytes; what a count has beyond 255 is the point's excess, its size less its counts."""
+    return np.minimum(np.bincount((shingles & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS), 255).astype(np.uint8).tobytes()
+
+
+def points_of(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, GROUPS)
+
+
+def excess_of(n: np.ndarray, points: np.ndarray) -> np.ndarray:
+    return n - points.sum(axis=1, dtype=np.int64)
 
 
 def enough(overlap, a, b):
@@ -180,62 +191,111 @@ def directory(docs: DataFrame, common: np.ndarray, n_parts: int) -> DataFrame:
     return by_part(rows, n_parts).mapInArrow(meet, "cell long, doc_id long")
 
 
-def overlap_bound(one: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """Sum of coordinate minima of a point (or corner) with each of many."""
-    return np.minimum(one, many).sum(axis=1, dtype=np.int64)
+def overlap_bound(one: np.ndarray, many: np.ndarray, excess_one, excess_many) -> np.ndarray:
+    """Sum of coordinate minima of a point (or corner) with each of many, counts beyond 255 included."""
+    return np.minimum(one, many).sum(axis=1, dtype=np.int64) + np.minimum(excess_one, excess_many)
 
 
 class RTree:
-    """Points packed by size and then by their heaviest coordinates; leaves of LEAF, one level of boxes above."""
+    """Points packed by size and then by their heaviest group, in leaves of LEAF with their boxes."""
 
     def __init__(self, n: np.ndarray, points: np.ndarray):
         self.order = np.lexsort((points.argmax(axis=1), n))
         self.n, self.points = n[self.order], points[self.order]
-        starts = np.arange(0, len(n), LEAF)
-        self.starts, self.ends = starts, np.append(starts[1:], len(n))
-        self.high = np.maximum.reduceat(self.points, starts, axis=0)
-        self.low_n, self.high_n = self.n[starts], self.n[self.ends - 1]
-
-    def reach(self, n: int, p: np.ndarray) -> np.ndarray:
-        """Positions (in the input's order) that the bounds leave as partners of a point."""
-        size = np.minimum(n, self.high_n)
-        box = np.minimum(overlap_bound(p, self.high), size)
-        # sizes that link differ by 4 / 3 at most; the least partner size asks for the least overlap
-        ok = enough(box, n, np.maximum(self.low_n, -(-NUM * n // DEN))) & (DEN * self.high_n >= NUM * n) & (NUM * self.low_n <= DEN * n)
-        if not ok.any():
-            return np.empty(0, np.int64)
-        at = np.concatenate([np.arange(a, b) for a, b in zip(self.starts[ok], self.ends[ok], strict=True)])
-        good = enough(overlap_bound(p, self.points[at]), n, self.n[at])
-        return self.order[at[good]]
+        self.starts = np.arange(0, len(n), LEAF)
+        self.ends = np.append(self.starts[1:], len(n))
+        self.excess = excess_of(self.n, self.points)
+        self.high, self.high_excess = np.maximum.reduceat(self.points, self.starts, axis=0), np.maximum.reduceat(self.excess, self.starts)
+        self.low_n, self.high_n = self.n[self.starts], self.n[self.ends - 1]
+
+    def meet(self, other: RTree):
+        """Positions (in the inputs' order) of pairs that the bounds leave: boxes first, then points."""
+        for k in range(len(self.starts)):
+            # sizes that link differ by 4 / 3 at most, and the least sizes ask for the least overlap
+            near = np.flatnonzero((DEN * other.high_n >= NUM * self.low_n[k]) & (NUM * other.low_n <= DEN * self.high_n[k]))
+            near = near[enough(overlap_bound(self.high[k], other.high[near], self.high_excess[k], other.high_excess[near]), self.low_n[k], other.low_n[near])]
+            if not len(near):
+                continue
+            at = np.concatenate([np.arange(other.starts[m], other.ends[m]) for m in near])
+            for i in range(self.starts[k], self.ends[k]):
+                good = at[enough(overlap_bound(self.points[i], other.points[at], self.excess[i], other.excess[at]), self.n[i], other.n[at])]
+                if len(good):
+                    yield self.order[i], other.order[good]
+
+
+def small_pairs(cell: np.ndarray, rep: np.ndarray, comp: np.ndarray, n: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of many cells at once, each a single leaf; rows stand in order of their cell."""
+    out = [], []
+    excess = excess_of(n, points)
+    for step in range(1, LEAF):
+        a = np.flatnonzero(cell[step:] == cell[:-step])
+        if not len(a):
+            break
+        b = a + step
+        some = (comp[a] != comp[b]) & (DEN * np.minimum(n[a], n[b]) >= NUM * np.maximum(n[a], n[b]))
+        a, b = a[some], b[some]
+        for k in range(0, len(a), 50_000):
+            i, j = a[k : k + 50_000], b[k : k + 50_000]
+            good = enough(overlap_bound(points[i], points[j], excess[i], excess[j]), n[i], n[j])
+            out[0].append(rep[i[good]])
+            out[1].append(rep[j[good]])
+    return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in out)
 
 
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def cell_pairs(members: DataFrame) -> DataFrame:
-    """Pairs (a < b) of members (cell, block_a, block_b, side, rep, comp, n, point) of one task's group
-    that are in different components and that the tree's bounds leave."""
-
-    def pairs(table: pa.Table) -> pa.Table:
-        rep, comp, n, side = (table[c].to_numpy() for c in ("rep", "comp", "n", "side"))
-        points = np.frombuffer(b"".join(table["point"].to_pylist()), "<u4").reshape(-1, GROUPS)
-        diagonal = table["block_a"][0].as_py() == table["block_b"][0].as_py()
-        first = np.arange(len(rep)) if diagonal else np.flatnonzero(side == 0)
-        second = first if diagonal else np.flatnonzero(side == 1)
-        out: list[np.ndarray] = []
-        if len(first) and len(second):
-            tree = RTree(n[second], points[second])
-            for k in first:
-                hit = second[tree.reach(n[k], points[k])]
-                hit = hit[comp[hit] != comp[k]]
-                if diagonal:
-                    hit = hit[rep[hit] > rep[k]]
-                if len(hit):
-                    out.append(np.stack([np.minimum(rep[k], rep[hit]), np.maximum(rep[k], rep[hit])]))
-        a, b = np.concatenate(out, axis=1) if out else (np.empty(0, np.int64),) * 2
-        return pa.table({"a": a, "b": b}, _PAIR)
-
-    return members.groupBy("cell", "block_a", "block_b").applyInArrow(pairs, "a long, b long").dropDuplicates()
+def cell_pairs(members: DataFrame, n_parts: int) -> DataFrame:
+    """Pairs (a < b) of members that are in different components and that the tree's bounds leave.
+
+    Rows (cell, block_a, block_b, side, rep, comp, n, point) stream in order of their cell and
+    blocks, so a task holds one cell's two blocks, or many small cells of CHUNK rows.
+    """
+    dealt = members.repartition(n_parts, "cell", "block_a", "block_b").sortWithinPartitions("cell", "block_a", "block_b")
+
+    def solve(table: pa.Table):
+        cell, one, two, side, rep, comp, n = (table[c].to_numpy() for c in ("cell", "block_a", "block_b", "side", "rep", "comp", "n"))
+        points = points_of(table["point"])
+        cuts = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])]))
+        size = np.diff(np.append(cuts, len(cell)))
+        small = np.repeat((size <= LEAF) & (one[cuts] == two[cuts]), size)
+        found = [small_pairs(*(x[small] for x in (cell, rep, comp, n, points)))]
+        for start, m in zip(cuts[~small[cuts]].tolist(), size[~small[cuts]].tolist(), strict=True):
+            at = np.arange(start, start + m)
+            diagonal = one[start] == two[start]
+            first, second = (at, at) if diagonal else (at[side[at] == 0], at[side[at] == 1])
+            if not (len(first) and len(second)):
+                continue
+            tree = RTree(n[first], points[first])
+            for i, js in tree.meet(tree if diagonal else RTree(n[second], points[second])):
+                i, js = first[i], second[js]
+                js = js[(comp[js] != comp[i]) & ((rep[js] > rep[i]) | (not diagonal))]
+                if len(js):
+                    found.append((np.full(len(js), rep[i]), rep[js]))
+        a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        if pairs.shape[1]:
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], schema=_PAIR)
+
+    def run(batches):
+        held, rows = [], 0
+        for b in batches:
+            if b.num_rows:
+                held.append(b)
+                rows += b.num_rows
+            if rows >= CHUNK:
+                table = pa.Table.from_batches(held)
+                key = [table[c].to_numpy() for c in ("cell", "block_a", "block_b")]
+                whole = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in key]))
+                if len(whole):  # the last group may go on
+                    end = int(whole[-1]) + 1
+                    yield from solve(table.slice(0, end))
+                    held = table.slice(end).to_batches()
+                    rows = table.num_rows - end
+        if rows:
+            yield from solve(pa.Table.from_batches(held))
+
+    return dealt.mapInArrow(run, "a long, b long").dropDuplicates()
 
 
 def verify(stash: Stash, docs: DataFrame, pairs: DataFrame, name: str, salts: int = 16) -> DataFrame:
@@ -244,7 +304,9 @@ def verify(stash: Stash, docs: DataFrame, pairs: DataFrame, name: str, salts: in
     The sets of documents in pairs are made once; a pair's `a` is sent once for each salt, its
     partners stream past it, so no task holds more than one set and a batch.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).dropDuplicates()
+    ids = stash.keep(pairs.select(F.explode(F.array("a", "b")).alias("rep")).dropDuplicates(), f"{name}-ids")
+    if ids.count() <= FEW_IDS:
+        ids = F.broadcast(ids)  # else the texts are shuffled to them
     chosen = id_text(docs).join(ids, F.col("doc_id") == F.col("rep"), "left_semi")
     made = pa.schema([("rep", pa.int64()), ("shingles", pa.binary())])
 
@@ -297,7 +359,8 @@ def join(docs: DataFrame) -> DataFrame:
     often = rows.where("kind = 1").groupBy("doc_id").agg(F.sum("n").alias("n")).where(F.col("n") > COMMON).orderBy(F.desc("n"), "doc_id").limit(MOST_COMMON)
     common = np.sort(often.select("doc_id").toPandas()["doc_id"].to_numpy(np.int64).view(np.uint64))  # at most MOST_COMMON
     entries = sizes.agg(F.sum(F.col("n") / DEN + 1)).first()[0] or 0
-    cells = directory(docs, common, parts(spark, int(entries)))
+    n_parts = parts(spark, int(entries))
+    cells = directory(docs, common, n_parts)
     named = cells.join(own.select("doc_id", "rep"), "doc_id").select("cell", "rep").dropDuplicates()
     shared = named.groupBy("cell").agg(F.count("*").alias("size")).where("size > 1")
     members = stash.keep(named.join(shared.select("cell"), "cell"), "members")
@@ -312,7 +375,7 @@ def join(docs: DataFrame) -> DataFrame:
     label = components(stash, links, "first")
     # what is still apart in a cell
     labelled = members.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("cell", "rep", F.coalesce("root", "rep").alias("comp"))
-    rest = stash.keep(cell_pairs(blocked(stash.keep(labelled, "labelled"), facts)), "rest")
+    rest = stash.keep(cell_pairs(blocked(stash.keep(labelled, "labelled"), facts), n_parts), "rest")
     more = verify(stash, docs, rest, "rest")
     label = components(stash, links.unionByName(more), "last")
     out = own.join(label, F.col("rep") == F.col("node"), "left").select("doc_id", "n_shingles", F.coalesce("root", "rep", "doc_id").alias("component_id"), F.col("rep").alias("class_id"))
@@ -330,8 +393,8 @@ def bounded(pairs: DataFrame, facts: DataFrame) -> DataFrame:
         for rows in batches:
             if rows.num_rows:
                 cols = dict(zip(rows.schema.names, rows.columns, strict=True))
-                p, q = (np.frombuffer(b"".join(cols[c].to_pylist()), "<u4").reshape(-1, GROUPS) for c in ("p_a", "p_b"))
-                ok = enough(np.minimum(p, q).sum(axis=1, dtype=np.int64), cols["n_a"].to_numpy(), cols["n_b"].to_numpy())
+                p, q, n_a, n_b = points_of(cols["p_a"]), points_of(cols["p_b"]), cols["n_a"].to_numpy(), cols["n_b"].to_numpy()
+                ok = enough(overlap_bound(p, q, excess_of(n_a, p), excess_of(n_b, q)), n_a, n_b)
                 yield pa.RecordBatch.from_arrays([cols["a"], cols["b"]], schema=_PAIR).filter(pa.array(ok))
 
     return near.mapInArrow(keep, "a long, b long")

@@ -95,11 +95,16 @@ class Collection:
     """
 
     def __init__(self, folder: str):
-        self.files = os.path.join(folder, "bwt"), os.path.join(folder, "lcp")
+        self.folder, self.turn, self.files = folder, 0, ()
 
     def _write(self, *arrays: np.ndarray) -> None:
+        """New files each round; the old ones go unflushed, where rewriting them would wait for the disk."""
+        old, self.turn = self.files, self.turn + 1
+        self.files = tuple(os.path.join(self.folder, f"{kind}{self.turn}") for kind in ("bwt", "lcp"))
         for name, x in zip(self.files, arrays, strict=True):
             x.tofile(name)
+        for name in old:
+            os.remove(name)
 
     def build(self, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(order, lcp): the strings [string, column] in order, and what each shares with the one before."""
@@ -112,6 +117,8 @@ class Collection:
         shared = np.zeros(n, np.uint8)
         if n > 1:
             shared[1:] = _least(np.fromfile(self.files[1], np.uint8), newest[order][:-1] + 1, newest[order][1:])
+        for name in self.files:
+            os.remove(name)
         return order, shared
 
     def _round(self, n: int, before: np.ndarray, newest: np.ndarray) -> np.ndarray:
@@ -151,17 +158,21 @@ def earlier(group: np.ndarray, left: np.ndarray, right: np.ndarray, low: np.ndar
     """
     n, turn = len(group), np.arange(len(group))
     classes = []
-    for strings in (left, right):
-        order, shared = Collection(folder).build(strings)
-        classes.append((order, shared))
+    for strings in (left, right):  # each distinct string is inserted once
+        rows = np.ascontiguousarray(strings).view([("all", f"V{strings.shape[1]}")]).ravel()
+        _, first, of = np.unique(rows, return_index=True, return_inverse=True)
+        order, shared = Collection(folder).build(strings[first])
+        classes.append((order, shared, of))
     out = np.zeros((n, SPAN + 1), bool)
-    ids = [np.empty(n, np.int64), np.empty(n, np.int64)]
+    ids = [turn, turn]
     for x in range(SPAN + 1):
         own = (low <= x) & (x <= high)
         if not own.any():
             continue
-        for (order, shared), depth, to in zip(classes, (x, SPAN - x), ids, strict=True):
-            to[order] = np.cumsum(shared < depth)
+        for k, ((order, shared, of), depth) in enumerate(zip(classes, (x, SPAN - x), strict=True)):
+            level = np.empty(len(order), np.int64)
+            level[order] = np.cumsum(shared < depth)
+            ids[k] = level[of]
         some = turn[own]
         key = np.lexsort((some, ids[1][some], ids[0][some], group[some]))
         same = np.ones(max(0, len(key) - 1), bool)
@@ -305,9 +316,9 @@ def contexts(joined: DataFrame) -> DataFrame:
 _MARK = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
 
-def marks(found: DataFrame) -> DataFrame:
+def marks(found: DataFrame, n_parts: int) -> DataFrame:
     """(doc_id, start, end) of bytes to remove, from contexts dealt by their gram."""
-    dealt = found.repartition("gram").sortWithinPartitions("gram", "doc_id", "place")
+    dealt = found.repartition(n_parts, "gram").sortWithinPartitions("gram", "doc_id", "place")
 
     def shard(rows: list[tuple], folder: str):
         gram = np.array([r[0] for r in rows])
@@ -374,10 +385,11 @@ def removals(docs: DataFrame, stash: Stash) -> tuple[DataFrame, DataFrame]:
     base = id_text(docs).where(F.col("doc_id").isNotNull())
     copies = first_texts(base, stash)
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    places = repeated_anchors(base, parts(docs.sparkSession, 2 * size // (SPAN + 2)))
+    n_parts = parts(docs.sparkSession, 2 * size // (SPAN + 2), 500_000)
+    places = repeated_anchors(base, n_parts)
     lists = places.groupBy("doc_id").agg(F.collect_list("places").alias("lists")).join(copies, F.col("doc_id") == F.col("copy_id"), "left_anti")
     found = contexts(base.join(lists, "doc_id"))
-    ranges = marks(found).groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
+    ranges = marks(found, n_parts).groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
     return copies, stash.keep(ranges.select(F.col("doc_id").alias("range_id"), "starts", "ends"), "ranges")
 
 
