@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES: tuple[str, ...] = ()
+MODULES = ("text_queries", "retrieval_queries")
 
 _queries: dict[str, Query] = {}
 _oracles: dict[str, str] = {}
