@@ -131,9 +131,8 @@ PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 def normalize_answer(c: Column) -> Column:
     """Lower case, no ASCII punctuation, no articles, single spaces; in this order."""
-    c = F.translate(F.lower(c), PUNCTUATION, "")
-    c = F.regexp_replace(c, r"\b(a|an|the)\b", " ")
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    parts = F.split(F.translate(F.lower(c), PUNCTUATION, ""), r"\s+")
+    return F.array_join(F.filter(parts, lambda x: ~x.isin("", "a", "an", "the")), " ")
 
 
 def between(c: Column, start: str, end: str) -> Column:
@@ -174,7 +173,12 @@ NUMERIC = (("currency", r"[$€£]\s?[0-9]+(?:[.,][0-9]+)?"), ("percentage", r"[
 
 def numerics(c: Column) -> Column:
     """array<struct<kind, value>> in order of the families."""
-    return F.concat(*[F.transform(F.regexp_extract_all(c, F.lit(f"({p})"), F.lit(1)), lambda v, k=kind: F.struct(F.lit(k).alias("kind"), v.alias("value"))) for kind, p in NUMERIC])
+
+
+    def family(kind, pattern):
+        return F.transform(F.regexp_extract_all(c, F.lit(f"({pattern})"), F.lit(1)), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+
+    return F.concat(*[family(kind, pattern) for kind, pattern in NUMERIC])
 
 
 def is_numeric_query(c: Column) -> Column:

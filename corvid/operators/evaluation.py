@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvid.functions import text as tx
@@ -53,15 +53,21 @@ def sub_match(pred: Column, gold: Column) -> Column:
     return F.contains(tx.normalize_answer(pred), tx.normalize_answer(gold)).cast("int")
 
 
-def ngrams(words: Column, n: int) -> Column:
-    return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda k: F.array_join(F.slice(words, k, n), " "))).otherwise(F.array().cast("array<string>"))
+def gram_counts(frame: DataFrame, keys: list[str], text: str, n: int, name: str) -> DataFrame:
+    """(keys, g, name): counts of n-grams of tokens. Keys must tell the rows apart."""
+    t = frame.select(*keys, F.posexplode(tx.tokens(F.col(text))).alias("pos", "t"))
+    if n == 1:
+        return t.groupBy(*keys, F.col("t").alias("g")).agg(F.count("*").alias(name))
+    run = F.collect_list("t").over(Window.partitionBy(*keys).orderBy("pos").rowsBetween(0, n - 1))
+    whole = t.withColumn("run", run).where(F.size("run") == n)
+    return whole.groupBy(*keys, F.array_join("run", " ").alias("g")).agg(F.count("*").alias(name))
 
 
 def rouge_n(pairs: DataFrame, n: int) -> DataFrame:
     """(id, score): F of clipped n-gram counts, the best over golds. pairs: id, gold_id, pred, gold."""
-    count = lambda c, name: pairs.select("id", "gold_id", F.explode(ngrams(tx.tokens(F.col(c)), n)).alias("g")).groupBy("id", "gold_id", "g").agg(F.count("*").alias(name))
-    both = count("pred", "a").join(count("gold", "b"), ["id", "gold_id", "g"], "full")
-    sums = both.groupBy("id", "gold_id").agg(F.sum(F.least(F.coalesce("a", F.lit(0)), F.coalesce("b", F.lit(0)))).alias("c"), F.sum("a").alias("a"), F.sum("b").alias("b"))
+    keys = ["id", "gold_id"]
+    both = gram_counts(pairs, keys, "pred", n, "a").join(gram_counts(pairs, keys, "gold", n, "b"), [*keys, "g"], "full")
+    sums = both.groupBy(*keys).agg(F.sum(F.least(F.coalesce("a", F.lit(0)), F.coalesce("b", F.lit(0)))).alias("c"), F.sum("a").alias("a"), F.sum("b").alias("b"))
     f = F.coalesce(2.0 * F.col("c") / (F.coalesce("a", F.lit(0)) + F.coalesce("b", F.lit(0))), F.lit(0.0))
     return sums.groupBy("id").agg(F.round(F.max(f), 6).alias("score"))
 
@@ -87,8 +93,8 @@ def bleu(pairs: DataFrame, order: int = 4) -> DataFrame:
     p, g = tx.tokens(F.col("pred")), tx.tokens(F.col("gold"))
     matched = None
     for n in range(1, order + 1):
-        count = lambda c, name, n=n: pairs.select("id", F.explode(ngrams(c, n)).alias("g")).groupBy("id", "g").agg(F.count("*").alias(name))
-        own = count(p, "a").join(count(g, "b"), ["id", "g"], "left").agg(F.lit(n).alias("n"), F.sum(F.least("a", F.coalesce("b", F.lit(0)))).alias("hit"), F.sum("a").alias("all"))
+        both = gram_counts(pairs, ["id"], "pred", n, "a").join(gram_counts(pairs, ["id"], "gold", n, "b"), ["id", "g"], "left")
+        own = both.agg(F.lit(n).alias("n"), F.sum(F.least("a", F.coalesce("b", F.lit(0)))).alias("hit"), F.sum("a").alias("all"))
         matched = own if matched is None else matched.unionByName(own)
     lengths = pairs.agg(F.sum(F.size(p)).alias("c"), F.sum(F.size(g)).alias("r"))
     precision = matched.agg(F.min(F.coalesce("hit", F.lit(0))).alias("least"), F.avg(F.log(F.col("hit") / F.col("all"))).alias("mean"))

@@ -65,15 +65,18 @@ def hits(spark, d):
 
 
 def qrels(spark, d):
-    """Documents that hold a benchmark passage. Candidates come from the passage's first five
-    tokens, so texts are never compared with all passages."""
+    """Documents that hold a benchmark passage.
+
+    Candidates share the passage's longest inner word (it may begin or end inside a word of
+    the document); a passage without one meets every document under the empty key.
+    """
+    words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
     b, t = benchmark(spark, d), table(spark, d, "documents").select("doc_id", F.col("text").alias("doc"))
-    gram = lambda c: F.array_distinct(ev.ngrams(F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)), 3))
-    # a passage may begin or end inside a word of the document, so its inner grams are the key
-    inner = F.slice(gram(F.col("text")), 2, 1)
-    keyed = b.select("q_id", "text", F.explode(F.when(F.size(gram(F.col("text"))) > 3, inner).otherwise(F.array(F.lit("")))).alias("g"))
-    held = t.select("doc_id", "doc", F.explode(F.concat(gram(F.col("doc")), F.array(F.lit("")))).alias("g"))
-    return held.join(F.broadcast(keyed) if b.count() <= rt.SMALL else keyed, "g").where(F.contains("doc", F.col("text"))).select("q_id", "doc_id").dropDuplicates()
+    inner = b.withColumn("w", words(F.col("text"))).withColumn("w", F.slice("w", 2, F.greatest(F.size("w") - 2, F.lit(0))))
+    keyed = inner.select("q_id", "text", F.coalesce(F.array_max(F.transform("w", lambda x: F.struct(F.length(x), x.alias("word"))))["word"], F.lit("")).alias("g"))
+    held = t.select("doc_id", "doc", F.explode(F.array_distinct(F.concat(words(F.col("doc")), F.array(F.lit(""))))).alias("g"))
+    small = b.count() <= rt.SMALL
+    return held.join(F.broadcast(keyed) if small else keyed, "g").where(F.contains("doc", F.col("text"))).select("q_id", "doc_id").dropDuplicates()
 
 
 @register("sp2_bm25_index", f"WITH {SQL_INDEX} SELECT term, doc_id, tf, round(weight, 6) AS weight FROM idx")

@@ -115,7 +115,7 @@ def tx14(spark, d):
     return table(spark, d, "pages").select("page_id", tx.strip_html(F.col("html")).alias("out"))
 
 
-NORM = r"trim(regexp_replace(regexp_replace(regexp_replace(lower({0}), '[[:punct:]]', '', 'g'), '\b(a|an|the)\b', ' ', 'g'), '\s+', ' ', 'g'))"
+NORM = r"array_to_string(list_filter(regexp_split_to_array(regexp_replace(lower({0}), '[[:punct:]]', '', 'g'), '\s+'), lambda x: x NOT IN ('', 'a', 'an', 'the')), ' ')"
 
 
 @register("tx15_normalize_answer", f"SELECT item_id, {NORM.format('text')} AS out FROM benchmark")
