@@ -84,6 +84,20 @@ def point(shingles: np.ndarray) -> bytes:
     return np.minimum(np.bincount((shingles & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS), 255).astype(np.uint8).tobytes()
 
 
+def fine_point(shingles: np.ndarray) -> bytes:
+    """The point over as many groups as the set has shingles (a power of two): sharper for long documents."""
+    groups = max(GROUPS, 1 << int(len(shingles)).bit_length())
+    return np.minimum(np.bincount((shingles & np.uint64(groups - 1)).astype(np.int64), minlength=groups), 255).astype(np.uint8).tobytes()
+
+
+def fine_bound(p: bytes, q: bytes, n_p: int, n_q: int) -> int:
+    """Summed coordinate minima of two fine points, the finer one folded to the coarser one's groups."""
+    a, b = (np.frombuffer(x, np.uint8).astype(np.int64) for x in (p, q))
+    groups = min(len(a), len(b))
+    a, b = a.reshape(-1, groups).sum(axis=0), b.reshape(-1, groups).sum(axis=0)
+    return int(np.minimum(a, b).sum()) + min(n_p - int(a.sum()), n_q - int(b.sum()))
+
+
 def points_of(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, GROUPS)
 
@@ -99,7 +113,7 @@ def enough(overlap, a, b):
 
 def profile(docs: DataFrame, stash: Stash) -> DataFrame:
     """Rows of kind 0 (doc_id, class, n, point) and kind 1 (shingle, documents of a task that hold it in their prefix)."""
-    schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("class", pa.binary()), ("n", pa.int64()), ("point", pa.binary())])
+    schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("class", pa.binary()), ("n", pa.int64()), ("point", pa.binary()), ("fine", pa.binary())])
 
     def run(batches):
         held, seen = [], set()
@@ -110,13 +124,13 @@ def profile(docs: DataFrame, stash: Stash) -> DataFrame:
             top = top[np.argsort(-n[top].astype(np.int64), kind="stable")][:MOST_COMMON]
             held.clear()
             if len(top):
-                yield batch(schema, [1] * len(top), values[top].view(np.int64), [None] * len(top), n[top].astype(np.int64), [None] * len(top))
+                yield batch(schema, [1] * len(top), values[top].view(np.int64), [None] * len(top), n[top].astype(np.int64), [None] * len(top), [None] * len(top))
 
         size = 0
         for ids, texts in slices(batches):
             sets = shingle_sets(texts)
             classes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-            yield batch(schema, [0] * len(texts), ids, classes, list(map(len, sets)), list(map(point, sets)))
+            yield batch(schema, [0] * len(texts), ids, classes, list(map(len, sets)), list(map(point, sets)), list(map(fine_point, sets)))
             for c, s in zip(classes, sets, strict=True):
                 if c and c not in seen:
                     seen.add(c)
@@ -128,7 +142,7 @@ def profile(docs: DataFrame, stash: Stash) -> DataFrame:
                 yield from common()
         yield from common()
 
-    return stash.keep(id_text(docs).where(F.col("doc_id").isNotNull()).mapInArrow(run, "kind int, doc_id long, class binary, n long, point binary"), "profile")
+    return stash.keep(id_text(docs).where(F.col("doc_id").isNotNull()).mapInArrow(run, "kind int, doc_id long, class binary, n long, point binary, fine binary"), "profile")
 
 
 def directory(docs: DataFrame, common: np.ndarray, n_parts: int) -> DataFrame:
@@ -352,7 +366,7 @@ def join(docs: DataFrame) -> DataFrame:
     stash = Stash(spark, "jaccard")
     rows = profile(docs, stash)
     sizes = rows.where("kind = 0")
-    classes = sizes.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point"))
+    classes = sizes.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine"))
     classes = stash.keep(classes, "classes")
     own = sizes.join(classes.select("class", "rep"), "class", "left").select("doc_id", F.col("n").alias("n_shingles"), "rep").dropDuplicates(["doc_id"])
     own = stash.keep(own, "own")
@@ -366,7 +380,7 @@ def join(docs: DataFrame) -> DataFrame:
     members = stash.keep(named.join(shared.select("cell"), "cell"), "members")
     # every cell's members against its leader, the member that shares most cells
     degree = members.groupBy("rep").agg(F.count("*").alias("degree"))
-    facts = stash.keep(classes.select("rep", "n", "point").join(degree, "rep"), "facts")
+    facts = stash.keep(classes.select("rep", "n", "point", "fine").join(degree, "rep"), "facts")
     whole = members.join(degree, "rep")
     leader = whole.groupBy("cell").agg(F.max(F.struct("degree", (-F.col("rep")).alias("back"))).alias("top")).select("cell", (-F.col("top.back")).alias("a"))
     stars = members.join(leader, "cell").where(F.col("a") != F.col("rep")).select("a", F.col("rep").alias("b")).dropDuplicates()
@@ -376,7 +390,7 @@ def join(docs: DataFrame) -> DataFrame:
     # what is still apart in a cell
     labelled = members.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("cell", "rep", F.coalesce("root", "rep").alias("comp"))
     rest = stash.keep(cell_pairs(blocked(stash.keep(labelled, "labelled"), facts), n_parts), "rest")
-    more = verify(stash, docs, rest, "rest")
+    more = verify(stash, docs, stash.keep(bounded(rest, facts), "rest-near"), "rest")
     label = components(stash, links.unionByName(more), "last")
     out = own.join(label, F.col("rep") == F.col("node"), "left").select("doc_id", "n_shingles", F.coalesce("root", "rep", "doc_id").alias("component_id"), F.col("rep").alias("class_id"))
     nulls = docs.where(docs["doc_id"].isNull()).select(docs["doc_id"].cast("long").alias("doc_id"))
@@ -386,16 +400,16 @@ def join(docs: DataFrame) -> DataFrame:
 
 def bounded(pairs: DataFrame, facts: DataFrame) -> DataFrame:
     """Pairs that the summed coordinate minima leave; facts has each document's size and point."""
-    side = lambda x: facts.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("point").alias(f"p_{x}"))
+    side = lambda x: facts.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("fine").alias(f"p_{x}"))
     near = pairs.join(side("b"), "b").join(side("a"), "a").where((DEN * F.least("n_a", "n_b") >= NUM * F.greatest("n_a", "n_b")))
 
     def keep(batches):
         for rows in batches:
             if rows.num_rows:
                 cols = dict(zip(rows.schema.names, rows.columns, strict=True))
-                p, q, n_a, n_b = points_of(cols["p_a"]), points_of(cols["p_b"]), cols["n_a"].to_numpy(), cols["n_b"].to_numpy()
-                ok = enough(overlap_bound(p, q, excess_of(n_a, p), excess_of(n_b, q)), n_a, n_b)
-                yield pa.RecordBatch.from_arrays([cols["a"], cols["b"]], schema=_PAIR).filter(pa.array(ok))
+                sides = zip(*(cols[c].to_pylist() for c in ("p_a", "p_b", "n_a", "n_b")), strict=True)
+                ok = [bool(enough(fine_bound(p, q, m, n), m, n)) for p, q, m, n in sides]
+                yield pa.RecordBatch.from_arrays([cols["a"], cols["b"]], schema=_PAIR).filter(pa.array(ok, pa.bool_()))
 
     return near.mapInArrow(keep, "a long, b long")
 
