@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvid.functions import text as tx
 
@@ -72,7 +73,7 @@ def rouge_n(pairs: DataFrame, n: int) -> DataFrame:
     return sums.groupBy("id").agg(F.round(F.max(f), 6).alias("score"))
 
 
-@F.udf("double")
+@F.udf(T.DoubleType())
 def _lcs_f(a, b):
     if not a or not b:
         return 0.0
