@@ -18,6 +18,7 @@ its own. Without labels every probability is 0.5. Rows that repeat an id are sco
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 from .common import Stash, batch, slices
 
 MAX_LABELLED = 20_000
+#: Paths whose means are broadcast are fewer than this, whatever the input's size.
+MOST_HOT = 10_000
 BUCKETS = 1 << 18
 MIN_CHI2 = 16.0
 MIN_DOCS_OF_FEATURE = 8
@@ -197,9 +200,27 @@ def classify(docs: DataFrame, labels: DataFrame, host, path, targets: list[str])
     for k, t in enumerate(targets):
         keys = keys.withColumn(f"{t}_doc", 1 / (1 + F.exp(-(F.lit(model[t]["a"]) * F.col(f"e{k}") + F.lit(model[t]["b"])))))
     out = stash.keep(keys.drop(*(f"e{k}" for k in range(len(targets)))), "scored")
+    rows = [shrink(out, f"{t}_doc").withColumn("target", F.lit(t)) for t in targets]
+    named = {"global_mean": "global", "host_mean": "host", "path_mean": "path"}
+    of = [F.max(F.when(F.col("target") == t, F.col(c))).alias(f"{t}_{name}") for t in targets for c, name in named.items()]
+    means = functools.reduce(DataFrame.unionByName, rows).groupBy(F.col("host").alias("h_"), F.col("path").alias("p_")).agg(F.max("n").alias("n_"), *of)
+    out = beside(out, stash.keep(means, "means"))
     for t in targets:
-        means = shrink(out, f"{t}_doc").select(F.col("host").alias("h_"), F.col("path").alias("p_"), F.col("n").alias(f"{t}_path_docs"), "global_mean", F.col("host_mean").alias(f"{t}_host"), F.col("path_mean").alias(f"{t}_path"))
-        out = out.join(means, F.col("host").eqNullSafe(F.col("h_")) & F.col("path").eqNullSafe(F.col("p_")), "left")
-        odds = logit(F.col(f"{t}_doc")) + SITE_WEIGHT * (logit(F.col(f"{t}_path")) - logit(F.col("global_mean")))
-        out = out.withColumn(t, 1 / (1 + F.exp(-odds))).drop("h_", "p_", "global_mean", f"{t}_path_docs")
+        odds = logit(F.col(f"{t}_doc")) + SITE_WEIGHT * (logit(F.col(f"{t}_path")) - logit(F.col(f"{t}_global")))
+        out = out.withColumn(t, 1 / (1 + F.exp(-odds))).drop(f"{t}_global")
     return out
+
+
+def beside(scored: DataFrame, means: DataFrame, most: int = MOST_HOT) -> DataFrame:
+    """Each document with the means of its (host, path).
+
+    Paths with over 1 / most of all documents are fewer than `most`: they are broadcast, so
+    their documents aren't shuffled; the others meet their means by a shuffle of even groups.
+    """
+    total = scored.count()
+    same = F.col("host").eqNullSafe(F.col("h_")) & F.col("path").eqNullSafe(F.col("p_"))
+    is_hot = F.col("n_") * most > total
+    hot = F.broadcast(means.where(is_hot))
+    first = scored.join(hot, same)
+    rest = scored.join(hot.select("h_", "p_"), same, "left_anti").join(means.where(~is_hot), same)
+    return first.unionByName(rest).drop("h_", "p_", "n_")

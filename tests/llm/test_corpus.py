@@ -256,6 +256,15 @@ def test_shrinkage_pulls_sparse_sites_to_the_corpus(spark):
     assert got["big/a"].path_mean >= got["tiny/a"].path_mean
 
 
+def test_means_reach_hot_and_cold_paths(spark):
+    rows = [(n, "h", "hot" if n < 10 else None if n < 12 else f"cold{n}") for n in range(15)] + [(15, None, "hot")]
+    d = spark.createDataFrame(rows, "doc_id long, host string, path string")
+    means = d.groupBy(F.col("host").alias("h_"), F.col("path").alias("p_")).agg(F.count("*").alias("n_"), F.sum("doc_id").alias("mean"))
+    for most in (1, 3, 10_000):  # no path, one and all of them hot
+        got = {r.doc_id: r.mean for r in hierbayes.beside(d, means, most).collect()}
+        assert got == {n: sum(m for m, *key in rows if key == [h, p]) for n, h, p in rows}
+
+
 def test_pipeline_stages(spark, tmp_path):
     rows = [(n, t, "en", "s", len(t or "")) for n, t, *_ in corpus(n=40)]
     d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
