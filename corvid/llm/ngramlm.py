@@ -4,7 +4,8 @@ Three relations: groups of documents with their words (a few hundred kilobytes a
 n-gram count tables partitioned by hash, and the exploded n-grams of the groups, each distinct
 one with its group's count. The n-grams meet the count tables in their hash partition, the
 counts go back to their group, and every document's score is summed there. N-grams travel as
-sorted arrays of hashes (see exchange.py), pre-aggregated for each group.
+sorted arrays of hashes (see exchange.py), pre-aggregated for each group; all arrays are written
+as compressed byte planes, hashes as their differences.
 
 score = sum over words of log S, where S = c(context word) / c(context) for the longest context
 (up to ORDER - 1 words, within the document) with c(context word) >= CUTOFF, times BACKOFF for
@@ -23,6 +24,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +36,25 @@ BACKOFF = 0.4
 CUTOFF = 2
 GROUP_BYTES = 6 << 20
 
-_GROUP = pa.schema([("group", pa.string()), ("docs", pa.list_(pa.int64())), ("sizes", pa.binary()), ("vocabulary", pa.binary()), ("words", pa.binary())])
-GROUP = "group string, docs array<long>, sizes binary, vocabulary binary, words binary"
+_GROUP = pa.schema([("group", pa.string()), ("tokens", pa.int64()), ("docs", pa.list_(pa.int64())), ("sizes", pa.binary()), ("vocabulary", pa.binary()), ("words", pa.binary())])
+GROUP = "group string, tokens long, docs array<long>, sizes binary, vocabulary binary, words binary"
+
+
+def shrink(values: np.ndarray) -> bytes:
+    """The array's byte planes, compressed: planes of high bytes that are nearly all zero cost next to nothing."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def widen(packed: bytes, kind: type) -> np.ndarray:
+    """The array that shrink() got."""
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def steps(hashes: np.ndarray) -> np.ndarray:
+    """Differences of ascending hashes; np.cumsum() restores them."""
+    return np.diff(hashes, prepend=np.uint64(0))
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -48,7 +67,12 @@ def groups(docs: DataFrame) -> DataFrame:
             vocabulary = np.array([xxhash.xxh3_64_intdigest(w) for w in at], np.uint64)
             sizes = np.fromiter(map(len, split), np.uint32, len(split))
             words = np.fromiter((at[w] for x in split for w in x), np.uint32, int(sizes.sum()))
-            yield batch(_GROUP, [uuid.uuid4().hex], [ids.to_pylist()], [sizes.tobytes()], [vocabulary.tobytes()], [words.tobytes()])
+            # frequent words first, so that most places are small numbers
+            order = np.argsort(-np.bincount(words, minlength=len(at)), kind="stable")
+            rank = np.empty(len(at), np.uint32)
+            rank[order] = np.arange(len(at), dtype=np.uint32)
+            packed = [shrink(sizes)], [vocabulary[order].tobytes()], [shrink(rank[words])]
+            yield batch(_GROUP, [uuid.uuid4().hex], [len(words)], [ids.to_pylist()], *packed)
 
     return docs.mapInArrow(run, GROUP)
 
@@ -74,7 +98,7 @@ def distinct(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _open(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(row["sizes"], np.uint32).astype(np.int64), np.frombuffer(row["vocabulary"], np.uint64), np.frombuffer(row["words"], np.uint32)
+    return widen(row["sizes"], np.uint32).astype(np.int64), np.frombuffer(row["vocabulary"], np.uint64), widen(row["words"], np.uint32)
 
 
 def count_grams(grouped: DataFrame, order: int, n_parts: int) -> DataFrame:
@@ -87,12 +111,12 @@ def count_grams(grouped: DataFrame, order: int, n_parts: int) -> DataFrame:
             for row in b.to_pylist():
                 h, n = distinct(grams(*_open(row), order))
                 for p, at in deal(h, n_parts):
-                    yield batch(sent, [p], [row["group"]], [h[at].tobytes()], [n[at].astype(np.uint32).tobytes()])
+                    yield batch(sent, [p], [row["group"]], [shrink(steps(h[at]))], [shrink(n[at].astype(np.uint32))])
 
     def table(batches):
         asks = []
         for b in batches:
-            asks += zip(b.column(0).to_pylist(), b.column(1).to_pylist(), (np.frombuffer(x, np.uint64) for x in b.column(2).to_pylist()), (np.frombuffer(x, np.uint32) for x in b.column(3).to_pylist()), strict=True)
+            asks += zip(b.column(0).to_pylist(), b.column(1).to_pylist(), (np.cumsum(widen(x, np.uint64), dtype=np.uint64) for x in b.column(2).to_pylist()), (widen(x, np.uint32) for x in b.column(3).to_pylist()), strict=True)
         if not asks:
             return
         h, n = np.concatenate([a[2] for a in asks]), np.concatenate([a[3] for a in asks])
@@ -101,7 +125,7 @@ def count_grams(grouped: DataFrame, order: int, n_parts: int) -> DataFrame:
         np.add.at(total, inverse, n)
         known, at = total[inverse], 0
         for part, group, own, _ in asks:
-            yield batch(back, [group], [part], [known[at : at + len(own)].astype(np.uint32).tobytes()])
+            yield batch(back, [group], [part], [shrink(known[at : at + len(own)].astype(np.uint32))])
             at += len(own)
 
     rows = grouped.mapInArrow(send, "part int, group string, hashes binary, counts binary")
@@ -115,7 +139,7 @@ def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, cutoff:
     """(doc_id, n_words, log_score, mean_log_score) of every document."""
     stash = Stash(docs.sparkSession, "ngrams")
     grouped = stash.keep(groups(id_text(docs)), "groups")
-    tokens = int(grouped.agg(F.sum(F.octet_length("words"))).first()[0] or 0) // 4
+    tokens = int(grouped.agg(F.sum("tokens")).first()[0] or 0)
     n_parts = parts(docs.sparkSession, order * tokens)
     answers = count_grams(grouped, order, n_parts).groupBy("group").agg(F.collect_list(F.struct("part", "counts")).alias("answers"))
     joined = grouped.join(answers, "group", "left").select("docs", "sizes", "vocabulary", "words", "answers")
@@ -128,7 +152,7 @@ def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, cutoff:
                 found = grams(sizes, vocabulary, words, order)
                 h, _ = distinct(found)
                 count = np.zeros(len(h), np.int64)
-                replies = {a["part"]: np.frombuffer(a["counts"], np.uint32) for a in row["answers"] or ()}
+                replies = {a["part"]: widen(a["counts"], np.uint32) for a in row["answers"] or ()}
                 for p, at in deal(h, n_parts):
                     count[at] = replies[p]
                 c = [np.where(x != 0, count[np.minimum(np.searchsorted(h, x), len(h) - 1)], 0) if len(h) else x for x in found]
