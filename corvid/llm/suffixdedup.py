@@ -386,8 +386,10 @@ def removals(docs: DataFrame, stash: Stash) -> tuple[DataFrame, DataFrame]:
     copies = first_texts(base, stash)
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_parts = parts(docs.sparkSession, 2 * size // (SPAN + 2), 500_000)
-    places = repeated_anchors(base, n_parts)
-    lists = places.groupBy("doc_id").agg(F.collect_list("places").alias("lists")).join(copies, F.col("doc_id") == F.col("copy_id"), "left_anti")
+    # a copy is a row without places: one aggregation gathers the lists and finds the copies, without a join below it
+    copied = copies.select(F.col("copy_id").alias("doc_id"), F.lit(None).cast("binary").alias("places"))
+    places = repeated_anchors(base, n_parts).unionByName(copied).groupBy("doc_id").agg(F.collect_list("places").alias("lists"), F.count_if(F.col("places").isNull()).alias("copied"))
+    lists = places.where("copied = 0").select("doc_id", "lists")
     found = contexts(base.join(lists, "doc_id"))
     ranges = marks(found, n_parts).groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
     return copies, stash.keep(ranges.select(F.col("doc_id").alias("range_id"), "starts", "ends"), "ranges")
