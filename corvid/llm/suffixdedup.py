@@ -198,7 +198,8 @@ def first_texts(docs: DataFrame, stash: Stash) -> DataFrame:
 def repeated_anchors(docs: DataFrame, n_parts: int) -> DataFrame:
     """(doc_id, places) with the positions (int32) of anchors whose hash occurs elsewhere too.
 
-    A task deals a text once, for its smallest doc_id there.
+    A task deals a text once, for its smallest doc_id there; rows of one document that lie in
+    different tasks meet here and count once.
     """
     sent = pa.schema([("part", pa.int32()), ("hashes", pa.binary()), ("docs", pa.binary()), ("places", pa.binary())])
     schema = pa.schema([("doc_id", pa.int64()), ("places", pa.binary())])
@@ -243,6 +244,15 @@ def repeated_anchors(docs: DataFrame, n_parts: int) -> DataFrame:
         h, owner, place = map(np.concatenate, columns)
         order = np.argsort(h, kind="stable")
         some = order[repeated(h[order])]
+        if not len(some):
+            return
+        some = some[np.lexsort((place[some], owner[some], h[some]))]
+        fresh = np.ones(len(some), bool)
+        for x in (h, owner, place):
+            fresh[1:] &= x[some[1:]] == x[some[:-1]]
+        fresh[1:] = ~fresh[1:]
+        some = some[fresh]
+        some = some[repeated(h[some])]
         if not len(some):
             return
         some = some[np.lexsort((place[some], owner[some]))]
@@ -341,6 +351,8 @@ def marks(found: DataFrame, n_parts: int) -> DataFrame:
                 if gone.num_rows:
                     yield batch(_MARK, gone.column(4), gone.column(5), gone.column(6))
                 for row in zip(*(c.to_pylist() for c in b.filter(ready).columns), strict=True):
+                    if held and (held[-1][0], *held[-1][4:6]) == (row[0], *row[4:6]):
+                        continue  # the same place of the same document, from a row in another task
                     if len(held) >= STRINGS and held[-1][0] != row[0]:
                         yield batch(_MARK, *shard(_paired(held), folder))
                         held = []
