@@ -22,10 +22,8 @@ def _sized(docs):
 
 
 def quality_rules(spark, docs, sf_dir):
-    """Documents that the base rules or the fertility bands reject go."""
-    judged = fertility.rules(docs, queries.PIECES, queries.RANKS, queries.PATTERN)
-    kept = judged.where("kept").select(F.col("doc_id").alias("kept_id")).dropDuplicates()
-    return docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi")
+    """Documents that the base rules or the fertility bands reject go; each row is judged itself, also those of null ids."""
+    return fertility.rules(docs, queries.PIECES, queries.RANKS, queries.PATTERN, keep_columns=True).where("kept").select("row.*")
 
 
 def line_dedup(spark, docs, sf_dir):

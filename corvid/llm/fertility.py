@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Stash, batch, slices
 
@@ -119,8 +120,8 @@ def repeated_words(words: np.ndarray, doc: np.ndarray, n_docs: int, window: int
     return np.bincount(doc[np.cumsum(edge[:-1]) > 0], minlength=n_docs)
 
 
-def measure(docs: DataFrame, pieces_model: str, ranks_file: str, pattern: str, lang_col: str = "lang") -> DataFrame:
-    """Counts and measures of every document."""
+def measure(docs: DataFrame, pieces_model: str, ranks_file: str, pattern: str, lang_col: str = "lang", keep_columns: bool = False) -> DataFrame:
+    """Counts and measures of every document; with keep_columns, its own columns beside them as the struct `row`."""
     schema = pa.schema(_FIELDS)
 
     def run(batches):
@@ -133,10 +134,13 @@ def measure(docs: DataFrame, pieces_model: str, ranks_file: str, pattern: str, l
             for ids, texts in slices([b]):
                 langs = b.column(2).slice(done, len(texts))
                 done += len(texts)
-                yield batch(schema, ids, langs, *_measure(lex, texts))
+                out = batch(schema, ids, langs, *_measure(lex, texts))
+                if keep_columns:
+                    out = pa.RecordBatch.from_arrays([*out.columns, b.column(3).slice(done - len(texts), len(texts))], names=[*schema.names, "row"])
+                yield out
 
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"), docs[lang_col].cast("string").alias("lang"))
-    return rows.mapInArrow(run, SCHEMA)
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"), docs[lang_col].cast("string").alias("lang"), *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if keep_columns else []))
+    return rows.mapInArrow(run, T._parse_datatype_string(SCHEMA).add(rows.schema["row"]) if keep_columns else SCHEMA)
 
 
 def _measure(lex: Lexicon, texts: list[str]) -> list:
@@ -221,7 +225,7 @@ def judge(measured: DataFrame, reach: float = REACH, least: int = LEAST) -> Data
     return judged.select(*measured.columns, "outside", "base_failed", (~F.col("base_failed") & (F.size("outside") == 0)).alias("kept"))
 
 
-def rules(docs: DataFrame, pieces_model: str, ranks_file: str, pattern: str, reach: float = REACH) -> DataFrame:
-    """Measures, bands and verdicts of documents (doc_id, text, lang)."""
+def rules(docs: DataFrame, pieces_model: str, ranks_file: str, pattern: str, reach: float = REACH, keep_columns: bool = False) -> DataFrame:
+    """Measures, bands and verdicts of documents (doc_id, text, lang); with keep_columns, `row` as well."""
     stash = Stash(docs.sparkSession, "fertility")
-    return judge(stash.keep(measure(docs, pieces_model, ranks_file, pattern), "measures"), reach)
+    return judge(stash.keep(measure(docs, pieces_model, ranks_file, pattern, keep_columns=keep_columns), "measures"), reach)
