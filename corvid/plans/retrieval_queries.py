@@ -269,9 +269,10 @@ def ev9(spark, d):
     return sparse(spark, d, 5).join(benchmark(spark, d), "q_id").join(t, "doc_id").groupBy("q_id").agg(F.max(hit).alias("recall"), F.round(F.avg(hit), 6).alias("precision"))
 
 
-def answers(spark, d):
-    """Predictions: the best document's first 200 characters; gold: the passage."""
-    t = table(spark, d, "documents").select("doc_id", F.substring("text", 1, 200).alias("pred"))
+def answers(spark, d, whole=False):
+    """Predictions: the best document's whole text, or its first 200 characters where SQL_ANS states so; gold: the passage."""
+    text = F.col("text") if whole else F.substring("text", 1, 200)
+    t = table(spark, d, "documents").select("doc_id", text.alias("pred"))
     return sparse(spark, d, 1).join(t, "doc_id").join(benchmark(spark, d), "q_id").select(F.col("q_id").alias("id"), "pred", F.col("text").alias("gold"), F.lit(0).alias("gold_id"))
 
 
@@ -299,12 +300,12 @@ def ev11(spark, d):
 
 @register("ev11_rouge_l")
 def ev11l(spark, d):
-    return answers(spark, d).select("id", ev.rouge_l(F.col("pred"), F.col("gold")).alias("score"))
+    return answers(spark, d, whole=True).select("id", ev.rouge_l(F.col("pred"), F.col("gold")).alias("score"))
 
 
 @register("ev13_bleu")
 def ev13(spark, d):
-    return ev.bleu(answers(spark, d))
+    return ev.bleu(answers(spark, d, whole=True))
 
 
 @register("ev14_judge_parse", "SELECT * FROM (VALUES (1, 0.8), (2, NULL)) t(id, score)")
