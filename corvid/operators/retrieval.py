@@ -63,27 +63,47 @@ def dense_search(vectors: DataFrame, queries: DataFrame, k: int, metric=dot, asc
     return top_k(scored, k, item="item")
 
 
+#: Queries whose scores with one Arrow batch are held at once.
+WIDTH = 1024
+
+
 def blas_search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """The same by matrix products on Arrow batches: each batch keeps its best k, then the window."""
+    """The same by matrix products on Arrow batches: each batch keeps its best k, then the window.
+
+    The queries go out in blocks of SMALL, one pass over the vectors for each, and none is left out.
+    """
+    from itertools import islice
+
     import numpy as np
     import pandas as pd
 
-    rows = queries.orderBy("q_id").limit(SMALL).collect()  # at most SMALL vectors
-    ids, q = np.array([r.q_id for r in rows]), np.array([r.q for r in rows], float)
-
-    def run(frames):
-        for f in frames:
-            if not len(f) or not len(ids):
-                continue
-            score = np.round(np.array(f["v"].tolist(), float) @ q.T, 6)
-            item = f["item"].to_numpy()
-            score[item[:, None] == ids[None, :]] = -np.inf
-            for n in range(len(ids)):
-                at = np.lexsort((item, -score[:, n]))[:k]
-                at = at[np.isfinite(score[at, n])]
-                yield pd.DataFrame({"q_id": ids[n], "item": item[at], "score": score[at, n]})
-
-    return top_k(vectors.select("item", "v").mapInPandas(run, "q_id long, item long, score double"), k, item="item")
+    sc = queries.sparkSession.sparkContext
+
+    def pass_of(block):
+        sent = sc.broadcast((np.array([r.q_id for r in block], np.int64), np.array([r.q for r in block], float)))
+
+        def run(frames):
+            all_ids, all_q = sent.value
+            for f in frames:
+                if not len(f):
+                    continue
+                v, item = np.array(f["v"].tolist(), float), f["item"].to_numpy()
+                for start in range(0, len(all_ids), WIDTH):
+                    ids = all_ids[start : start + WIDTH]
+                    score = np.round(v @ all_q[start : start + WIDTH].T, 6)
+                    score[item[:, None] == ids[None, :]] = -np.inf
+                    for n in range(len(ids)):
+                        at = np.lexsort((item, -score[:, n]))[:k]
+                        at = at[np.isfinite(score[at, n])]
+                        yield pd.DataFrame({"q_id": ids[n], "item": item[at], "score": score[at, n]})
+
+        return vectors.select("item", "v").mapInPandas(run, "q_id long, item long, score double")
+
+    rows = queries.select("q_id", "q").orderBy("q_id").toLocalIterator()
+    found = vectors.sparkSession.createDataFrame([], "q_id long, item long, score double")
+    while block := list(islice(rows, SMALL)):  # at most SMALL vectors
+        found = found.unionByName(pass_of(block))
+    return top_k(found, k, item="item")
 
 
 def rrf(hits: DataFrame, k: int, constant: int = 60) -> DataFrame:
