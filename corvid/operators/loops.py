@@ -7,19 +7,18 @@ a lost executor costs one round.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvid.session import shared_dir
+
 from .retrieval import sparse_search
 
 
 def settled(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + os.path.join(tempfile.gettempdir(), f"corvid-loops-{os.getpid()}"))
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,3 +31,21 @@ def local_session(cpus: int | None = None, memory: str = "12g", partitions: int
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or the one set on the context.
+
+    Where neither is set, a session of one machine uses that machine's temporary folder, and a
+    cluster a folder of its warehouse; a cluster never gets a folder of one machine.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found
+    context = spark.sparkContext
+    held = context._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get()
+    if context.master.split("[")[0] == "local":
+        return "file://" + os.path.join(tempfile.gettempdir(), f"corvid-{os.getpid()}")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/corvid-scratch"

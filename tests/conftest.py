@@ -7,6 +7,6 @@ from corvid.session import local_session
 def spark(tmp_path_factory):
     s = local_session(4, "4g", 4)
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
+        s.sparkContext.setCheckpointDir(f"file://{tmp_path_factory.mktemp('shared')}")
     s.sparkContext.setLogLevel("ERROR")
     return s
