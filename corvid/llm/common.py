@@ -1,18 +1,19 @@
 """What the operators share: batches of bounded size, written intermediate tables, word units.
 
 Conventions that hold for every operator here:
-- input frames are reduced to the id and text columns first, so further columns and
-  clashing names never matter;
+- input frames are reduced to the id and text columns first; operators that return the input's
+  columns name their own so that none clashes (fresh()); so further columns never matter;
+- an empty table gives an empty result with the same columns;
+- texts of any length: workers take them in slices of SLICE_BYTES, or one text at a time;
 - a null text is an empty text;
 - rows with a null id take no part in anything that compares documents;
-- rows that repeat an id are one document for counts, and every row gets its result.
+- rows that repeat an id and its text are one document for counts, and every row gets its
+  result; where an operator differs (op2's training and op5 count every row), it says so.
 """
 
 from __future__ import annotations
 
 import atexit
-import os
-import tempfile
 import uuid
 
 import numpy as np
@@ -21,21 +22,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvid.session import shared_dir
+
 #: Text bytes that one step of a Python worker holds as Python objects.
 SLICE_BYTES = 2 << 20
 
 _made: list[tuple[SparkSession, str]] = []
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; only where none is set (tests), one of this machine."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + os.path.join(tempfile.gettempdir(), f"corvid-{os.getpid()}")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
 class Stash:
     """Written tables of one operator call; each survives the loss of executors."""
 
@@ -79,12 +73,35 @@ def slices(batches, max_bytes: int = SLICE_BYTES):
         if not b.num_rows:
             continue
         size = np.cumsum(pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False))
-        start = 0
-        while start < b.num_rows:
-            before = size[start - 1] if start else 0
-            end = max(start + 1, int(np.searchsorted(size, before + max_bytes, side="right")))
+        for start, end in _cuts(size, max_bytes):
             yield b.column(0).slice(start, end - start), b.column(1).slice(start, end - start).to_pylist()
-            start = end
+
+
+def _cuts(size: np.ndarray, max_bytes: int):
+    """Ranges of rows of at most max_bytes, or of one row, given the summed sizes."""
+    start = 0
+    while start < len(size):
+        before = size[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(size, before + max_bytes, side="right")))
+        yield start, end
+        start = end
+
+
+def row_slices(batches, text: int, max_bytes: int = SLICE_BYTES):
+    """Record batches of any columns in parts whose column `text` holds at most max_bytes, or one row."""
+    for b in batches:
+        if b.num_rows:
+            size = np.cumsum(np.nan_to_num(pc.binary_length(b.column(text)).to_numpy(zero_copy_only=False).astype(float)))
+            for start, end in _cuts(size, max_bytes):
+                yield b.slice(start, end - start)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, or one like it that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:

@@ -1,8 +1,11 @@
-"""Packed exchange: sorted arrays of hashes travel as a few binary rows for each target partition.
+"""Packed exchange: sorted arrays of hashes travel as binary rows for each hash bucket.
 
 A hundred million 8-byte hashes as rows cost a hundred million row objects, sort keys and
 serialisations; as arrays dealt by hash they cost their bytes. deal() cuts arrays by the
-hash's partition; the rows (part, ...) are then repartitioned by `part`.
+hash's bucket; by_part() brings the rows (part, ...) of a bucket together, and per_part() gives
+one bucket after the other. So a task holds one bucket, of a size that does not grow with the
+input. Partitions are MOST_PARTITIONS at most, each then with many buckets, sorted with spill;
+rows never outnumber the entries, as a bucket without entries gets no row.
 """
 
 from __future__ import annotations
@@ -12,8 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Partitions of one exchange at most; beyond, a partition has several buckets.
+MOST_PARTITIONS = 20_000
+
+
 def parts(spark: SparkSession, entries: int, each: int = 1_500_000) -> int:
-    """Partitions for so many entries, at least the session's own number."""
+    """Buckets for so many entries, at least the session's own number of partitions."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), entries // each + 1)
 
 
@@ -27,7 +34,26 @@ def deal(hashes: np.ndarray, n: int):
 
 
 def by_part(rows: DataFrame, n: int) -> DataFrame:
-    return rows.repartition(n, "part")
+    """Rows in order of their bucket, those of one bucket in one partition."""
+    return rows.repartition(min(n, MOST_PARTITIONS), "part").sortWithinPartitions("part")
+
+
+def per_part(batches):
+    """(part, its record batches) for each run of rows with one value in the first column, `part`."""
+    held, at = [], None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        part = b.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            if held and part[start] != at:
+                yield at, held
+                held = []
+            at = part[start]
+            held.append(b.slice(start, end - start))
+    if held:
+        yield at, held
 
 
 def repeated(sorted_hashes: np.ndarray) -> np.ndarray:

@@ -21,7 +21,11 @@ then only members that are still in different components are paired, in tree ord
 
 Null or empty text and texts without words: no shingles, linked with nothing, their own
 component. With fewer than five words the whole sequence is the one shingle. A null id takes
-no part and gets a null component. Rows that repeat an id must repeat its text.
+no part and gets a null component. Rows that repeat an id and its text are one document, and
+each gets its result; of an id with several texts the one whose class has the smallest doc_id
+counts. Equal sets are one class, whatever the texts' order or length; a class stands for its
+smallest doc_id. A text of any length is one set in one task. An empty table gives an empty
+result; further columns are not read, and one_of_each() returns them as they are.
 """
 
 from __future__ import annotations
@@ -32,8 +36,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stash, batch, hash64, id_text, slices
-from .exchange import by_part, components, deal, parts, repeated
+from .common import Stash, batch, fresh, hash64, id_text, slices
+from .exchange import by_part, components, deal, parts, per_part, repeated
 
 SHINGLE = 5
 NUM, DEN = 3, 4  # links need NUM / DEN = 0.75
@@ -47,6 +51,8 @@ BLOCK = 4096
 CHUNK = 30_000
 #: Ids that are sent to all tasks rather than the texts to them (16 MB).
 FEW_IDS = 1_000_000
+#: Smallest cells of a member that its rows carry; a pair is left to a smaller cell that both name.
+NAMED = 4
 
 _hashes: dict[bytes, int] = {}
 
@@ -84,6 +90,16 @@ def point(shingles: np.ndarray) -> bytes:
     return np.minimum(np.bincount((shingles & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS), 255).astype(np.uint8).tobytes()
 
 
+def packed_point(shingles: np.ndarray) -> bytes:
+    """The point with two, four or eight bits a count, the fewest that hold them all."""
+    count = np.frombuffer(point(shingles), np.uint8)
+    top = int(count.max())
+    for bits in (2, 4):
+        if top < 1 << bits:
+            return np.bitwise_or.reduce(count.reshape(-1, 8 // bits) << np.arange(0, 8, bits, dtype=np.uint8), axis=1).tobytes()
+    return count.tobytes()
+
+
 def fine_point(shingles: np.ndarray) -> bytes:
     """The point over as many groups as the set has shingles (a power of two): sharper for long documents."""
     groups = max(GROUPS, 1 << int(len(shingles)).bit_length())
@@ -99,7 +115,16 @@ def fine_bound(p: bytes, q: bytes, n_p: int, n_q: int) -> int:
 
 
 def points_of(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, GROUPS)
+    """[row, group] counts of packed points."""
+    raw = column.to_pylist()
+    size = np.fromiter(map(len, raw), np.int64, len(raw))
+    out = np.empty((len(raw), GROUPS), np.uint8)
+    for width in np.unique(size).tolist():
+        at = np.flatnonzero(size == width)
+        bits = 8 * width // GROUPS
+        held = np.frombuffer(b"".join([raw[n] for n in at.tolist()]), np.uint8).reshape(len(at), width, 1)
+        out[at] = ((held >> np.arange(0, 8, bits, dtype=np.uint8)) & np.uint8((1 << bits) - 1)).reshape(len(at), GROUPS)
+    return out
 
 
 def excess_of(n: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -130,7 +155,7 @@ def profile(docs: DataFrame, stash: Stash) -> DataFrame:
         for ids, texts in slices(batches):
             sets = shingle_sets(texts)
             classes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-            yield batch(schema, [0] * len(texts), ids, classes, list(map(len, sets)), list(map(point, sets)), list(map(fine_point, sets)))
+            yield batch(schema, [0] * len(texts), ids, classes, list(map(len, sets)), list(map(packed_point, sets)), list(map(fine_point, sets)))
             for c, s in zip(classes, sets, strict=True):
                 if c and c not in seen:
                     seen.add(c)
@@ -188,12 +213,9 @@ def directory(docs: DataFrame, common: np.ndarray, n_parts: int) -> DataFrame:
             yield from flush()
 
     def meet(batches):
-        cells, owners = [], []
-        for b in batches:
-            cells += [np.frombuffer(x, np.uint64) for x in b.column(1).to_pylist()]
-            owners += [np.frombuffer(x, np.int64) for x in b.column(2).to_pylist()]
-        if cells:
-            c, o = np.concatenate(cells), np.concatenate(owners)
+        for _, rows in per_part(batches):
+            c = np.concatenate([np.frombuffer(x, np.uint64) for b in rows for x in b.column(1).to_pylist()])
+            o = np.concatenate([np.frombuffer(x, np.int64) for b in rows for x in b.column(2).to_pylist()])
             order = np.lexsort((o, c))
             c, o = c[order], o[order]
             some = np.flatnonzero(repeated(c))
@@ -237,8 +259,18 @@ class RTree:
                     yield self.order[i], other.order[good]
 
 
-def small_pairs(cell: np.ndarray, rep: np.ndarray, comp: np.ndarray, n: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of many cells at once, each a single leaf; rows stand in order of their cell."""
+def left_to_smaller(cell, named_a: np.ndarray, named_b: np.ndarray) -> np.ndarray:
+    """Whether each pair of a cell also meets in a smaller cell that both sides name (rows of `named`, 0: none)."""
+    out = np.zeros(len(named_b), bool)
+    for k in range(NAMED):
+        one = named_a[..., k, None]
+        out |= ((named_b == one) & (one != 0) & (named_b < np.asarray(cell)[..., None])).any(axis=-1)
+    return out
+
+
+def small_pairs(cell: np.ndarray, rep: np.ndarray, comp: np.ndarray, n: np.ndarray, points: np.ndarray, named: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of many cells at once, each a tree of a single leaf: there the box is all of the cell,
+    and the bound of point and point decides; rows stand in order of their cell."""
     out = [], []
     excess = excess_of(n, points)
     for step in range(1, LEAF):
@@ -250,6 +282,8 @@ def small_pairs(cell: np.ndarray, rep: np.ndarray, comp: np.ndarray, n: np.ndarr
         a, b = a[some], b[some]
         for k in range(0, len(a), 50_000):
             i, j = a[k : k + 50_000], b[k : k + 50_000]
+            here = ~left_to_smaller(cell[i], named[i], named[j])
+            i, j = i[here], j[here]
             good = enough(overlap_bound(points[i], points[j], excess[i], excess[j]), n[i], n[j])
             out[0].append(rep[i[good]])
             out[1].append(rep[j[good]])
@@ -262,18 +296,21 @@ _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 def cell_pairs(members: DataFrame, n_parts: int) -> DataFrame:
     """Pairs (a < b) of members that are in different components and that the tree's bounds leave.
 
-    Rows (cell, block_a, block_b, side, rep, comp, n, point) stream in order of their cell and
-    blocks, so a task holds one cell's two blocks, or many small cells of CHUNK rows.
+    Rows (cell, block_a, block_b, side, rep, comp, n, point, named) stream in order of their cell
+    and blocks, so a task holds one cell's two blocks, or many small cells of CHUNK rows. A pair
+    that meets in several cells leaves from the smallest that both its sides name, if they name
+    one; every cell that a member names is open here, as both sides are in it and still apart.
     """
     dealt = members.repartition(n_parts, "cell", "block_a", "block_b").sortWithinPartitions("cell", "block_a", "block_b")
 
     def solve(table: pa.Table):
         cell, one, two, side, rep, comp, n = (table[c].to_numpy() for c in ("cell", "block_a", "block_b", "side", "rep", "comp", "n"))
         points = points_of(table["point"])
+        named = table["named"].combine_chunks().flatten().to_numpy().reshape(-1, NAMED)
         cuts = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])]))
         size = np.diff(np.append(cuts, len(cell)))
         small = np.repeat((size <= LEAF) & (one[cuts] == two[cuts]), size)
-        found = [small_pairs(*(x[small] for x in (cell, rep, comp, n, points)))]
+        found = [small_pairs(*(x[small] for x in (cell, rep, comp, n, points, named)))]
         for start, m in zip(cuts[~small[cuts]].tolist(), size[~small[cuts]].tolist(), strict=True):
             at = np.arange(start, start + m)
             diagonal = one[start] == two[start]
@@ -284,6 +321,7 @@ def cell_pairs(members: DataFrame, n_parts: int) -> DataFrame:
             for i, js in tree.meet(tree if diagonal else RTree(n[second], points[second])):
                 i, js = first[i], second[js]
                 js = js[(comp[js] != comp[i]) & ((rep[js] > rep[i]) | (not diagonal))]
+                js = js[~left_to_smaller(cell[start], named[i], named[js])]
                 if len(js):
                     found.append((np.full(len(js), rep[i]), rep[js]))
         a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
@@ -357,7 +395,7 @@ def blocked(members: DataFrame, facts: DataFrame, block: int = BLOCK) -> DataFra
     count = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("rep"), count).cast("int")
     open_ = open_.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
-    return open_.select("cell", F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"), (F.col("own") > F.col("other")).cast("int").alias("side"), "rep", "comp").join(facts.select("rep", "n", "point"), "rep")
+    return open_.select("cell", F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"), (F.col("own") > F.col("other")).cast("int").alias("side"), "rep", "comp").join(facts.select("rep", "n", "point", "named"), "rep")
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -368,8 +406,10 @@ def join(docs: DataFrame) -> DataFrame:
     sizes = rows.where("kind = 0")
     classes = sizes.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine"))
     classes = stash.keep(classes, "classes")
-    own = sizes.join(classes.select("class", "rep"), "class", "left").select("doc_id", F.col("n").alias("n_shingles"), "rep").dropDuplicates(["doc_id"])
-    own = stash.keep(own, "own")
+    # documents without shingles have no class: they stay out of the joins, where they would share a task
+    empty = sizes.where("n = 0").select("doc_id").dropDuplicates()
+    own = sizes.where("n > 0").join(classes.select("class", "rep"), "class").groupBy("doc_id").agg(F.min(F.struct("rep", F.col("n").alias("n_shingles"))).alias("x"))
+    own = stash.keep(own.select("doc_id", "x.n_shingles", "x.rep"), "own")
     often = rows.where("kind = 1").groupBy("doc_id").agg(F.sum("n").alias("n")).where(F.col("n") > COMMON).orderBy(F.desc("n"), "doc_id").limit(MOST_COMMON)
     common = np.sort(often.select("doc_id").toPandas()["doc_id"].to_numpy(np.int64).view(np.uint64))  # at most MOST_COMMON
     entries = sizes.agg(F.sum(F.col("n") / DEN + 1)).first()[0] or 0
@@ -379,9 +419,9 @@ def join(docs: DataFrame) -> DataFrame:
     shared = named.groupBy("cell").agg(F.count("*").alias("size")).where("size > 1")
     members = stash.keep(named.join(shared.select("cell"), "cell"), "members")
     # every cell's members against its leader, the member that shares most cells
-    degree = members.groupBy("rep").agg(F.count("*").alias("degree"))
-    facts = stash.keep(classes.select("rep", "n", "point", "fine").join(degree, "rep"), "facts")
-    whole = members.join(degree, "rep")
+    degree = members.groupBy("rep").agg(F.count("*").alias("degree"), F.slice(F.array_sort(F.collect_list("cell")), 1, NAMED).alias("cells"))
+    facts = stash.keep(classes.select("rep", "n", "point", "fine").join(degree.select("rep", "degree", named_cells("cells")), "rep"), "facts")
+    whole = members.join(facts.select("rep", "degree"), "rep")
     leader = whole.groupBy("cell").agg(F.max(F.struct("degree", (-F.col("rep")).alias("back"))).alias("top")).select("cell", (-F.col("top.back")).alias("a"))
     stars = members.join(leader, "cell").where(F.col("a") != F.col("rep")).select("a", F.col("rep").alias("b")).dropDuplicates()
     stars = bounded(stars, facts)
@@ -392,10 +432,16 @@ def join(docs: DataFrame) -> DataFrame:
     rest = stash.keep(cell_pairs(blocked(stash.keep(labelled, "labelled"), facts), n_parts), "rest")
     more = verify(stash, docs, stash.keep(bounded(rest, facts), "rest-near"), "rest")
     label = components(stash, links.unionByName(more), "last")
-    out = own.join(label, F.col("rep") == F.col("node"), "left").select("doc_id", "n_shingles", F.coalesce("root", "rep", "doc_id").alias("component_id"), F.col("rep").alias("class_id"))
+    out = own.join(label, F.col("rep") == F.col("node"), "left").select("doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id"), F.col("rep").alias("class_id"))
+    none = empty.join(own.select("doc_id"), "doc_id", "left_anti").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("class_id"))
     nulls = docs.where(docs["doc_id"].isNull()).select(docs["doc_id"].cast("long").alias("doc_id"))
     again = docs.select(docs["doc_id"].cast("long").alias("doc_id")).where(F.col("doc_id").isNotNull())
-    return again.join(out, "doc_id").unionByName(nulls, allowMissingColumns=True)
+    return again.join(out.unionByName(none), "doc_id").unionByName(nulls, allowMissingColumns=True)
+
+
+def named_cells(cells: str):
+    """The smallest cells of a member, padded with 0 to NAMED."""
+    return F.slice(F.concat(F.col(cells), F.array_repeat(F.lit(0).cast("long"), NAMED)), 1, NAMED).alias("named")
 
 
 def bounded(pairs: DataFrame, facts: DataFrame) -> DataFrame:
@@ -416,5 +462,6 @@ def bounded(pairs: DataFrame, facts: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents without those that link to a smaller doc_id, directly or by others; columns as they are."""
-    gone = join(docs).where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("gone")).dropDuplicates()
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    name = fresh(docs, "gone")
+    gone = join(docs).where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias(name)).dropDuplicates()
+    return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")

@@ -14,7 +14,10 @@ occurrences stream past their shard's filter (salted by document, so a line of h
 is met by many tasks); what passes, few rows, is joined to the exact references.
 
 Null or empty text: one empty line. A null id holds no keys and loses nothing. Rows that
-repeat an id are one document for the counts.
+repeat an id are one document for the counts, whose lines are those of all its rows. Of equal
+lines of the keeper all stay. An empty table gives an empty result. A text of any length is
+split by one task. With keep_columns, further columns come back as they are, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stash, batch, id_text, slices
+from .common import Stash, batch, fresh, id_text, row_slices, slices
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -247,12 +250,12 @@ def apply_drops(docs: DataFrame, drops: DataFrame, keep_columns: bool = False, m
 
     keep_columns: the input's columns with the new text; else id, counts and the digest.
     """
-    lists = drops.groupBy(F.col("doc_id").alias("drop_id")).agg(F.collect_set("key").alias("drop_keys"))
     columns = docs.columns
     text = columns.index("text")
-    source = docs.select(*columns) if keep_columns else id_text(docs)
-    joined = source.join(lists, source["doc_id"] == lists["drop_id"], "left").drop("drop_id")
-    names = joined.columns
+    source = docs if keep_columns else id_text(docs)
+    drop_id, drop_keys = fresh(source, "drop_id"), fresh(source, "drop_keys")
+    lists = drops.groupBy(F.col("doc_id").alias(drop_id)).agg(F.collect_set("key").alias(drop_keys))
+    joined = source.join(lists, F.col("doc_id").cast("long") == F.col(drop_id), "left").select(*source.columns, drop_keys)
     schema = None if keep_columns else pa.schema([("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept_sha256", pa.string())])
 
     def cut(value: str, keys) -> tuple[int, int, str]:
@@ -272,8 +275,8 @@ def apply_drops(docs: DataFrame, drops: DataFrame, keep_columns: bool = False, m
                 yield batch(schema, ids, [r[0] for r in rows], [r[1] for r in rows], [hashlib.sha256(r[2].encode("utf-8", "replace")).hexdigest() for r in rows])
 
     def rewritten(batches):
-        for b in batches:
-            out = [x if not k or x is None else cut(x, k)[2] for x, k in zip(b.column(text).to_pylist(), b.column(len(names) - 1).to_pylist(), strict=True)]
+        for b in row_slices(batches, text):
+            out = [x if not k or x is None else cut(x, k)[2] for x, k in zip(b.column(text).to_pylist(), b.column(len(columns)).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if n == text else b.column(n) for n in range(len(columns))], names=columns)
 
     return joined.mapInArrow(rewritten, docs.schema) if keep_columns else joined.mapInArrow(digests, OUT)

@@ -13,7 +13,7 @@ in a repeat and are dropped. For the others the 68 bytes before and after the gr
 strings of two collections (the left one reversed) for a shard of anchors: the window that
 starts x bytes before the gram repeats an earlier one exactly if an earlier string shares x
 symbols on the left and 68 - x on the right, which the common prefixes tell for every x. The
-symbols are pairs of bytes, so a collection takes 34 rounds.
+symbols are bytes, so a collection takes 68 rounds.
 
 A task merges equal contexts before it sends them, so a passage in a third of all documents is
 sent once by each task. Later copies of a whole text are found by its hash and need no search.
@@ -21,7 +21,11 @@ sent once by each task. Later copies of a whole text are found by its hash and n
 Matches never cross documents; a byte goes if a 100-byte string that covers it starts earlier
 too (smaller doc_id, or the same document and an earlier start), judged on the input. Null or
 empty text: nothing to remove. A null id takes no part and loses nothing. Rows that repeat an
-id must repeat its text; they are one document.
+id and its text are one document, and each gets its result; rows that repeat an id with another
+text are judged together as one document's texts, and a range found in one is cut from both.
+Ties: of equal strings of one document the one that starts first stays. An empty table gives an
+empty result. A text of any length is held whole by one task, with its anchors. With
+keep_columns, further columns come back as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,14 +40,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stash, batch, hash64, id_text, slices
-from .exchange import by_part, deal, parts, repeated
+from .common import Stash, batch, fresh, hash64, id_text, row_slices, slices
+from .exchange import by_part, deal, parts, per_part, repeated
 
 MATCH = 100
 GRAM = 32
-SPAN = MATCH - GRAM  # bytes of context on either side; 34 symbols
+SPAN = MATCH - GRAM  # bytes, and symbols, of context on either side
 #: Strings of one collection, and contexts that a task holds to merge equal ones.
 STRINGS, HOLD = 8_192, 200_000
+#: Tasks that share the copies of one text.
+SALTS = 16
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _powers: list[np.ndarray] = []
@@ -190,19 +196,22 @@ def first_texts(docs: DataFrame, stash: Stash) -> DataFrame:
         for ids, texts in slices(batches):
             yield batch(schema, ids, [xxhash.xxh3_128_digest(x.encode("utf-8", "replace")) for x in texts])
 
-    keys = stash.keep(docs.mapInArrow(run, "doc_id long, key binary"), "keys")
+    # shorter texts can't repeat a window; a text of a third of all documents is met by SALTS tasks
+    keys = stash.keep(docs.where(F.octet_length("text") >= MATCH).mapInArrow(run, "doc_id long, key binary"), "keys")
     first = keys.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    return stash.keep(keys.join(first, "key").where("doc_id > first").select(F.col("doc_id").alias("copy_id")).dropDuplicates(), "copies")
+    first = first.select("key", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = keys.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    return stash.keep(salted.join(first, ["key", "salt"]).where("doc_id > first").select(F.col("doc_id").alias("copy_id")).dropDuplicates(), "copies")
 
 
 def repeated_anchors(docs: DataFrame, n_parts: int) -> DataFrame:
-    """(doc_id, places) with the positions (int32) of anchors whose hash occurs elsewhere too.
+    """(doc_id, place) of anchors whose hash occurs elsewhere too.
 
     A task deals a text once, for its smallest doc_id there; rows of one document that lie in
     different tasks meet here and count once.
     """
     sent = pa.schema([("part", pa.int32()), ("hashes", pa.binary()), ("docs", pa.binary()), ("places", pa.binary())])
-    schema = pa.schema([("doc_id", pa.int64()), ("places", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("place", pa.int32())])
 
     def send(batches):
         held: dict[bytes, list] = {}
@@ -235,44 +244,40 @@ def repeated_anchors(docs: DataFrame, n_parts: int) -> DataFrame:
             yield from flush()
 
     def meet(batches):
-        columns: list[list] = [[], [], []]
-        for b in batches:
-            for k, kind in enumerate((np.uint64, np.int64, np.int32)):
-                columns[k] += [np.frombuffer(x, kind) for x in b.column(k + 1).to_pylist()]
-        if not columns[0]:
-            return
-        h, owner, place = map(np.concatenate, columns)
-        order = np.argsort(h, kind="stable")
-        some = order[repeated(h[order])]
-        if not len(some):
-            return
-        some = some[np.lexsort((place[some], owner[some], h[some]))]
-        fresh = np.ones(len(some), bool)
-        for x in (h, owner, place):
-            fresh[1:] &= x[some[1:]] == x[some[:-1]]
-        fresh[1:] = ~fresh[1:]
-        some = some[fresh]
-        some = some[repeated(h[some])]
-        if not len(some):
-            return
-        some = some[np.lexsort((place[some], owner[some]))]
-        o, p = owner[some], place[some]
-        cuts = np.flatnonzero(np.concatenate([[True], o[1:] != o[:-1]]))
-        ends = np.append(cuts[1:], len(o))
-        for k in range(0, len(cuts), 20_000):
-            part = slice(k, k + 20_000)
-            yield batch(schema, o[cuts[part]], [p[a:b].tobytes() for a, b in zip(cuts[part], ends[part], strict=True)])
-
-    return by_part(docs.mapInArrow(send, "part int, hashes binary, docs binary, places binary"), n_parts).mapInArrow(meet, "doc_id long, places binary")
+        for _, rows in per_part(batches):
+            columns: list[list] = [[], [], []]
+            for b in rows:
+                for k, kind in enumerate((np.uint64, np.int64, np.int32)):
+                    columns[k] += [np.frombuffer(x, kind) for x in b.column(k + 1).to_pylist()]
+            h, owner, place = map(np.concatenate, columns)
+            order = np.argsort(h, kind="stable")
+            some = order[repeated(h[order])]
+            some = some[np.lexsort((place[some], owner[some], h[some]))]
+            same = np.ones(max(0, len(some) - 1), bool)
+            for x in (h, owner, place):
+                same &= x[some[1:]] == x[some[:-1]]
+            if same.any():
+                some = some[np.concatenate([[True], ~same])]
+                some = some[repeated(h[some])]
+            for k in range(0, len(some), 200_000):
+                at = some[k : k + 200_000]
+                yield batch(schema, owner[at], place[at])
+
+    return by_part(docs.mapInArrow(send, "part int, hashes binary, docs binary, places binary"), n_parts).mapInArrow(meet, "doc_id long, place int")
 
 
 _CONTEXT = pa.schema([("gram", pa.int64()), ("context", pa.binary()), ("low", pa.int32()), ("high", pa.int32()), ("doc_id", pa.int64()), ("place", pa.int64()), ("end", pa.int64())])
 CONTEXT = "gram long, context binary, low int, high int, doc_id long, place long, end long"
 
 
+def _places(lists: list) -> np.ndarray:
+    """Places as numbers, or packed as int32."""
+    return np.frombuffer(b"".join(lists), np.int32) if isinstance(lists[0], (bytes, bytearray)) else np.asarray(lists, np.int32)
+
+
 def contexts(joined: DataFrame) -> DataFrame:
     """Contexts of repeated anchors (end null), equal ones of a task as their first, and the marks
-    (context null; place to end) of those that were merged away. joined: doc_id, text, places."""
+    (context null; place to end) of those that were merged away. joined: doc_id, text, lists."""
 
     def run(batches):
         held: dict[tuple, tuple] = {}
@@ -302,7 +307,7 @@ def contexts(joined: DataFrame) -> DataFrame:
                     if not lists or len(raw) < MATCH:
                         continue
                     h, at, first, last = anchors(np.frombuffer(raw, np.uint8))
-                    chosen = np.isin(at, np.concatenate([np.frombuffer(p, np.int32) for p in lists]))
+                    chosen = np.isin(at, _places(lists))
                     wide = bytes(SPAN) + raw + bytes(SPAN)
                     for g, a, p, q in zip(h[chosen].view(np.int64).tolist(), at[chosen].tolist(), first[chosen].tolist(), last[chosen].tolist(), strict=True):
                         entry = g, wide[a : a + 2 * SPAN + GRAM], a - q, a - p
@@ -398,9 +403,9 @@ def removals(docs: DataFrame, stash: Stash) -> tuple[DataFrame, DataFrame]:
     copies = first_texts(base, stash)
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_parts = parts(docs.sparkSession, 2 * size // (SPAN + 2), 500_000)
-    # a copy is a row without places: one aggregation gathers the lists and finds the copies, without a join below it
-    copied = copies.select(F.col("copy_id").alias("doc_id"), F.lit(None).cast("binary").alias("places"))
-    places = repeated_anchors(base, n_parts).unionByName(copied).groupBy("doc_id").agg(F.collect_list("places").alias("lists"), F.count_if(F.col("places").isNull()).alias("copied"))
+    # a copy is a row without a place: one aggregation gathers the lists and finds the copies, without a join below it
+    copied = copies.select(F.col("copy_id").alias("doc_id"), F.lit(None).cast("int").alias("place"))
+    places = repeated_anchors(base, n_parts).unionByName(copied).groupBy("doc_id").agg(F.collect_list("place").alias("lists"), F.count_if(F.col("place").isNull()).alias("copied"))
     lists = places.where("copied = 0").select("doc_id", "lists")
     found = contexts(base.join(lists, "doc_id"))
     ranges = marks(found, n_parts).groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
@@ -412,10 +417,13 @@ def dedup(docs: DataFrame, keep_columns: bool = False) -> DataFrame:
     themselves. Bytes that the cuts leave of a split character are dropped from such a text."""
     copies, ranges = removals(docs, Stash(docs.sparkSession, "suffixes"))
     source = docs if keep_columns else id_text(docs)
-    key = source["doc_id"]
-    flagged = copies.select(F.col("copy_id"), F.lit(True).alias("whole_copy"))
-    joined = source.join(ranges, key == F.col("range_id"), "left").join(flagged, key == F.col("copy_id"), "left").drop("range_id", "copy_id")
     names, text = source.columns, source.columns.index("text")
+    range_id, copy_id, whole = (fresh(source, x) for x in ("range_id", "copy_id", "whole_copy"))
+    starts, ends = fresh(source, "starts"), fresh(source, "ends")
+    ranges = ranges.select(F.col("range_id").alias(range_id), F.col("starts").alias(starts), F.col("ends").alias(ends))
+    flagged = copies.select(F.col("copy_id").alias(copy_id), F.lit(True).alias(whole))
+    key = F.col("doc_id").cast("long")
+    joined = source.join(ranges, key == F.col(range_id), "left").join(flagged, key == F.col(copy_id), "left").select(*names, starts, ends, whole)
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
     def digests(batches):
@@ -429,7 +437,7 @@ def dedup(docs: DataFrame, keep_columns: bool = False) -> DataFrame:
                 yield batch(schema, ids, list(map(len, raws)), [c[1] for c in cut], [c[2] for c in cut], [hashlib.sha256(c[0]).hexdigest() for c in cut])
 
     def rewritten(batches):
-        for b in batches:
+        for b in row_slices(batches, text):
             starts, ends, whole = (c.to_pylist() for c in b.columns[-3:])
             out = []
             for x, s, e, w in zip(b.column(text).to_pylist(), starts, ends, whole, strict=True):

@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
@@ -144,6 +145,34 @@ def test_jaccard_tree_finds_all_pairs():
                 assert (i, j) in found
 
 
+def test_packed_points_keep_their_counts():
+    r = np.random.default_rng(7)
+    sets = [np.unique(r.integers(0, 2**60, n).astype(np.uint64)) for n in (0, 1, 40, 300, 900, 40_000)] + [np.arange(0, 256 * 300, 256, dtype=np.uint64)]
+    packed = [jaccard.packed_point(s) for s in sets]
+    assert {len(p) for p in packed} == {64, 128, 256}
+    assert jaccard.points_of(pa.chunked_array([pa.array(packed, pa.binary())])).tolist() == [list(jaccard.point(s)) for s in sets]
+
+
+def test_pairs_of_many_cells_leave_once():
+    """Two documents that share a passage but are too unlike to link meet in many cells."""
+    passage = " ".join(f"p{k}" for k in range(60))
+    texts = [" ".join([passage, *(f"w{n}x{k}" for k in range(30))]) for n in range(12)]
+    members = [(c, n) for c in range(40) for n in range(12)]
+    named = sorted(range(40))[: jaccard.NAMED]
+    sets = jaccard.shingle_sets(texts)
+    rows = [(c + 1, 0, 0, 0, n, n, len(sets[n]), jaccard.packed_point(sets[n]), [x + 1 for x in named]) for c, n in members]
+    monkey, jaccard.enough = jaccard.enough, lambda *a: np.ones(len(a[0]), bool)
+    try:
+        cells = np.array([r[0] for r in rows])
+        order = np.argsort(cells, kind="stable")
+        cols = [np.array([rows[k][x] for k in order]) for x in (0, 4, 5, 6)]
+        points = jaccard.points_of(pa.chunked_array([pa.array([rows[k][7] for k in order], pa.binary())]))
+        a, b = jaccard.small_pairs(*cols, points, np.array([rows[k][8] for k in order]))
+    finally:
+        jaccard.enough = monkey
+    assert len(a) == 12 * 11 // 2
+
+
 def test_jaccard_empty(spark):
     assert jaccard.join(docs(spark, corpus()).limit(0)).count() == 0
 
