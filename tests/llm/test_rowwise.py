@@ -174,6 +174,64 @@ def test_tiff_big_endian_and_floating_predictor():
     assert np.array_equal(np.frombuffer(page.pixels, "<f4").reshape(5, 12), image)
 
 
+def test_lzw_of_long_data_resets_its_table():
+    r = random.Random(8)
+    data = "".join(r.choice("the of and a in is it that was for on are as with his they ").strip() or " " for _ in range(400_000)).encode()
+    packed = tiff.lzw_encode(data)
+    assert tiff.lzw_decode(packed) == data and len(packed) < len(data)
+    assert tiff.lzw_decode(packed, 1000)[:1000] == data[:1000] and len(tiff.lzw_decode(packed, 1000)) < 6000
+    with pytest.raises((ValueError, IndexError)):
+        tiff.lzw_decode(np.packbits(np.unpackbits(np.array([[1, 0], [0, 65], [1, 255]], ">u2").reshape(-1).view(np.uint8)).reshape(3, 16)[:, 7:].ravel()).tobytes())
+
+
+def test_decoders_stop_at_the_size_of_their_block():
+    bomb = zlib.compress(bytes(50_000_000))
+    assert len(tiff.inflate(bomb, 300)) == 300
+    assert len(tiff.packbits_decode(b"\x81a" * 100_000, 300)) < 600
+    good = tiff.write([np.zeros((4, 4, 3), np.uint8)], [tiff.ADOBE_DEFLATE])
+    assert tiff.read_pages(good)[0].pixels == bytes(48)
+
+
+@pytest.mark.parametrize("size", [10, 1536, 1728, 100_000])
+def test_every_layout_takes_every_size(size):
+    r = random.Random(size)
+    seen = set()
+    while len(seen) < len(tiff.LAYOUTS):
+        payload = tiff.padded(bytes(r.randrange(32, 127) for _ in range(size)))
+        seen.add(zlib.crc32(payload) % len(tiff.LAYOUTS))
+        found = tiff.read_pages(tiff.store(payload))
+        assert b"".join(p.pixels for p in found) == payload
+
+
+@pytest.mark.parametrize("bits", [1, 2, 4])
+@pytest.mark.parametrize("how", [tiff.NONE, tiff.PACKBITS, tiff.LZW, tiff.ADOBE_DEFLATE])
+def test_samples_of_few_bits(bits, how):
+    r = np.random.default_rng(bits)
+    image = r.integers(0, 1 << bits, (5, 13), dtype=np.uint8)
+    laid = ((image[:, :, None] >> np.arange(bits - 1, -1, -1)) & 1).reshape(5, -1).astype(np.uint8)
+    rows = np.packbits(laid, axis=1)
+    for fill in (1, 2):
+        raw = b"".join(tiff.packbits_encode(x.tobytes()) for x in rows) if how == tiff.PACKBITS else tiff.ENCODERS[how](rows.tobytes())
+        if fill == 2:
+            raw = np.packbits(np.unpackbits(np.frombuffer(raw, np.uint8)), bitorder="little").tobytes()
+        tags = [(256, 4, 13), (257, 4, 5), (258, 3, bits), (259, 3, how), (266, 3, fill), (273, 4, 8), (277, 3, 1), (278, 4, 5), (279, 4, len(raw))]
+        data = b"II*\0" + struct.pack("<I", 8 + len(raw)) + raw + struct.pack("<H", len(tags)) + b"".join(struct.pack("<HHII", t, k, 1, v) for t, k, v in tags) + bytes(4)
+        (page,) = tiff.read_pages(data)
+        assert page.bits == bits and np.array_equal(np.frombuffer(page.pixels, np.uint8).reshape(5, 13), image)
+
+
+def test_big_tiff_and_the_page_bound(spark):
+    image = np.arange(60, dtype=np.uint8).reshape(5, 12)
+    tags = [(256, 4, 12), (257, 4, 5), (258, 3, 8), (259, 3, 1), (273, 16, 16), (277, 3, 1), (278, 4, 5), (279, 16, 60)]
+    data = b"II" + struct.pack("<HHHQ", 43, 8, 0, 76) + image.tobytes() + struct.pack("<Q", len(tags)) + b"".join(struct.pack("<HHQQ", t, k, 1, v) for t, k, v in tags) + bytes(8)
+    (page,) = tiff.read_pages(data)
+    assert page.pixels == image.tobytes()
+    media = spark.createDataFrame([(1, data), (1, data)], "doc_id long, media binary")
+    assert [r.error for r in tiff.pages(media, most_bytes=59).collect()] == ["size 12 x 5"] * 2
+    assert [r.pixels for r in tiff.pages(media, most_bytes=60).collect()] == [image.tobytes()] * 2
+    assert tiff.pages(media.limit(0)).count() == 0 and tiff.round_trip(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
 def test_tiff_operator_and_query(spark):
     good = tiff.write([np.zeros((4, 4, 3), np.uint8)] * 3, [tiff.LZW] * 3)
     media = spark.createDataFrame([(1, good), (2, b"junk"), (3, None), (4, good[:-80]), (None, good)], "doc_id long, media binary")
