@@ -8,11 +8,16 @@ expected piece counts in its words (forward-backward under equal piece probabili
 over all training texts), smoothed by `ALPHA`. So training is one pass, and what reaches the
 driver is bounded by languages x vocabulary.
 
-A word is a run of bytes other than the six ASCII blanks, with a space before it; words over
-32 bytes count as several. The score is the posterior of the predicted language.
-
-Null text, or one without a letter: `und`, score 0. The same if nothing could be learned.
-Rows with a null id are predicted and never learned from.
+A word is a run of bytes other than the six ASCII blanks, with a space before it, of any length;
+all of the vocabulary's pieces that a word can hold take part. Words of up to 64 bytes go in
+padded matrices with bare probabilities; longer ones, and those whose probability leaves the
+range of a double, go byte by byte in logarithms. The score is the posterior of the predicted
+language; equal posteriors go to the language that comes first in order of its name.
+
+Null text, or one without a letter: `und`, score 0. The same if nothing could be learned, and
+so for an empty table's model. Rows with a null id are predicted and never learned from. Every
+row counts in training, also one that repeats an id, and every row gets its prediction. A text
+of any length is one task's, word by word. Columns other than doc_id, text and lang are not read.
 """
 
 from __future__ import annotations
@@ -27,12 +32,16 @@ from pyspark.sql import functions as F
 
 from .common import batch, id_text, slices
 
-MAX_PIECE = 12
-MAX_WORD = 32
-WIDTHS = (8, 16, 24, MAX_WORD)
+#: Widths of the padded matrices; words beyond the last go byte by byte.
+WIDTHS = (8, 16, 24, 32, 64)
+#: Probabilities below this are worked out again in logarithms.
+TINY = 1e-280
 ALPHA = 0.1
-#: Distinct words that a training task holds before it turns them into piece counts.
-FLUSH = 200_000
+#: Distinct words that a training task holds before it turns them into piece counts, and text
+#: bytes of documents of long words.
+FLUSH, BULK = 200_000, 32 << 20
+#: Starts of a long word that are looked up at once.
+BLOCK = 4096
 #: Expected counts are summed as whole thousandths, so that their order doesn't matter.
 GRAIN = 1000
 
@@ -48,10 +57,11 @@ class Pieces:
         for n in range(sp.get_piece_size()):
             if not (sp.is_control(n) or sp.is_unknown(n) or sp.is_byte(n)):
                 raw = sp.id_to_piece(n).replace("▁", " ").encode()
-                if len(raw) <= MAX_PIECE and b" " not in raw[1:]:
+                if b" " not in raw[1:]:  # no word holds another space
                     found.add(raw)
         self.pieces = sorted(found)
         self.size = len(self.pieces)
+        self.longest = max(map(len, self.pieces))
         node: dict[bytes, int] = {b"": 0}
         for p in self.pieces:
             for k in range(1, len(p) + 1):
@@ -65,20 +75,33 @@ class Pieces:
         for n, p in enumerate(self.pieces):
             self.piece[node[p]] = n
 
-    def edges(self, words: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-        """(lengths, piece by [length - 1, start, word]) of words padded to the width."""
+    def edges(self, words: list[bytes], width: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """(lengths, for each piece length less one the pieces by [start, word]) of words padded to the width."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        text = np.zeros((len(words), width + MAX_PIECE), np.uint8)
-        text[np.arange(width + MAX_PIECE) < lengths[:, None]] = np.frombuffer(b"".join(words), np.uint8)
+        text = np.zeros((len(words), width), np.uint8)
+        text[np.arange(width) < lengths[:, None]] = np.frombuffer(b"".join(words), np.uint8)
         text = np.ascontiguousarray(text.T)
-        out = np.empty((MAX_PIECE, width, len(words)), np.int32)
-        node = np.zeros((width, len(words)), np.int32)
+        out, node = [], np.zeros((width, len(words)), np.int32)
         starts = np.arange(width)[:, None]
-        for k in range(MAX_PIECE):
-            node = self.next[node, text[k : k + width]]
-            out[k] = np.where(starts + k < lengths, self.piece[node], self.size)
+        for k in range(min(self.longest, width)):
+            node = self.next[node[: width - k], text[k:]]
+            out.append(np.where(starts[: width - k] + k < lengths, self.piece[node], self.size))
         return lengths, out
 
+    def blocks(self, word: bytes):
+        """(first start, pieces by [length - 1, start]) of a long word, BLOCK starts at a time."""
+        for at in range(0, len(word), BLOCK):
+            count = min(BLOCK, len(word) - at)
+            raw = np.frombuffer(word[at : at + count + self.longest], np.uint8)
+            text = np.zeros(count + self.longest, np.uint8)
+            text[: len(raw)] = raw
+            out, node = np.full((self.longest, count), self.size, np.int32), np.zeros(count, np.int32)
+            starts = np.arange(count)
+            for k in range(self.longest):
+                node = self.next[node, text[k : k + count]]
+                out[k] = np.where(starts + k < len(raw), self.piece[node], self.size)
+            yield at, out
+
 
 _pieces: dict[str, Pieces] = {}
 
@@ -89,44 +112,89 @@ def inventory(model_file: str) -> Pieces:
     return _pieces[model_file]
 
 
-def chunks(word: bytes) -> list[bytes]:
-    raw = b" " + word
-    return [raw[k : k + MAX_WORD] for k in range(0, len(raw), MAX_WORD)]
-
-
-def buckets(words: list[bytes], step: int = 4096):
-    """(width, positions) of words of like length."""
+def buckets(words: list[bytes]):
+    """(width, positions) of words of like length; width 0 has those beyond all widths."""
     by: dict[int, list[int]] = {}
     for n, w in enumerate(words):
-        by.setdefault(next(x for x in WIDTHS if len(w) <= x), []).append(n)
+        by.setdefault(next((x for x in WIDTHS if len(w) <= x), 0), []).append(n)
     for width, at in by.items():
+        step = (1 << 17) // width if width else len(at)
         for k in range(0, len(at), step):
             yield width, at[k : k + step]
 
 
+def _ahead(pieces: Pieces, logs: np.ndarray, word: bytes):
+    """Yields (first start, pieces, log sums [start, language] that reach each start), and at last
+    (length, None, those that reach the end). logs: [piece + 1, language]."""
+    reach = np.full((BLOCK + pieces.longest + 1, logs.shape[1]), -np.inf)
+    reach[0] = 0
+    for at, edge in pieces.blocks(word):
+        count = edge.shape[1]
+        step = np.ascontiguousarray(logs[edge].transpose(1, 0, 2))
+        for i in range(count):
+            after = reach[i + 1 : i + 1 + pieces.longest]
+            np.logaddexp(after, reach[i] + step[i], out=after)
+        yield at, edge, reach[:count]
+        reach[: pieces.longest + 1] = reach[count : count + pieces.longest + 1].copy()
+        reach[pieces.longest + 1 :] = -np.inf
+    yield len(word), None, reach[:1]
+
+
+def log_forward(pieces: Pieces, logs: np.ndarray, word: bytes) -> np.ndarray:
+    """[language] log probability of a word of any length, all segmentations summed."""
+    for _, _, reach in _ahead(pieces, logs, word):
+        last = reach[0]
+    return last.copy()
+
+
+def long_counts(pieces: Pieces, word: bytes) -> np.ndarray:
+    """[piece] expected counts of a word of any length under equal probabilities."""
+    same = np.full((pieces.size + 1, 1), -np.log(pieces.size))
+    same[-1] = -np.inf
+    ahead = np.concatenate([reach[:, 0].copy() for _, _, reach in _ahead(pieces, same, word)])
+    out, n = np.zeros(pieces.size + 1), len(word)
+    behind = np.full(n + pieces.longest + 1, -np.inf)
+    behind[n] = 0
+    for at, edge in reversed(list(pieces.blocks(word))):
+        step = np.ascontiguousarray(same[edge, 0].T)
+        for i in range(len(step) - 1, -1, -1):
+            ways = behind[at + i + 1 : at + i + 1 + pieces.longest] + step[i]
+            top = ways.max()
+            behind[at + i] = top + np.log(np.exp(ways - top).sum())
+        ends = at + np.arange(len(step))[:, None] + 1 + np.arange(pieces.longest)
+        share = np.exp(ahead[at : at + len(step), None] + step + behind[ends] - ahead[n])
+        out += np.bincount(edge.T.ravel(), share.ravel(), pieces.size + 1)
+    return out[:-1]
+
+
 def expected_counts(pieces: Pieces, words: list[bytes], weights: np.ndarray) -> np.ndarray:
     """[language, piece] expected counts of words (weights: [language, word]) under equal probabilities."""
     out = np.zeros((len(weights), pieces.size + 1))
     p = 1 / pieces.size
     for width, at in buckets(words):
+        if not width:
+            for n in at:
+                out[:, :-1] += weights[:, n, None] * long_counts(pieces, words[n])
+            continue
         lengths, edge = pieces.edges([words[n] for n in at], width)
-        there = edge < pieces.size
+        there = [(e < pieces.size) * p for e in edge]
         n = len(at)
-        ahead, behind = np.zeros((width + 1, n)), np.zeros((width + MAX_PIECE + 1, n))
+        ahead, behind = np.zeros((width + 1, n)), np.zeros((width + 1, n))
         ahead[0] = 1
         behind[lengths, np.arange(n)] = 1
         for j in range(1, width + 1):
-            for k in range(min(j, MAX_PIECE)):
-                ahead[j] += ahead[j - 1 - k] * there[k, j - 1 - k] * p
+            for k in range(min(j, len(edge))):
+                ahead[j] += ahead[j - 1 - k] * there[k][j - 1 - k]
         for i in range(width - 1, -1, -1):
-            for k in range(MAX_PIECE):
-                behind[i] += behind[i + 1 + k] * there[k, i] * p
-        for k in range(MAX_PIECE):
-            share = ahead[:width] * behind[k + 1 : k + 1 + width] * p / behind[0]
+            for k in range(min(width - i, len(edge))):
+                behind[i] += behind[i + 1 + k] * there[k][i]
+        total = behind[0].copy()
+        for k, (e, t) in enumerate(zip(edge, there, strict=True)):
+            share = ahead[: width - k] * behind[k + 1 :] * t / total
             for lang, weight in enumerate(weights):
                 own = weight[at]
                 if own.any():
-                    out[lang] += np.bincount(edge[k].ravel(), (share * there[k] * own).ravel(), pieces.size + 1)
+                    out[lang] += np.bincount(e.ravel(), (share * own).ravel(), pieces.size + 1)
     return out[:, :-1]
 
 
@@ -141,28 +209,29 @@ def learn(docs: DataFrame, model_file: str, lang_col: str = "lang") -> tuple[lis
 
         def flush():
             langs = sorted(seen)
-            flat = [Counter() for _ in langs]
-            for c, lang in zip(flat, langs, strict=True):
-                for w, n in seen[lang].items():
-                    for part in chunks(w):
-                        c[part] += n
-            words = sorted(set().union(*flat)) if flat else []
-            weights = np.array([[c.get(w, 0) for w in words] for c in flat], float).reshape(len(langs), len(words))
-            counts = np.rint(expected_counts(pieces, words, weights) * GRAIN).astype(np.int64)
+            words = sorted(set().union(*seen.values()))
+            weights = np.array([[seen[lang].get(w, 0) for w in words] for lang in langs], float).reshape(len(langs), len(words))
+            counts = np.rint(expected_counts(pieces, [b" " + w for w in words], weights) * GRAIN).astype(np.int64)
             for lang, row in zip(langs, counts, strict=True):
                 some = np.flatnonzero(row)
                 yield batch(schema, [lang] * len(some), some.astype(np.int32), row[some])
             seen.clear()
 
+        bulk = 0
         for b in batches:
             at = 0
             for _, texts in slices([b]):
                 for text, lang in zip(texts, b.column(2).slice(at, len(texts)).to_pylist(), strict=True):
-                    seen.setdefault(lang, Counter()).update(text.encode("utf-8", "replace").split())
+                    raw = text.encode("utf-8", "replace")
+                    words = raw.split()
+                    seen.setdefault(lang, Counter()).update(words)
                     texts_of[lang] += 1
+                    if len(raw) > 40 * len(words):
+                        bulk += len(raw)
                 at += len(texts)
-                if sum(map(len, seen.values())) > FLUSH:
+                if sum(map(len, seen.values())) > FLUSH or bulk > BULK:
                     yield from flush()
+                    bulk = 0
         yield from flush()
         yield batch(schema, list(texts_of), [-1] * len(texts_of), list(texts_of.values()))
 
@@ -185,24 +254,37 @@ def learn(docs: DataFrame, model_file: str, lang_col: str = "lang") -> tuple[lis
 
 def forward(pieces: Pieces, table: np.ndarray, words: list[bytes]) -> np.ndarray:
     """[word, language] log probability, all segmentations summed."""
-    out = np.zeros((len(words), table.shape[1]))
+    out = np.full((len(words), table.shape[1]), -np.inf)
     by_lang = np.ascontiguousarray(table.T)
+    again: list[int] = []
     for width, at in buckets(words):
+        if not width:
+            again += at
+            continue
         lengths, edge = pieces.edges([words[n] for n in at], width)
         pick = np.arange(len(at))
+        low = np.zeros(len(at), bool)
         for lang, p in enumerate(by_lang):
-            w = p[edge]
+            w = [p[e] for e in edge]
             ahead = np.zeros((width + 1, len(at)))
             ahead[0] = 1
             for j in range(1, width + 1):
-                for k in range(min(j, MAX_PIECE)):
-                    ahead[j] += ahead[j - 1 - k] * w[k, j - 1 - k]
-            out[at, lang] = np.log(ahead[lengths, pick])
+                for k in range(min(j, len(w))):
+                    ahead[j] += ahead[j - 1 - k] * w[k][j - 1 - k]
+            total = ahead[lengths, pick]
+            low |= total < TINY
+            out[at, lang] = np.log(np.maximum(total, TINY))
+        again += [at[n] for n in np.flatnonzero(low)]
+    if again:
+        with np.errstate(divide="ignore"):
+            logs = np.log(table)
+        for n in again:
+            out[n] = log_forward(pieces, logs, words[n])
     return out
 
 
 class Scorer:
-    ROOM = 500_000
+    ROOM, BYTES = 500_000, 64 << 20  # distinct words that are held, and their bytes
 
     def __init__(self, model):
         self.langs, self.prior, self.table, model_file = model
@@ -211,22 +293,22 @@ class Scorer:
 
     def clear(self):
         self.at: dict[bytes, int] = {}
+        self.bytes = 0
         self.value = np.empty((0, len(self.langs)))
 
     def texts(self, texts: list[str]) -> np.ndarray:
         """[text, language] log probability with the prior."""
         split = [x.encode("utf-8", "replace").split() for x in texts]
         new = set().union(*split).difference(self.at)
-        if len(self.at) + len(new) > self.ROOM and self.at:
+        if self.at and (len(self.at) + len(new) > self.ROOM or self.bytes > self.BYTES):
             self.clear()
             new = set().union(*split)
         if new:
             words = sorted(new)
-            parts = [chunks(w) for w in words]
-            flat = forward(self.pieces, self.table, [p for some in parts for p in some])
-            starts = np.cumsum([0, *map(len, parts)])[:-1]
+            found = forward(self.pieces, self.table, [b" " + w for w in words])
             self.at.update(zip(words, range(len(self.at), len(self.at) + len(words)), strict=True))
-            self.value = np.concatenate([self.value, np.add.reduceat(flat, starts, axis=0)])
+            self.bytes += sum(map(len, words))
+            self.value = np.concatenate([self.value, found])
         out = np.tile(self.prior, (len(texts), 1))
         for n, words in enumerate(split):
             if words:

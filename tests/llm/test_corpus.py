@@ -231,16 +231,64 @@ def test_langid_forward_sums_all_segmentations():
     r = np.random.default_rng(0)
     table = np.vstack([r.random((p.size, 2)), np.zeros(2)])
     at = {x: n for n, x in enumerate(p.pieces)}
-    words = [b" the", b" of", b"a", b" thanes", " éreau".encode(), b" " + b"z" * 31]
+    longest = max(p.pieces, key=len)
+    words = [b" the", b" of", b"a", b" thanes", " éreau".encode(), b" " + b"z" * 31, longest, b" " + longest.strip() * 2, b" xyz" + b"the" * 20, b" " + b"ab" * 90]
+    assert len(longest) > 12
     got = langid.forward(p, table, words)
     for w, row in zip(words, got):
         for lang in (0, 1):
             a = [1.0] + [0.0] * len(w)
             for j in range(1, len(w) + 1):
-                a[j] = sum(a[i] * table[at[w[i:j]], lang] for i in range(max(0, j - langid.MAX_PIECE), j) if w[i:j] in at)
+                a[j] = sum(a[i] * table[at[w[i:j]], lang] for i in range(j) if w[i:j] in at)
             assert row[lang] == pytest.approx(math.log(a[-1]))
 
 
+def test_langid_log_probabilities_stay_in_range():
+    p = langid.inventory(PIECES)
+    table = np.full((p.size + 1, 2), 1e-12)
+    table[:, 1] = 1e-3
+    table[-1] = 0
+    words = [b" " + b"\x01\x02" * k for k in (2, 15, 31, 40, 6000)]
+    got = langid.forward(p, table, words)
+    assert np.isfinite(got).all()
+    for w, row in zip(words, got):  # pieces of bytes alone: one segmentation
+        assert row.tolist() == pytest.approx([len(w) * math.log(1e-12), len(w) * math.log(1e-3)], rel=1e-9)
+
+
+def test_langid_expected_counts_by_enumeration(monkeypatch):
+    p = langid.inventory(PIECES)
+    at = {x: n for n, x in enumerate(p.pieces)}
+
+    def ways(w):
+        if not w:
+            yield ()
+        for k in range(1, len(w) + 1):
+            if w[:k] in at:
+                for rest in ways(w[k:]):
+                    yield (at[w[:k]], *rest)
+
+    words = [b" the", b" nation", " été".encode(), b" information"]
+    weights = np.array([[1.0, 2, 0, 3], [0, 0, 4, 1]])
+    want = np.zeros((2, p.size))
+    for n, w in enumerate(words):
+        found = list(ways(w))
+        shares = np.array([(1 / p.size) ** len(x) for x in found])
+        for x, share in zip(found, shares / shares.sum()):
+            for piece in x:
+                want[:, piece] += weights[:, n] * share
+    assert np.allclose(langid.expected_counts(p, words, weights), want)
+    monkeypatch.setattr(langid, "WIDTHS", (1,))  # all words byte by byte
+    monkeypatch.setattr(langid, "BLOCK", 5)
+    assert np.allclose(langid.expected_counts(p, words, weights), want)
+
+
+def test_langid_odd_tables(spark):
+    rows = [(n, "the other thing and the rest", "en") for n in range(8)] + [(20, "les choses " * 5 + "z" * 20_000, "fr"), (21, "é" * 9000, None), (22, "les choses", "fr"), (25, "les", "fr"), (20, "les", "fr")]
+    got = langid.identify(frame(spark, rows), PIECES).collect()
+    assert len(got) == len(rows) and all(0 <= x.score <= 1 for x in got)
+    assert langid.identify(frame(spark, rows).limit(0), PIECES).count() == 0
+
+
 def test_langid(spark):
     r = random.Random(1)
     words = {"en": ["the", "thing", "other", "and", "with"], "fr": ["les", "était", "chose", "avec", "où"]}
