@@ -19,6 +19,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,9 @@ from corvid.session import shared_dir
 #: Text bytes that one step of a Python worker holds as Python objects.
 SLICE_BYTES = 2 << 20
 
+#: Spark's switch for deleting a query's shuffles when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _made: list[tuple[SparkSession, str]] = []
 
 
@@ -38,9 +42,15 @@ class Stash:
         _made.append((spark, self.root))
 
     def keep(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-        """Writes df and reads it back: lineage is cut, and no work is done twice."""
+        """Writes df and reads it back: lineage is cut, and no work is done twice. The shuffles
+        of the write are deleted at its end, as nothing reads them again."""
         path = f"{self.root}/{name}"
-        df.write.option("compression", codec).parquet(path)
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.option("compression", codec).parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str = "") -> None:
@@ -119,6 +129,46 @@ def hash64(values: np.ndarray) -> np.ndarray:
     return x
 
 
+_MUL = np.uint64(0x9E3779B97F4A7C15)
+_powers: list[np.ndarray] = []
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers or more of an odd number and of its inverse, modulo 2 ** 64."""
+    if not _powers or len(_powers[0]) < n:
+        size = max(1 << 18, n + n // 4)
+        back = np.uint64(pow(int(_MUL), -1, 1 << 64))
+        _powers[:] = [np.cumprod(np.full(size, x, np.uint64)) for x in (_MUL, back)]
+    return _powers[0], _powers[1]
+
+
+#: The six ASCII blanks, and a number for each byte.
+_BLANK = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
+_VALUE = hash64(np.arange(1, 257, dtype=np.uint64))
+#: Words of more bytes are hashed one by one: sums of powers are weak for very long strings.
+LONG_WORD = 256
+
+
+def word_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes of all words with A-Z lower-cased, words of each text).
+
+    All texts are hashed at once: prefix sums of byte values times powers give every word's
+    polynomial, mixed with its length.
+    """
+    text = np.frombuffer(b"\n".join(raws).lower() + b"\n", np.uint8)  # bytes lower A-Z alone
+    blank = np.concatenate([[True], _BLANK[text]])
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    up, down = powers(len(text))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUE[text] * down[: len(text)])])
+    size = ends - starts
+    hashes = hash64((total[ends] - total[starts]) * up[starts] + size.astype(np.uint64))
+    for k in np.flatnonzero(size > LONG_WORD).tolist():
+        hashes[k] = xxhash.xxh3_64_intdigest(text[starts[k] : ends[k]].tobytes())
+    borders = np.cumsum([0, *(len(x) + 1 for x in raws)])
+    return hashes, np.diff(np.searchsorted(starts, borders))
+
+
 class Units:
     """Texts as units that any of the pre-tokenising patterns can never join.
 

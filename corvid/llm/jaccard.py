@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stash, batch, fresh, hash64, id_text, slices
+from .common import Stash, batch, fresh, hash64, id_text, slices, word_hashes
 from .exchange import by_part, components, deal, parts, per_part, repeated
 
 SHINGLE = 5
@@ -54,29 +54,23 @@ FEW_IDS = 1_000_000
 #: Smallest cells of a member that its rows carry; a pair is left to a smaller cell that both name.
 NAMED = 4
 
-_hashes: dict[bytes, int] = {}
-
 
 def shingle_sets(texts: list[str], size: int = SHINGLE) -> list[np.ndarray]:
     """Each text's sorted distinct shingle hashes."""
-    split = [x.encode("utf-8", "replace").lower().split() for x in texts]  # bytes: A-Z, ASCII blanks
-    if len(_hashes) > 600_000:
-        _hashes.clear()
-    for w in set().union(*split).difference(_hashes):
-        _hashes[w] = xxhash.xxh3_64_intdigest(w)
-    count = np.fromiter(map(len, split), np.int64, len(split))
-    words = np.fromiter((_hashes[w] for x in split for w in x), np.uint64, int(count.sum()))
+    raws = [x.encode("utf-8", "replace") for x in texts]
+    words, count = word_hashes(raws)
     mixed = np.zeros(max(0, len(words)), np.uint64)
     for k in range(size):
         shifted = np.zeros(len(words), np.uint64)
-        shifted[: len(words) - k] = words[k:]
+        shifted[: max(0, len(words) - k)] = words[k:]
         mixed = hash64(mixed * np.uint64(0x9E3779B97F4A7C15) + shifted) if k else shifted
     out, at = [], 0
-    for n, x in zip(count.tolist(), split, strict=True):
+    for n, raw in zip(count.tolist(), raws, strict=True):
         if n >= size:
-            out.append(np.unique(mixed[at : at + n - size + 1]))
+            own = np.sort(mixed[at : at + n - size + 1])
+            out.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
         else:
-            out.append(np.array([xxhash.xxh3_64_intdigest(b" ".join(x), n)] if n else [], np.uint64))
+            out.append(np.array([xxhash.xxh3_64_intdigest(b" ".join(raw.lower().split()), n)] if n else [], np.uint64))
         at += n
     return out
 
@@ -407,7 +401,7 @@ def join(docs: DataFrame) -> DataFrame:
     classes = sizes.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine"))
     classes = stash.keep(classes, "classes")
     # documents without shingles have no class: they stay out of the joins, where they would share a task
-    empty = sizes.where("n = 0").select("doc_id").dropDuplicates()
+    empty = stash.keep(sizes.where("n = 0").select("doc_id").dropDuplicates(), "empty")
     own = sizes.where("n > 0").join(classes.select("class", "rep"), "class").groupBy("doc_id").agg(F.min(F.struct("rep", F.col("n").alias("n_shingles"))).alias("x"))
     own = stash.keep(own.select("doc_id", "x.n_shingles", "x.rep"), "own")
     often = rows.where("kind = 1").groupBy("doc_id").agg(F.sum("n").alias("n")).where(F.col("n") > COMMON).orderBy(F.desc("n"), "doc_id").limit(MOST_COMMON)
@@ -418,9 +412,11 @@ def join(docs: DataFrame) -> DataFrame:
     named = cells.join(own.select("doc_id", "rep"), "doc_id").select("cell", "rep").dropDuplicates()
     shared = named.groupBy("cell").agg(F.count("*").alias("size")).where("size > 1")
     members = stash.keep(named.join(shared.select("cell"), "cell"), "members")
+    stash.drop("profile")
     # every cell's members against its leader, the member that shares most cells
     degree = members.groupBy("rep").agg(F.count("*").alias("degree"), F.slice(F.array_sort(F.collect_list("cell")), 1, NAMED).alias("cells"))
     facts = stash.keep(classes.select("rep", "n", "point", "fine").join(degree.select("rep", "degree", named_cells("cells")), "rep"), "facts")
+    stash.drop("classes")
     whole = members.join(facts.select("rep", "degree"), "rep")
     leader = whole.groupBy("cell").agg(F.max(F.struct("degree", (-F.col("rep")).alias("back"))).alias("top")).select("cell", (-F.col("top.back")).alias("a"))
     stars = members.join(leader, "cell").where(F.col("a") != F.col("rep")).select("a", F.col("rep").alias("b")).dropDuplicates()

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stash, batch, fresh, hash64, id_text, row_slices, slices
+from .common import Stash, batch, fresh, hash64, id_text, powers, row_slices, slices
 from .exchange import by_part, deal, parts, per_part, repeated
 
 MATCH = 100
@@ -51,22 +51,10 @@ STRINGS, HOLD = 8_192, 200_000
 #: Tasks that share the copies of one text.
 SALTS = 16
 
-_MUL = np.uint64(0x9E3779B97F4A7C15)
-_powers: list[np.ndarray] = []
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
-        size = max(1 << 18, 2 * n)
-        back = np.uint64(pow(int(_MUL), -1, 1 << 64))
-        _powers[:] = [np.cumprod(np.full(size, x, np.uint64)) for x in (_MUL, back)]
-    return _powers[0], _powers[1]
-
-
 def grams(text: np.ndarray) -> np.ndarray:
     """A mixed 64-bit hash of the gram at each position."""
     n = len(text)
-    up, down = _power(n)
+    up, down = powers(n)
     total = np.concatenate([[np.uint64(0)], np.cumsum((text.astype(np.uint64) + np.uint64(1)) * down[:n])])
     return hash64((total[GRAM:] - total[:-GRAM]) * up[: n - GRAM + 1])
 
@@ -406,7 +394,7 @@ def removals(docs: DataFrame, stash: Stash) -> tuple[DataFrame, DataFrame]:
     # a copy is a row without a place: one aggregation gathers the lists and finds the copies, without a join below it
     copied = copies.select(F.col("copy_id").alias("doc_id"), F.lit(None).cast("int").alias("place"))
     places = repeated_anchors(base, n_parts).unionByName(copied).groupBy("doc_id").agg(F.collect_list("place").alias("lists"), F.count_if(F.col("place").isNull()).alias("copied"))
-    lists = places.where("copied = 0").select("doc_id", "lists")
+    lists = stash.keep(places.where("copied = 0").select("doc_id", "lists"), "places")
     found = contexts(base.join(lists, "doc_id"))
     ranges = marks(found, n_parts).groupBy("doc_id").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
     return copies, stash.keep(ranges.select(F.col("doc_id").alias("range_id"), "starts", "ends"), "ranges")

@@ -247,3 +247,16 @@ def test_tiff_operator_and_query(spark):
         payload = raw.ljust(max(192, -(-len(raw) // 192) * 192))
         r = out[n]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]))
+
+
+def test_word_hashes_tell_words_apart():
+    from corvid.llm.common import word_hashes
+
+    r = random.Random(3)
+    alphabet = "abAB \t\n\r\x0b\x0c\x1c\x85\xa0éz"
+    some = ["", " ", "A", "a b", *("".join(r.choice(alphabet) for _ in range(r.randint(0, 80))) for _ in range(300)), "x" * 5000 + " y " + "X" * 5000]
+    hashes, count = word_hashes([x.encode() for x in some])
+    want = [w for x in some for w in x.encode().lower().split()]
+    assert count.tolist() == [len(x.encode().split()) for x in some]
+    assert len(hashes) == len(want) and len(set(zip(want, hashes.tolist()))) == len(set(want)) == len(set(hashes.tolist()))
+    assert [len(x) for x in word_hashes([])] == [0, 0] and word_hashes([b""])[1].tolist() == [0]
