@@ -63,7 +63,23 @@ def page_text(c: Column) -> Column:
 
 
 def tokens(c: Column) -> Column:
-    return F.regexp_extract_all(F.lower(c), F.lit(f"({WORD})"), F.lit(1))
+    return F.regexp_extract_all(F.lower(c), F.lit(WORD), F.lit(0))
+
+
+# The usual short list of English stop words.
+STOP_WORDS = ("a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "if", "in", "into", "is", "it", "no", "not", "of", "on", "or", "such", "that", "the", "their", "then", "there", "these", "they", "this", "to", "was", "will", "with")
+
+
+def plural_stem(c: Column) -> Column:
+    """Harman's S stemmer: ies to y, es to e, a last s dropped, with its exceptions; in expressions."""
+    cut = lambda x, n: F.substring(x, F.lit(1), F.length(x) - n)
+    return F.when(c.rlike("[^ea]ies$"), F.concat(cut(c, 3), F.lit("y"))).when(c.rlike("[^aeo]es$"), cut(c, 1)).when(c.rlike("[^us]s$"), cut(c, 1)).otherwise(c)
+
+
+def analyzed(c: Column, stop=STOP_WORDS, stem=plural_stem) -> Column:
+    """Tokens without stop words, each through `stem`, any function of a column."""
+    kept = F.filter(tokens(c), lambda x: ~x.isin(*stop)) if stop else tokens(c)
+    return F.transform(kept, stem) if stem else kept
 
 
 def words(c: Column) -> Column:

@@ -11,21 +11,57 @@ from corvid.functions import text as tx
 SMALL = 100_000
 
 
-def postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, term, tf): partial counts before the shuffle."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.explode(tx.tokens(F.col(text_col))).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
+#: The term that stands for a document itself among its terms; no token is empty.
+ITSELF = ""
 
 
-def bm25_index(docs: DataFrame, k1: float = 1.5, b: float = 0.75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(term, doc_id, weight) with the Lucene idf; lengths come from the text, not from a second shuffle."""
-    tf = postings(docs, id_col, text_col)
-    lengths = docs.select(F.col(id_col).alias("doc_id"), F.size(tx.tokens(F.col(text_col))).alias("dl"))
-    stats = lengths.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))  # one row
+def postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokens=tx.tokens, terms: DataFrame | None = None) -> DataFrame:
+    """(doc_id, term, tf, dl): partial counts before the one shuffle, and a row of ITSELF for each document.
+
+    The length travels with the terms, so texts are read once and nothing is joined back.
+    terms: the only terms that are wanted, a frame of distinct ones; others go before the shuffle.
+    """
+    made = docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text_col)).alias("t"))
+    rows = made.select("doc_id", F.size("t").cast("long").alias("dl"), F.explode(F.concat("t", F.array(F.lit(ITSELF)))).alias("term"))
+    if terms is not None:
+        rows = rows.join(terms, "term", "left_semi")
+    return rows.groupBy("doc_id", "term").agg(F.count("*").alias("tf"), F.first("dl").alias("dl"))
+
+
+def weigh(counts: DataFrame, k1: float = 1.5, b: float = 0.75) -> DataFrame:
+    """(term, doc_id, tf, weight) of postings, with the Lucene idf; the same exchange serves all three uses."""
+    tf = counts.where(F.col("term") != ITSELF)
+    stats = counts.where(F.col("term") == ITSELF).agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))  # one row
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))
-    joined = tf.join(df, "term").join(lengths, "doc_id").crossJoin(F.broadcast(stats))
-    return joined.select("term", "doc_id", "tf", (idf * F.col("tf") / norm).alias("weight"))
+    return tf.join(df, "term").crossJoin(F.broadcast(stats)).select("term", "doc_id", "tf", (idf * F.col("tf") / norm).alias("weight"))
+
+
+def bm25_index(docs: DataFrame, k1: float = 1.5, b: float = 0.75, id_col: str = "doc_id", text_col: str = "text", tokens=tx.tokens) -> DataFrame:
+    """(term, doc_id, tf, weight) of every posting."""
+    return weigh(postings(docs, id_col, text_col, tokens), k1, b)
+
+
+def write_index(index: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Writes an index sorted by term, so that a search prunes row groups by their term ranges."""
+    n = partitions or int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index.repartitionByRange(n, "term").sortWithinPartitions("term", "doc_id").write.mode("overwrite").parquet(path)
+
+
+def query_terms(queries: DataFrame, tokens=tx.tokens) -> DataFrame:
+    """(q_id, term), each term once; sent to all tasks if the query set is a checked, small one."""
+    asked = queries.select("q_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
+    return F.broadcast(asked) if queries.count() <= SMALL else asked
+
+
+def bm25_search(docs: DataFrame, queries: DataFrame, k: int, k1: float = 1.5, b: float = 0.75, tokens=tx.tokens) -> DataFrame:
+    """The search without an index: only postings of the queries' terms are counted, weighed and shuffled."""
+    asked = query_terms(queries, tokens)
+    wanted = asked.select("term").unionByName(docs.sparkSession.range(1).select(F.lit(ITSELF).alias("term"))).dropDuplicates()
+    if queries.count() <= SMALL:
+        wanted = F.broadcast(wanted)
+    return _found(weigh(postings(docs, tokens=tokens, terms=wanted), k1, b), asked, k)
 
 
 def top_k(scored: DataFrame, k: int, by: str = "score", key: str = "q_id", item: str = "doc_id", rank: str = "rank") -> DataFrame:
@@ -34,9 +70,12 @@ def top_k(scored: DataFrame, k: int, by: str = "score", key: str = "q_id", item:
     return scored.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
 
 
-def sparse_search(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def sparse_search(index: DataFrame, queries: DataFrame, k: int, tokens=tx.tokens) -> DataFrame:
     """(q_id, doc_id, score, rank) of queries (q_id, text) against term weights."""
-    asked = queries.select("q_id", F.explode(F.array_distinct(tx.tokens(F.col("text")))).alias("term"))
+    return _found(index, query_terms(queries, tokens), k)
+
+
+def _found(index: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     hits = index.join(asked, "term").groupBy("q_id", "doc_id").agg(F.round(F.sum("weight"), 6).alias("score"))
     return top_k(hits, k)
 
@@ -135,14 +174,6 @@ def concat(hits: DataFrame, order: list[str]) -> DataFrame:
     return hits.withColumn("place", place).withColumn("first", F.row_number().over(w)).where("first = 1").drop("first")
 
 
-def best_chunk(hits: DataFrame) -> DataFrame:
-    """One row for each (q_id, doc_id): the chunk with the best combined score."""
-    r, n, h, d = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("rerank_score", "normalized_score", "score", "dense_score"))
-    combined = F.when(r > 0, 0.7 * r + 0.2 * n + 0.1 * h).when(n > 0, 0.6 * n + 0.4 * h).otherwise(0.7 * h + 0.3 * d)
-    w = Window.partitionBy("q_id", "doc_id").orderBy(F.desc("combined"), "chunk_id")
-    return hits.withColumn("combined", F.round(combined, 6)).withColumn("n", F.row_number().over(w)).where("n = 1").drop("n")
-
-
 def backfill(chosen: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     """(q_id, doc_id, place): the chosen by rank, then new documents of the candidates by rank, k in all."""
     first = chosen.select("q_id", "doc_id", F.lit(0).alias("part"), "rank")

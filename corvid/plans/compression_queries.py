@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corvid.functions import text as tx
 from corvid.operators import compression as cp
+from corvid.operators.loops import settled
 from corvid.session import table
 
 from .registry import register
@@ -23,7 +24,7 @@ def placed_words(spark, d):
 h AS (SELECT s.q_id, s.doc_id, s.rank, score2 FROM sparse s LEFT JOIN (SELECT q_id, doc_id, score AS score2 FROM lap) USING (q_id, doc_id))
 SELECT q_id, doc_id, row_number() OVER (PARTITION BY q_id ORDER BY CASE WHEN rank <= 10 THEN 0 ELSE 1 END, CASE WHEN rank <= 10 THEN score2 END DESC NULLS LAST, CASE WHEN rank > 10 THEN rank END, doc_id) AS rank FROM h""")
 def rr5(spark, d):
-    found = sparse(spark, d)
+    found = settled(sparse(spark, d))
     return cp.second_pass(found, reranked(spark, d, found.where("rank <= 10")), 10)
 
 
@@ -34,7 +35,7 @@ s AS (SELECT *, CASE WHEN r > 0 THEN 0.7::DOUBLE * r + 0.2::DOUBLE * n + 0.1::DO
 SELECT q_id, doc_id, source, round(combined, 9) AS combined FROM (SELECT *, row_number() OVER (PARTITION BY q_id, doc_id ORDER BY combined DESC, rank) AS k FROM s) WHERE k = 1""")
 def fu14(spark, d):
     """Two candidates of a document: as found, and as reranked."""
-    found = sparse(spark, d)
+    found = settled(sparse(spark, d))
     zero = F.lit(0.0)
     one = found.select("q_id", "doc_id", "rank", F.lit("first").alias("source"), zero.alias("r"), zero.alias("n"), F.col("score").alias("h"))
     two = reranked(spark, d, found).select("q_id", "doc_id", (F.col("rank") + 100).alias("rank"), F.lit("second").alias("source"), F.col("score").alias("r"), (F.col("score") / 2).alias("n"), zero.alias("h"))

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from corvid.functions import text as tx
 from corvid.operators import evaluation as ev
 from corvid.operators import retrieval as rt
-from corvid.session import table
+from corvid.operators.loops import settled
+from corvid.session import spread, table
 
 from .registry import register
 from .text_queries import NORM, plain_sentences
@@ -44,11 +45,11 @@ def benchmark(spark, d):
 
 
 def index(spark, d):
-    return rt.bm25_index(table(spark, d, "documents"))
+    return rt.bm25_index(spread(table(spark, d, "documents").select("doc_id", "text")))
 
 
 def sparse(spark, d, k=20):
-    return rt.sparse_search(index(spark, d), benchmark(spark, d), k)
+    return rt.bm25_search(spread(table(spark, d, "documents").select("doc_id", "text")), benchmark(spark, d), k)
 
 
 def reranked(spark, d, hits=None, k=10):
@@ -59,7 +60,7 @@ def reranked(spark, d, hits=None, k=10):
 
 
 def hits(spark, d):
-    s = sparse(spark, d)
+    s = settled(sparse(spark, d))  # a few rows for each question, used twice
     cols = ["q_id", "doc_id", "source", "score", "rank"]
     return s.where("rank <= 10").withColumn("source", F.lit("bm25")).select(cols).unionByName(reranked(spark, d, s).withColumn("source", F.lit("overlap")).select(cols))
 
@@ -67,16 +68,21 @@ def hits(spark, d):
 def qrels(spark, d):
     """Documents that hold a benchmark passage.
 
-    Candidates share the passage's longest inner word (it may begin or end inside a word of
-    the document); a passage without one meets every document under the empty key.
+    Candidates share the passage's longest inner word (it may begin or end inside a word of the
+    document); texts are fetched for candidates alone. A passage without an inner word is
+    compared with every text, in a pass of its own.
     """
-    words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
+    words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
     b, t = benchmark(spark, d), table(spark, d, "documents").select("doc_id", F.col("text").alias("doc"))
-    inner = b.withColumn("w", words(F.col("text"))).withColumn("w", F.slice("w", 2, F.greatest(F.size("w") - 2, F.lit(0))))
-    keyed = inner.select("q_id", "text", F.coalesce(F.array_max(F.transform("w", lambda x: F.struct(F.length(x), x.alias("word"))))["word"], F.lit("")).alias("g"))
-    held = t.select("doc_id", "doc", F.explode(F.array_distinct(F.concat(words(F.col("doc")), F.array(F.lit(""))))).alias("g"))
     small = b.count() <= rt.SMALL
-    return held.join(F.broadcast(keyed) if small else keyed, "g").where(F.contains("doc", F.col("text"))).select("q_id", "doc_id").dropDuplicates()
+    inner = b.withColumn("w", words(F.col("text"))).withColumn("w", F.slice("w", 2, F.greatest(F.size("w") - 2, F.lit(0))))
+    keyed = inner.select("q_id", "text", F.array_max(F.transform("w", lambda x: F.struct(F.length(x), x.alias("word"))))["word"].alias("g"))
+    few = lambda df: F.broadcast(df) if small else df
+    held = t.select("doc_id", F.explode(F.array_distinct(words(F.col("doc")))).alias("g"))
+    candidates = held.join(few(keyed.where("g IS NOT NULL")), "g").select("q_id", "doc_id", "text")
+    found = t.join(candidates, "doc_id").where(F.contains("doc", F.col("text"))).select("q_id", "doc_id")
+    bare = t.join(few(keyed.where("g IS NULL")), F.contains("doc", F.col("text"))).select("q_id", "doc_id")
+    return found.unionByName(bare).dropDuplicates()
 
 
 @register("sp2_bm25_index", f"WITH {SQL_INDEX} SELECT term, doc_id, tf, round(weight, 6) AS weight FROM idx")
@@ -92,25 +98,13 @@ def sp3(spark, d):
 @register("sp6_sparse_encode", f"WITH {SQL_INDEX} SELECT doc_id, term, round(ln(1 + tf) * ln(1 + n_docs / df::DOUBLE), 4) AS w FROM tf JOIN df USING (term), st")
 def sp6(spark, d):
     """Deterministic stand-in for a learned encoder: log1p(tf) * idf."""
-    tf = rt.postings(table(spark, d, "documents"))
+    counts = rt.postings(table(spark, d, "documents"))
+    tf = counts.where(F.col("term") != rt.ITSELF).drop("dl")
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    n = table(spark, d, "documents").agg(F.count("*").alias("n_docs"))
+    n = counts.where(F.col("term") == rt.ITSELF).agg(F.count("*").alias("n_docs"))
     return tf.join(df, "term").crossJoin(F.broadcast(n)).select("doc_id", "term", F.round(F.log1p("tf") * F.log(1 + F.col("n_docs") / F.col("df")), 4).alias("w"))
 
 
-@register("sp7_query_cut", f"""WITH {SQL_INDEX}, q AS (SELECT item_id AS q_id, unnest(list_distinct({TOKS.format('text')})) AS term FROM benchmark),
-cut AS (SELECT * FROM (SELECT q_id, term, row_number() OVER (PARTITION BY q_id ORDER BY df, term) AS n FROM q JOIN df USING (term)) WHERE n <= 10),
-s AS (SELECT q_id, doc_id, round(sum(weight), 6) AS score FROM idx JOIN cut USING (term) GROUP BY ALL)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= 10""")
-def sp7(spark, d):
-    """Sparse inner product over each query's ten rarest terms."""
-    idx = index(spark, d)
-    df = idx.groupBy("term").agg(F.count("*").alias("df"))
-    q = benchmark(spark, d).select("q_id", F.explode(F.array_distinct(tx.tokens(F.col("text")))).alias("term")).join(df, "term")
-    cut = rt.top_k(q.withColumn("rare", -F.col("df")), 10, "rare", item="term").select("q_id", "term")
-    return rt.top_k(idx.join(cut, "term").groupBy("q_id", "doc_id").agg(F.round(F.sum("weight"), 6).alias("score")), 10)
-
-
 def vectors(spark, d):
     v = table(spark, d, "embeddings")
     return v.select(F.col("vec_id").alias("item"), F.col("embedding").alias("v"), "label"), v.where(F.col("vec_id") % EVERY == 0).select(F.col("vec_id").alias("q_id"), F.col("embedding").alias("q"))
@@ -171,12 +165,6 @@ def rr3(spark, d):
     return sparse(spark, d).select("q_id", "doc_id", F.round(1 / (1 + F.pow(F.lit(2.718), -F.col("score") / 2)), 6).alias("p"))
 
 
-@register("rr4_ensemble", f"""WITH {SQL_SPARSE}, {SQL_OVERLAP}, {SQL_HITS}, e AS (SELECT q_id, doc_id, round(sum(CASE source WHEN 'bm25' THEN 0.7::DOUBLE ELSE 0.3::DOUBLE END * score) / count(*), 6) AS score FROM hits GROUP BY ALL)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY score DESC, doc_id) AS rank FROM e) WHERE rank <= 5""")
-def rr4(spark, d):
-    return rt.ensemble(hits(spark, d).withColumnRenamed("source", "model"), {"bm25": 0.7, "overlap": 0.3}, 5)
-
-
 @register("fu3_concat", f"""WITH {SQL_SPARSE}, {SQL_OVERLAP}, {SQL_HITS} SELECT q_id, doc_id, source, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY q_id, doc_id ORDER BY source, rank) AS n FROM hits) WHERE n = 1""")
 def fu3(spark, d):
     return rt.concat(hits(spark, d), ["bm25", "overlap"]).drop("place")
@@ -210,12 +198,6 @@ def fu11(spark, d):
     return sparse(spark, d).where("score >= 5").select("q_id", "doc_id", "score")
 
 
-@register("fu12_table_boost", f"WITH {SQL_SPARSE} SELECT q_id, doc_id, round(CASE WHEN contains(d.text, '|') THEN score * 1.3::DOUBLE ELSE score END, 6) AS score FROM sparse JOIN documents d USING (doc_id)")
-def fu12(spark, d):
-    t = table(spark, d, "documents").select("doc_id", F.contains("text", F.lit("|")).alias("has_table"))
-    return sparse(spark, d).join(t, "doc_id").select("q_id", "doc_id", F.round(F.when(F.col("has_table"), F.col("score") * 1.3).otherwise(F.col("score")), 6).alias("score"))
-
-
 SQL_FILL = """ch AS (SELECT q_id, doc_id, rank FROM rer WHERE rank <= 3),
 al AS (SELECT q_id, doc_id, 0 AS part, rank FROM ch UNION ALL SELECT q_id, doc_id, 1, rank FROM sparse WHERE (q_id, doc_id) NOT IN (SELECT (q_id, doc_id) FROM ch)),
 fi AS (SELECT q_id, doc_id, place FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY part, rank, doc_id) AS place FROM al) WHERE place <= 5)"""
@@ -223,7 +205,7 @@ fi AS (SELECT q_id, doc_id, place FROM (SELECT *, row_number() OVER (PARTITION B
 
 @register("fu15_backfill", f"WITH {SQL_SPARSE}, {SQL_OVERLAP}, {SQL_FILL} SELECT q_id, doc_id, place FROM fi")
 def fu15(spark, d):
-    s = sparse(spark, d)
+    s = settled(sparse(spark, d))
     return rt.backfill(reranked(spark, d, s, 3), s, 5)
 
 
@@ -236,7 +218,7 @@ def submission(filled, queries, k=5):
 
 @register("io11_submission", f"WITH {SQL_SPARSE}, {SQL_OVERLAP}, {SQL_FILL}, l AS (SELECT q_id, list(doc_id ORDER BY place) AS ids FROM fi GROUP BY q_id) SELECT item_id AS q_id, '[' || array_to_string(list_transform(generate_series(1, 5), lambda n: coalesce(ids[least(n, len(ids))], 1)), ',') || ']' AS web_list FROM benchmark LEFT JOIN l ON item_id = q_id")
 def io11(spark, d):
-    s = sparse(spark, d)
+    s = settled(sparse(spark, d))
     return submission(rt.backfill(reranked(spark, d, s, 3), s, 5), benchmark(spark, d))
 
 
@@ -331,9 +313,10 @@ def ev19(spark, d):
 def io14(spark, d):
     """Cached results for even queries; the misses are searched and spliced in."""
     q = benchmark(spark, d)
-    cache = rt.sparse_search(index(spark, d), q.where("q_id % 2 = 0"), 8).withColumn("cached", F.lit(True))
+    docs = table(spark, d, "documents")
+    cache = settled(rt.bm25_search(docs, q.where("q_id % 2 = 0"), 8).withColumn("cached", F.lit(True)))
     misses = q.join(cache.select("q_id").distinct(), "q_id", "left_anti")
-    found = rt.sparse_search(index(spark, d), misses, 5).withColumn("cached", F.lit(False))
+    found = rt.bm25_search(docs, misses, 5).withColumn("cached", F.lit(False))
     return cache.where("rank <= 5").unionByName(found).groupBy("q_id", "cached").agg(F.count("*").alias("n")).select("q_id", "n", "cached")
 
 
@@ -396,7 +379,7 @@ def pl2(spark, d):
     """Questions go by a judge's verdict through retrieval or past it, and are merged by id."""
     q = benchmark(spark, d)
     judge = F.length("text") % 2 == 0
-    yes = q.where(judge).join(rt.sparse_search(index(spark, d), q.where(judge), 1).select("q_id", "doc_id"), "q_id", "left").select(F.col("q_id").alias("id"), F.lit("retrieved").alias("route"), "doc_id")
+    yes = q.where(judge).join(rt.bm25_search(table(spark, d, "documents"), q.where(judge), 1).select("q_id", "doc_id"), "q_id", "left").select(F.col("q_id").alias("id"), F.lit("retrieved").alias("route"), "doc_id")
     return yes.unionByName(q.where(~judge).select(F.col("q_id").alias("id"), F.lit("naive").alias("route"), F.lit(None).cast("long").alias("doc_id")))
 
 
