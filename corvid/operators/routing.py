@@ -209,10 +209,11 @@ def assign(vectors: DataFrame, centre: np.ndarray, n: int, column: str = "v") ->
     return vectors.withColumn("cell", F.explode(near(column)))
 
 
-def ivf_search(vectors: DataFrame, queries: DataFrame, k: int, cells: int = 32, probes: int = 16) -> DataFrame:
+def ivf_search(vectors: DataFrame, queries: DataFrame, k: int, cells: int = 32, probes: int = 24) -> DataFrame:
     """Approximate search of (item, v) for (q_id, q): a query meets the vectors of its nearest cells.
 
-    Every vector is in one cell. A hot cell is split by AQE, and salted by item before that, as a
+    Every vector is in one cell. The default probes suit vectors without structure, like the test ones
+    (recall 0.95 to 0.96); clustered embeddings need far fewer. A hot cell is split by AQE, and salted by item before that, as a
     query's probes are sent to each salt.
     """
     from .retrieval import dot

@@ -11,7 +11,7 @@ from corvid.session import table
 
 from .registry import register
 from .retrieval_queries import SQL_OVERLAP, SQL_QRELS, SQL_SPARSE, benchmark, qrels, reranked, sparse
-from .text_queries import SENT, WORDS, ch8, docs, literals, plain_sentences
+from .text_queries import SENT, WORDS, ch8, docs, plain_sentences
 
 _WORDS = f"w AS (SELECT doc_id, unnest({WORDS}) AS word, generate_subscripts({WORDS}, 1) - 1 AS pos FROM documents)"
 
@@ -120,22 +120,3 @@ def ch9(spark, d):
     parts = ch8(spark, d).select("doc_id", "segment", "has_table", tx.words(tx.table_rows(F.col("text"))).alias("w")).where(F.size("w") > 0)
     chunks = parts.select("doc_id", "segment", "has_table", F.posexplode(tx.windows(F.col("w"), 120, 100)).alias("part", "w"))
     return chunks.join(title, "doc_id").select(F.concat_ws("_", "doc_id", "segment", "part").alias("id"), "doc_id", F.array_join("w", " ").alias("text"), F.concat_ws("\n", "title", F.array_join("w", " ")).alias("contents"), "has_table")
-
-
-@register("ap2_sure", "SELECT * FROM (VALUES (1::BIGINT, 'b', 2.5::DOUBLE), (2, 'x', 1.0)) t(q_id, answer, total)")
-def ap2(spark, d):
-    candidates = literals(spark, [(1, 0, "a", 1.0), (1, 1, "b", 1.0), (2, 0, "x", 1.0), (2, 1, "y", 0.0)], "q_id long, pos int, answer string, valid double")
-    duels = literals(spark, [(1, 0, 1, 0.0), (1, 1, 0, 1.0), (1, 1, 2, 0.5), (2, 1, 0, 1.0)], "q_id long, a int, b int, won double")
-    return cp.sure_choice(candidates, duels)
-
-
-@register("ap3_critique", "SELECT round(exp(-0.5::DOUBLE) + 0.9::DOUBLE + (0.5::DOUBLE + 0.5::DOUBLE * 0.3::DOUBLE) / 1.0::DOUBLE + 0.5::DOUBLE * 0.35::DOUBLE, 6) AS score")
-def ap3(spark, d):
-    df = literals(spark, [(-0.5, 0.9, 0.5, 0.3, 0.2, [0.1, 0.1, 0.2, 0.2, 0.4])], "lp double, rel double, full double, part double, none double, u array<double>")
-    return df.select(F.round(cp.critique_score(*(F.col(c) for c in df.columns)), 6).alias("score"))
-
-
-@register("ap4_flare_gate", "SELECT * FROM (VALUES (1, NULL), (2, 'Paris France')) t(id, query)")
-def ap4(spark, d):
-    df = literals(spark, [(1, ["It", "is"], [0.9, 0.5]), (2, ["Paris", "in", "France"], [0.9, 0.1, 0.3])], "id int, t array<string>, p array<double>")
-    return df.select("id", cp.confident_query(F.col("t"), F.col("p")).alias("query"))

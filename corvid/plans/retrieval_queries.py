@@ -251,19 +251,19 @@ def ev9(spark, d):
     return sparse(spark, d, 5).join(benchmark(spark, d), "q_id").join(t, "doc_id").groupBy("q_id").agg(F.max(hit).alias("recall"), F.round(F.avg(hit), 6).alias("precision"))
 
 
-def answers(spark, d, whole=False):
-    """Predictions: the best document's whole text, or its first 200 characters where SQL_ANS states so; gold: the passage."""
-    text = F.col("text") if whole else F.substring("text", 1, 200)
-    t = table(spark, d, "documents").select("doc_id", text.alias("pred"))
+def answers(spark, d):
+    """Predictions: the best document's whole text; gold: the passage."""
+    t = table(spark, d, "documents").select("doc_id", F.col("text").alias("pred"))
     return sparse(spark, d, 1).join(t, "doc_id").join(benchmark(spark, d), "q_id").select(F.col("q_id").alias("id"), "pred", F.col("text").alias("gold"), F.lit(0).alias("gold_id"))
 
 
-SQL_ANS = SQL_SPARSE + ", ans AS (SELECT q_id AS id, substr(d.text, 1, 200) AS pred, b.text AS gold FROM sparse JOIN documents d USING (doc_id) JOIN benchmark b ON q_id = item_id WHERE rank = 1)"
+SQL_ANS = SQL_SPARSE + ", ans AS (SELECT q_id AS id, d.text AS pred, b.text AS gold FROM sparse JOIN documents d USING (doc_id) JOIN benchmark b ON q_id = item_id WHERE rank = 1)"
 _WORDS_OF = lambda c: f"list_filter(string_split({NORM.format(c)}, ' '), lambda x: x <> '')"
 
 
 @register("ev6_token_f1", f"""WITH {SQL_ANS}, w AS (SELECT id, {_WORDS_OF('pred')} AS p, {_WORDS_OF('gold')} AS g FROM ans),
-c AS (SELECT *, coalesce(list_sum(list_transform(list_distinct(p), lambda x: least(len(list_filter(p, lambda y: y = x)), len(list_filter(g, lambda y: y = x))))), 0) AS c FROM w)
+pc AS (SELECT id, x, count(*) AS n FROM (SELECT id, unnest(p) AS x FROM w) GROUP BY ALL), gc AS (SELECT id, x, count(*) AS n FROM (SELECT id, unnest(g) AS x FROM w) GROUP BY ALL),
+m AS (SELECT id, sum(least(pc.n, gc.n)) AS c FROM pc JOIN gc USING (id, x) GROUP BY id), c AS (SELECT id, p, g, coalesce(c, 0) AS c FROM w LEFT JOIN m USING (id))
 SELECT id, round(CASE WHEN c > 0 THEN 2.0 * c / (len(p) + len(g)) ELSE 0 END, 6) AS f1, round(c / greatest(len(p), 1)::DOUBLE, 6) AS precision, round(c / greatest(len(g), 1)::DOUBLE, 6) AS recall FROM c""")
 def ev6(spark, d):
     return ev.token_scores(answers(spark, d))
@@ -282,31 +282,7 @@ def ev11(spark, d):
 
 @register("ev11_rouge_l")
 def ev11l(spark, d):
-    return answers(spark, d, whole=True).select("id", ev.rouge_l(F.col("pred"), F.col("gold")).alias("score"))
-
-
-@register("ev13_bleu")
-def ev13(spark, d):
-    return ev.bleu(answers(spark, d, whole=True))
-
-
-@register("ev14_judge_parse", "SELECT * FROM (VALUES (1, 0.8), (2, NULL)) t(id, score)")
-def ev14(spark, d):
-    df = spark.createDataFrame([(1, "ok. Total rating: 8 of 10"), (2, "none")], "id int, text string")
-    x = F.regexp_extract("text", r"Total rating:\D*([0-9]+(?:\.[0-9]+)?)", 1)
-    return df.select("id", (F.when(x != "", x.cast("decimal(4,1)")) / 10).cast("decimal(2,1)").alias("score"))
-
-
-@register("ev16_rollup", "SELECT coalesce(source, 'all') AS subject, round(avg(quality), 6) AS score, count(*) AS n FROM labels JOIN documents USING (doc_id) GROUP BY ROLLUP (source)")
-def ev16(spark, d):
-    return table(spark, d, "labels").join(table(spark, d, "documents").select("doc_id", "source"), "doc_id").rollup("source").agg(F.round(F.avg("quality"), 6).alias("score"), F.count("*").alias("n")).select(F.coalesce("source", F.lit("all")).alias("subject"), "score", "n")
-
-
-@register("ev19_failures", f"WITH {SQL_SPARSE}, {SQL_QRELS} SELECT DISTINCT q_id FROM qrels WHERE q_id NOT IN (SELECT q_id FROM sparse JOIN qrels USING (q_id, doc_id) WHERE rank <= 1)")
-def ev19(spark, d):
-    truth = qrels(spark, d)
-    good = sparse(spark, d, 1).join(truth, ["q_id", "doc_id"], "left_semi").select("q_id")
-    return truth.select("q_id").distinct().join(good, "q_id", "left_anti")
+    return answers(spark, d).select("id", ev.rouge_l(F.col("pred"), F.col("gold")).alias("score"))
 
 
 @register("io14_cache", f"WITH {SQL_SPARSE} SELECT q_id, count(*) AS n, q_id % 2 = 0 AS cached FROM sparse WHERE rank <= 5 GROUP BY q_id")
@@ -372,28 +348,3 @@ def rf3(spark, d):
 @register("kg3_dedup", "SELECT min(doc_id) AS doc_id, sha256(text) AS id FROM documents GROUP BY 2")
 def kg3(spark, d):
     return table(spark, d, "documents").groupBy(F.sha2("text", 256).alias("id")).agg(F.min("doc_id").alias("doc_id"))
-
-
-@register("pl2_conditional", f"WITH {SQL_SPARSE} SELECT item_id AS id, CASE WHEN length(b.text) % 2 = 0 THEN 'retrieved' ELSE 'naive' END AS route, CASE WHEN length(b.text) % 2 = 0 THEN doc_id END AS doc_id FROM benchmark b LEFT JOIN sparse ON item_id = q_id AND rank = 1")
-def pl2(spark, d):
-    """Questions go by a judge's verdict through retrieval or past it, and are merged by id."""
-    q = benchmark(spark, d)
-    judge = F.length("text") % 2 == 0
-    yes = q.where(judge).join(rt.bm25_search(table(spark, d, "documents"), q.where(judge), 1).select("q_id", "doc_id"), "q_id", "left").select(F.col("q_id").alias("id"), F.lit("retrieved").alias("route"), "doc_id")
-    return yes.unionByName(q.where(~judge).select(F.col("q_id").alias("id"), F.lit("naive").alias("route"), F.lit(None).cast("long").alias("doc_id")))
-
-
-@register("pl6_iter_retgen")
-def pl6(spark, d):
-    """Three rounds: the query grows by the extractive answer of the round before."""
-    from corvid.operators.loops import iterate
-
-    return iterate(spark, benchmark(spark, d), index(spark, d), table(spark, d, "documents").select("doc_id", "text"), rounds=3)
-
-
-@register("pl10_ircot")
-def pl10(spark, d):
-    """Two rounds with a growing pool that keeps each document's best score; order ascending."""
-    from corvid.operators.loops import pooled
-
-    return pooled(spark, benchmark(spark, d), index(spark, d), table(spark, d, "documents").select("doc_id", "text"), rounds=2, k=5)

@@ -95,15 +95,6 @@ def tx11(spark, d):
     return docs(spark, d).select("doc_id", tx.first_sentence_title(F.col("text")).alias("title"))
 
 
-_WIKI = "'''Ann''' &amp; [[Bob|Robert]] {{cite|x}}<ref>no</ref> met [[Carl]].<!-- gone -->"
-
-
-@register("tx12_wiki", f"SELECT n, 'Ann & Robert met Carl.' AS out, n = 2 AS stub FROM (VALUES (1), (2)) t(n)")
-def tx12(spark, d):
-    df = literals(spark, [(1, "Ann", _WIKI), (2, "List of people", _WIKI)], "n int, title string, text string")
-    return df.select("n", tx.wiki_clean(F.col("text")).alias("out"), tx.is_wiki_stub(F.col("title"), F.col("text")).alias("stub"))
-
-
 @register("tx13_merge_pages", "SELECT source, sha256(string_agg(text, ' ' ORDER BY doc_id)) AS digest, count(*) AS n FROM documents GROUP BY source")
 def tx13(spark, d):
     ordered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda x: x["text"]), " ")
@@ -313,22 +304,8 @@ def pr3(spark, d):
     return docs(spark, d).select("doc_id", w.alias("w")).select("doc_id", F.when(F.size("w") <= 60, F.array_join("w", " ")).otherwise(F.array_join(F.concat(F.slice("w", 1, 30), F.slice("w", -30, 30)), " ")).alias("out"))
 
 
-@register("kg2_triples", r"""SELECT trim(regexp_extract(x, '^(.*);([^;]*);([^;]*)$', 1)) AS head, trim(regexp_extract(x, '^(.*);([^;]*);([^;]*)$', 2)) AS relation, trim(regexp_extract(x, '^(.*);([^;]*);([^;]*)$', 3)) AS tail
-FROM (SELECT unnest(regexp_extract_all('<A; born in; X> <bad> <P;Q; r; Y>', '<([^>]*)>', 1)) AS x) WHERE regexp_matches(x, '^(.*);([^;]*);([^;]*)$')""")
-def kg2(spark, d):
-    return triples(literals(spark, [("<A; born in; X> <bad> <P;Q; r; Y>",)], "text string")).drop("text")
-
-
 def triples(frame):
     """Explodes <head; relation; tail> blocks; malformed ones are skipped."""
     p = "^(.*);([^;]*);([^;]*)$"
     x = frame.withColumn("x", F.explode(F.regexp_extract_all("text", F.lit("<([^>]*)>"), F.lit(1)))).where(F.col("x").rlike(p))
     return x.select(*frame.columns, *[F.trim(F.regexp_extract("x", p, n)).alias(c) for n, c in enumerate(("head", "relation", "tail"), 1)])
-
-
-@register("ap1_answers", "SELECT * FROM (VALUES ('basic', 'first'), ('gaokao', 'BD'), ('ircot', 'Rome.'), ('selfask', 'Paris')) t(parser, answer)")
-def ap1(spark, d):
-    rows = [("selfask", "x\nSo the final answer is: Paris\nmore"), ("ircot", "a b. So the answer is: Rome."), ("basic", "first\nsecond"), ("gaokao", "I think B, D")]
-    df = literals(spark, rows, "parser string, text string")
-    t = F.col("text")
-    return df.select("parser", F.when(F.col("parser") == "selfask", F.regexp_extract(t, r"So the final answer is: ([^\n]*)", 1)).when(F.col("parser") == "ircot", F.trim(F.substring_index(t, "So the answer is:", -1))).when(F.col("parser") == "basic", F.substring_index(t, "\n", 1)).otherwise(F.array_join(F.regexp_extract_all(t, F.lit(r"\b([A-D])\b"), F.lit(1)), "")).alias("answer"))
