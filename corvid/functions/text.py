@@ -8,7 +8,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WORD = r"[\p{L}\p{N}_]{2,}"
-FOOTERS = ("©", "&copy;", "all rights reserved", "privacy policy", "terms of use", "cookie", "subscribe", "contact us", "powered by")
+#: Patterns of footer lines, each for a whole trimmed line in lower case: a sentence that mentions one of them stays.
+FOOTERS = (
+    r"(©|&copy;|\(c\)|copyright).*",
+    r".{0,60}(all )?rights reserved\.?",
+    r"(privacy|cookie) (policy|notice|settings)( [|·-].*)?\.?",
+    r"terms (of|and) (use|service|conditions)( [|·-].*)?\.?",
+    r"(we use|this site uses) cookies.{0,80}",
+    r"(subscribe|sign up)( (to|for) (our )?(newsletter|updates))?[.!]?",
+    r"(contact|about) us( [|·-].*)?[.!]?",
+    r"powered by .{1,40}",
+    r"follow us( on .{1,40})?[.!]?",
+)
 
 
 def normalize_whitespace(c: Column) -> Column:
@@ -33,11 +44,10 @@ def clean_text(c: Column, preserve_structure: bool = True, unicode: bool = True)
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
-def remove_footer(c: Column, markers=FOOTERS) -> Column:
-    """Lines with a footer marker go; blank lines stay."""
-    low = lambda x: F.lower(x)
-    hit = lambda x: F.greatest(*[F.contains(low(x), F.lit(m)).cast("int") for m in markers]) == 1
-    return F.rtrim(F.array_join(F.filter(F.split(c, "\n"), lambda x: ~hit(x)), "\n"))
+def remove_footer(c: Column, patterns=FOOTERS) -> Column:
+    """Lines that a footer pattern matches whole go; blank lines stay."""
+    rule = "^(" + "|".join(patterns) + ")$"
+    return F.rtrim(F.array_join(F.filter(F.split(c, "\n"), lambda x: ~F.lower(F.trim(x)).rlike(rule)), "\n"))
 
 
 KEEP = {"aggressive": r"\p{L}\s", "default": r"\p{L}0-9\s", "smart": r"\p{L}0-9\s|%.,\-"}
@@ -99,11 +109,19 @@ def quality_reason(text: Column, title: Column | None = None) -> Column:
     )
 
 
+_TITLE = r"^([^.!?\n]{1,99})[.!?\n]"
+
+
 def first_sentence_title(text: Column) -> Column:
-    first = F.regexp_extract(text, r"^([^.!?\n]{1,99})[.!?\n]", 1)
+    first = F.regexp_extract(text, _TITLE, 1)
     return F.when(first != "", F.trim(first))
 
 
+def without_title(text: Column) -> Column:
+    """The text without the sentence that first_sentence_title() makes its title."""
+    return F.when(F.regexp_extract(text, _TITLE, 1) != "", F.trim(F.regexp_replace(text, _TITLE, ""))).otherwise(text)
+
+
 def merge_short_paragraphs(c: Column, least: int = 50) -> Column:
     """Appends a line to the current one while that is shorter than `least`; a blank line ends it."""
     start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
@@ -184,19 +202,77 @@ def table_rows(c: Column) -> Column:
     return F.array_join(F.transform(kept, lambda x: F.when(F.contains(x, F.lit("|")), F.array_join(cells(x), " | ")).otherwise(F.trim(F.regexp_replace(x, r"[\t ]+", " ")))), "\n")
 
 
-NUMERIC = (("currency", r"[$€£]\s?[0-9]+(?:[.,][0-9]+)?"), ("percentage", r"[0-9]+(?:[.,][0-9]+)?\s?%"), ("date", r"[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{2,4}"), ("large_number", r"[0-9]{4,}"))
+NUMERIC = (("rate", r"[0-9]+(?:[.,][0-9]+)?\s?(?:per|pro|par|por|/)\s?[a-z]+"), ("currency", r"[$€£]\s?[0-9]+(?:[.,][0-9]+)?"), ("percentage", r"[0-9]+(?:[.,][0-9]+)?\s?%"), ("date", r"[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{2,4}"), ("large_number", r"[0-9]{4,}"))
 
 
 def numerics(c: Column) -> Column:
     """array<struct<kind, value>> in order of the families."""
 
-
     def family(kind, pattern):
         return F.transform(F.regexp_extract_all(c, F.lit(f"({pattern})"), F.lit(1)), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
 
     return F.concat(*[family(kind, pattern) for kind, pattern in NUMERIC])
 
 
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("kind", "value", "context")])))
+def numeric_contexts(s: pd.Series) -> pd.Series:
+    """The numerics with up to 20 characters of text on either side; expressions can't tell positions."""
+    import regex
+
+    rules = [(kind, regex.compile(p)) for kind, p in NUMERIC]
+    return pd.Series([[{"kind": k, "value": m[0], "context": t[max(0, m.start() - 20) : m.end() + 20]} for k, r in rules for m in r.finditer(t)] if t is not None else None for t in s])
+
+
+def keep_table_cells(c: Column) -> Column:
+    """Table lines of a chunk with their cells re-joined; all other lines as they are."""
+    cells = lambda x: F.filter(F.transform(F.split(x, r"\|"), lambda y: F.trim(y)), lambda y: y != "")
+    return F.array_join(F.transform(F.split(c, "\n"), lambda x: F.when(F.contains(x, F.lit("|")), F.array_join(cells(x), " | ")).otherwise(x)), "\n")
+
+
+def keywords(c: Column, terms: tuple[str, ...], stop=()) -> Column:
+    """The tokens that equal a dictionary term, hold one, or are part of one; each once, in order."""
+    table = F.array(*map(F.lit, terms))
+    near = lambda w: F.exists(table, lambda t: (w == t) | F.contains(w, t) | F.contains(t, w))
+    some = lambda w: (F.length(w) >= 2) & (~w.isin(*stop) if stop else F.lit(True)) & near(w)
+    return F.array_sort(F.array_distinct(F.filter(tokens(c), some)))
+
+
+def number_variants(c: Column) -> Column:
+    """Other writings of a text's numbers: decimal point and comma exchanged, whole numbers with a zero behind, groups of thousands."""
+    numbers = F.array_distinct(F.regexp_extract_all(c, F.lit(r"[0-9]+(?:[.,][0-9]+)?"), F.lit(0)))
+
+    def forms(x):
+        whole = x.rlike("^[0-9]+$")
+        swapped = F.translate(x, ".,", ",.")
+        grouped = F.regexp_replace(x, r"(?<=[0-9])(?=(?:[0-9]{3})+$)", " ")
+        return F.when(whole & (F.length(x) > 3), F.array(F.concat(x, F.lit(".0")), F.concat(x, F.lit(",0")), grouped)).when(whole, F.array(F.concat(x, F.lit(".0")), F.concat(x, F.lit(",0")))).otherwise(F.array(swapped, F.regexp_extract(x, "^[0-9]+", 0)))
+
+    return F.flatten(F.transform(numbers, forms))
+
+
+def expand_query(c: Column, synonyms: dict[str, tuple[str, ...]], critical: tuple[str, ...] = (), extra_words: int = 40, extra_chars: int = 200) -> Column:
+    """A query with synonyms of its terms (three, or five of critical ones) and variants of its numbers behind it.
+
+    At most so many further words are added, and none that would pass so many further characters.
+    """
+    own = tokens(c)
+    added = [F.when(F.array_contains(own, term), F.array(*map(F.lit, words_[: 5 if term in critical else 3]))).otherwise(F.array().cast("array<string>")) for term, words_ in synonyms.items()]
+    more = F.slice(F.array_distinct(F.concat(*added, number_variants(c))), 1, extra_words)
+    start = F.struct(c.alias("text"), F.length(c).alias("size"))
+    room = lambda a, w: F.length(a["text"]) + 1 + F.length(w) <= a["size"] + extra_chars
+    return F.aggregate(more, start, lambda a, w: F.when(room(a, w), F.struct(F.concat(a["text"], F.lit(" "), w).alias("text"), a["size"].alias("size"))).otherwise(a), lambda a: a["text"])
+
+
+def prepared_query(c: Column, synonyms: dict[str, tuple[str, ...]], important: tuple[str, ...], mode: str = "default") -> Column:
+    """Expanded, up to two important keywords repeated in queries under 30 words, normalised; a blank one is a space, one that
+    normalising empties stays as it was."""
+    wide = expand_query(c, synonyms)
+    again = F.slice(F.filter(F.array(*map(F.lit, important)), lambda k: F.array_contains(tokens(c), k)), 1, 2)
+    wide = F.when((F.size(words(wide)) < 30) & (F.size(again) > 0), F.concat_ws(" ", wide, F.array_join(again, " "))).otherwise(wide)
+    norm = normalize_for_retrieval(wide, mode)
+    return F.when(F.trim(c) == "", F.lit(" ")).when(norm == "", c).otherwise(norm)
+
+
 def is_numeric_query(c: Column) -> Column:
     return c.rlike(r"[0-9]") | F.lower(c).rlike(r"\b(rate|percent|limit|price|cost|fee|amount|tariff)\b")
 
@@ -217,3 +293,30 @@ def windows(array: Column, size: int, stride: int) -> Column:
     """Windows every `stride` items; the first that reaches the end is the last."""
     last = F.greatest(F.lit(0), F.ceil((F.size(array) - size) / stride).cast("int"))
     return F.when(F.size(array) > 0, F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(array, k * stride + 1, size))).otherwise(F.array().cast("array<array<string>>"))
+
+
+_encoders: dict = {}
+
+
+def token_windows(c: Column, vocabulary: str, size: int, overlap: int = 0) -> Column:
+    """array<string>: a text's windows of `size` tokens of a vocabulary file, each but the first repeating `overlap` tokens.
+
+    Cut at the tokens' places in the text, so a window is a piece of it; a character of several
+    tokens goes to the window of its first token.
+    """
+
+    @F.pandas_udf("array<string>")
+    def cut(s: pd.Series) -> pd.Series:
+        if vocabulary not in _encoders:
+            from tokenizers import Tokenizer
+
+            _encoders[vocabulary] = Tokenizer.from_file(vocabulary)
+        out = []
+        for text in s:
+            spots = _encoders[vocabulary].encode(text or "", add_special_tokens=False).offsets
+            starts = [a for a, _ in spots] + [len(text or "")]
+            last = max(0, -(-(len(spots) - size) // (size - overlap)))
+            out.append([text[starts[k * (size - overlap)] : starts[min(k * (size - overlap) + size, len(spots))]] for k in range(last + 1)] if spots else [])
+        return pd.Series(out)
+
+    return cut(c)

@@ -8,7 +8,7 @@ from corvid.functions import text as tx
 from corvid.operators import retrieval as rt
 from corvid.operators import routing as ro
 from corvid.operators.loops import settled
-from corvid.session import shared_dir, spread, table
+from corvid.session import scratch, spread, table
 
 from .registry import register
 from .retrieval_queries import SQL_HITS, SQL_INDEX, SQL_OVERLAP, SQL_SPARSE, TOKS, benchmark, hits, reranked, sparse, submission, vectors
@@ -140,7 +140,7 @@ def dn4(spark, d):
 @register("dn5_flat_index", "SELECT vec_id AS item, len(embedding)::BIGINT AS dim, round(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]), 4) AS norm FROM embeddings")
 def dn5(spark, d):
     """The vectors written as an index and read back."""
-    path = f"{shared_dir(spark)}/flat-index-{abs(hash(d)) % 10**8}"
+    path = scratch(spark, "flat-index")
     ro.write_vectors(vectors(spark, d)[0], path)
     v = ro.read_vectors(spark, path)
     return v.select("item", F.size("v").cast("long").alias("dim"), F.round(rt.dot(F.col("v"), F.col("v")), 4).alias("norm"))

@@ -51,13 +51,12 @@ def tx4(spark, d):
     return docs(spark, d).select("doc_id", tx.clean_text(F.col("text"), False).alias("out"))
 
 
+_FOOT = "^(" + "|".join(tx.FOOTERS) + ")$"
 _TX6 = r"""
 WITH p AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', '', 'g'),
   '(?i)</(p|div|li|ul|h[1-6]|title|nav|footer|header)>|<br[^>]*>', chr(10), 'g'), '<[^>]+>', '', 'g') AS t FROM pages)
-SELECT page_id, rtrim(array_to_string(list_filter(string_split(t, chr(10)), lambda x: NOT (
-  contains(lower(x), '©') OR contains(lower(x), '&copy;') OR contains(lower(x), 'all rights reserved') OR contains(lower(x), 'privacy policy') OR contains(lower(x), 'terms of use')
-  OR contains(lower(x), 'cookie') OR contains(lower(x), 'subscribe') OR contains(lower(x), 'contact us') OR contains(lower(x), 'powered by'))), chr(10)), ' ') AS out FROM p
-"""
+SELECT page_id, rtrim(array_to_string(list_filter(string_split(t, chr(10)), lambda x: NOT regexp_matches(lower(trim(x)), 'FOOT')), chr(10)), ' ') AS out FROM p
+""".replace("FOOT", _FOOT)
 
 
 @register("tx6_footer", _TX6)
@@ -78,7 +77,11 @@ def tx5(spark, d):
     return table(spark, d, "pages").select("page_id", tx.clean_title(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("out"))
 
 
-@register("tx9_merge_paragraphs")
+_TX9 = """SELECT doc_id, array_to_string(list_filter(string_split(list_reduce(list_prepend('', string_split(text, chr(10))), lambda a, l: CASE WHEN trim(l) = '' THEN CASE WHEN string_split(a, chr(2))[-1] = '' THEN a ELSE a || chr(2) END
+  WHEN string_split(a, chr(2))[-1] = '' THEN a || trim(l) WHEN length(string_split(a, chr(2))[-1]) < 50 THEN a || ' ' || trim(l) ELSE a || chr(2) || trim(l) END), chr(2)), lambda x: x <> ''), chr(10)) AS out FROM documents"""
+
+
+@register("tx9_merge_paragraphs", _TX9)
 def tx9(spark, d):
     return docs(spark, d).select("doc_id", tx.merge_short_paragraphs(F.col("text")).alias("out"))
 
@@ -90,15 +93,21 @@ def tx10(spark, d):
     return docs(spark, d).groupBy(F.coalesce(tx.quality_reason(F.col("text")), F.lit("ok")).alias("reason")).agg(F.count("*").alias("n"))
 
 
-@register("tx11_title_backfill", r"SELECT doc_id, CASE WHEN regexp_extract(text, '^([^.!?\n]{1,99})[.!?\n]', 1) <> '' THEN trim(regexp_extract(text, '^([^.!?\n]{1,99})[.!?\n]', 1)) END AS title FROM documents")
+_TITLE = r"regexp_extract(text, '^([^.!?\n]{1,99})[.!?\n]', 1)"
+
+
+@register("tx11_title_backfill", rf"SELECT doc_id, CASE WHEN {_TITLE} <> '' THEN trim({_TITLE}) END AS title, CASE WHEN {_TITLE} <> '' THEN trim(regexp_replace(text, '^([^.!?\n]{{1,99}})[.!?\n]', '')) ELSE text END AS body FROM documents")
 def tx11(spark, d):
-    return docs(spark, d).select("doc_id", tx.first_sentence_title(F.col("text")).alias("title"))
+    """The first sentence becomes the title and leaves the text."""
+    return docs(spark, d).select("doc_id", tx.first_sentence_title(F.col("text")).alias("title"), tx.without_title(F.col("text")).alias("body"))
 
 
-@register("tx13_merge_pages", "SELECT source, sha256(string_agg(text, ' ' ORDER BY doc_id)) AS digest, count(*) AS n FROM documents GROUP BY source")
+@register("tx13_merge_pages", rf"SELECT source, title, sha256(string_agg(text, ' ' ORDER BY doc_id)) AS digest, count(*) AS n FROM (SELECT *, CASE WHEN {_TITLE} <> '' THEN trim({_TITLE}) ELSE 'untitled ' || doc_id END AS title FROM documents) GROUP BY source, title")
 def tx13(spark, d):
+    """Texts of one source and title as one page; a text without a title is a page of its own."""
+    title = F.coalesce(tx.first_sentence_title(F.col("text")), F.concat(F.lit("untitled "), F.col("doc_id").cast("string")))
     ordered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda x: x["text"]), " ")
-    return docs(spark, d).groupBy("source").agg(F.sha2(ordered, 256).alias("digest"), F.count("*").alias("n"))
+    return docs(spark, d).groupBy("source", title.alias("title")).agg(F.sha2(ordered, 256).alias("digest"), F.count("*").alias("n"))
 
 
 @register("tx14_strip_html", r"SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '\s+', ' ', 'g')) AS out FROM pages")
@@ -119,9 +128,12 @@ def tx17(spark, d):
     return table(spark, d, "pages").select("page_id", tx.last_between(F.col("html"), "<li>", "</li>").alias("last"), F.size(tx.between(F.col("html"), "<li>", "</li>")).cast("long").alias("n"))
 
 
-@register("tx18_language", "SELECT lang, 'latin' AS script, count(*) AS n FROM documents GROUP BY lang")
+@register("tx18_language", r"WITH t AS (SELECT lang, CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN substr(text, 1, 40) || repeat('ёж', 40) ELSE substr(text, 1, 40) || repeat('日本', 40) END AS t FROM documents), n AS (SELECT lang, len(regexp_extract_all(t, '\p{L}')) AS l, len(regexp_extract_all(t, '\p{Han}')) AS h, len(regexp_extract_all(t, '\p{Cyrillic}')) AS c FROM t) SELECT lang, CASE WHEN h * 2 > greatest(l, 1) THEN 'zh' WHEN c * 2 > greatest(l, 1) THEN 'ru' ELSE 'latin' END AS script, count(*) AS n FROM n GROUP BY ALL")
 def tx18(spark, d):
-    return docs(spark, d).groupBy("lang", tx.script_language(F.col("text")).alias("script")).agg(F.count("*").alias("n"))
+    """A third of the texts with Cyrillic, a third with Han behind their beginnings."""
+    head = F.substring("text", 1, 40)
+    t = F.when(F.col("doc_id") % 3 == 0, F.col("text")).when(F.col("doc_id") % 3 == 1, F.concat(head, F.repeat(F.lit("ёж"), 40))).otherwise(F.concat(head, F.repeat(F.lit("日本"), 40)))
+    return docs(spark, d).groupBy("lang", tx.script_language(t).alias("script")).agg(F.count("*").alias("n"))
 
 
 @register("tx19_content_id", "SELECT sha256(text) AS id, min(doc_id) AS doc_id, count(*) AS n FROM documents GROUP BY 1")
@@ -129,9 +141,25 @@ def tx19(spark, d):
     return docs(spark, d).groupBy(tx.content_id(F.col("text")).alias("id")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
 
 
-@register("tb1_detect_table", r"SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\|.*\|'))) > 0 AS has_table FROM documents")
+_TABBED = "CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN replace(text, ', ', chr(9)) WHEN 2 THEN replace(text, ', ', '  ') ELSE replace(text, '|', ' ') END"
+
+
+@register("tb1_detect_table", rf"SELECT doc_id, len(list_filter(l, lambda x: regexp_matches(x, '\|.*\|'))) > 0 OR (len(l) >= 2 AND (len(list_filter(l[1:5], lambda x: contains(x, chr(9)))) >= 2 OR len(list_filter(l[1:5], lambda x: contains(x, '  '))) >= 2)) AS has_table FROM (SELECT doc_id, string_split({_TABBED}, chr(10)) AS l FROM documents)")
 def tb1(spark, d):
-    return docs(spark, d).select("doc_id", tx.detect_table(F.col("text")).alias("has_table"))
+    """Commas become tabs in a quarter of the texts, double spaces in another."""
+    kind, c = F.col("doc_id") % 4, F.col("text")
+    t = F.when(kind == 0, c).when(kind == 1, F.replace(c, F.lit(", "), F.lit("\t"))).when(kind == 2, F.replace(c, F.lit(", "), F.lit("  "))).otherwise(F.replace(c, F.lit("|"), F.lit(" ")))
+    return docs(spark, d).select("doc_id", tx.detect_table(t).alias("has_table"))
+
+
+@register("tb3_chunk_tables", r"SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x: CASE WHEN contains(x, '|') THEN array_to_string(list_filter(list_transform(string_split(x, '|'), lambda y: trim(y)), lambda y: y <> ''), ' | ') ELSE x END), chr(10)) AS out FROM documents")
+def tb3(spark, d):
+    return docs(spark, d).select("doc_id", tx.keep_table_cells(F.col("text")).alias("out"))
+
+
+@register("tb4_contexts")
+def tb4c(spark, d):
+    return docs(spark, d).select("doc_id", F.explode(tx.numeric_contexts("text")).alias("x")).select("doc_id", "x.kind", "x.value", "x.context")
 
 
 @register("tb2_table_rows", r"""SELECT doc_id, array_to_string(list_transform(list_filter(string_split(text, chr(10)), lambda x: NOT (contains(x, '|') AND regexp_matches(x, '^[\|\s\-:]+$'))),
@@ -149,25 +177,44 @@ def tb4(spark, d):
     return one.groupBy("doc_id", F.col("x.kind").alias("kind"), F.col("x.value").alias("value")).agg(F.count("*").alias("n"))
 
 
-_TERMS = ("license", "version", "email", "password", "token", "phone")
+_TERMS = ("license", "version", "email", "password", "token", "phone", "copyright", "software", "warranty", "liable", "notice", "permission")
+_ABBREVIATIONS = {"de": "(of)", "la": "(the)", "en": "(in)", "el": "(the)", "que": "(that)", "und": "(and)", "der": "(the)", "le": "(the)", "et": "(and)"}
+_SYNONYMS = {"the": ("this", "that", "these", "those"), "of": ("from", "off"), "and": ("plus", "also", "with", "both", "too", "as"), "de": ("von", "of"), "la": ("die",)}
 
 
-@register("tb5_keywords", f"SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter({list(_TERMS)}, lambda k: list_contains({TOK}, k))), 'ASC'), ',') AS keywords FROM documents")
+@register("tb5_keywords", f"SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter({TOK}, lambda w: len(list_filter({list(_TERMS)}, lambda t: contains(w, t) OR contains(t, w))) > 0))), ',') AS keywords FROM documents")
 def tb5(spark, d):
-    """Dictionary terms among a document's tokens; the dictionary is a fixed short list."""
-    found = F.array_sort(F.array_intersect(F.array(*map(F.lit, _TERMS)), tx.tokens(F.col("text"))))
-    return docs(spark, d).select("doc_id", F.array_join(found, ",").alias("keywords"))
+    """Tokens that hold a dictionary term or are part of one; the dictionary is a parameter."""
+    return docs(spark, d).select("doc_id", F.array_join(tx.keywords(F.col("text"), _TERMS), ",").alias("keywords"))
+
+
+_CASES = " ".join(f"WHEN '{k}' THEN '{k} {v}'" for k, v in _ABBREVIATIONS.items())
 
 
-@register("tb6_abbreviations", r"SELECT item_id, regexp_replace(regexp_replace(text, '\bde\b', 'de (of)', 'g'), '\bla\b', 'la (the)', 'g') AS out FROM benchmark")
+@register("tb6_abbreviations", rf"SELECT item_id, array_to_string(list_transform(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_]+'), lambda x: CASE x {_CASES} ELSE x END), '') AS out FROM benchmark")
 def tb6(spark, d):
-    return table(spark, d, "benchmark").select("item_id", tx.expand_abbreviations(F.col("text"), {"de": "(of)", "la": "(the)"}).alias("out"))
+    """Every abbreviation of the table, a parameter, with what it stands for behind it."""
+    return table(spark, d, "benchmark").select("item_id", tx.expand_abbreviations(F.col("text"), _ABBREVIATIONS).alias("out"))
+
+
+_ADDED = "list_concat(" * (len(_SYNONYMS) - 1) + ", ".join(f"CASE WHEN list_contains({TOK}, '{k}') THEN {list(v[: 5 if k == 'and' else 3])} ELSE []::VARCHAR[] END{')' if n else ''}" for n, (k, v) in enumerate(_SYNONYMS.items()))
+_NUMBERED = "flatten(list_transform(nums, lambda x: CASE WHEN NOT contains(x, '.') AND NOT contains(x, ',') THEN CASE WHEN length(x) > 3 THEN [x || '.0', x || ',0', rtrim(reverse(regexp_replace(reverse(x), '([0-9]{3})', '\\1 ', 'g')))] ELSE [x || '.0', x || ',0'] END ELSE [translate(x, '.,', ',.'), regexp_extract(x, '^[0-9]+', 0)] END))"
 
 
-@register("tb8_prepare_query", rf"SELECT item_id, coalesce(nullif(trim(regexp_replace(regexp_replace(lower(text), '[^\p{{L}}0-9\s]', ' ', 'g'), '\s+', ' ', 'g')), ''), text) AS query FROM benchmark")
+@register("tb7_expand_query", rf"WITH q AS (SELECT item_id, text || ' 12 3,5 1234567' AS text, list_sort(list_distinct(regexp_extract_all(text || ' 12 3,5 1234567', '[0-9]+(?:[.,][0-9]+)?'))) AS nums FROM benchmark), a AS (SELECT item_id, text, list_concat({_ADDED}, {_NUMBERED}) AS more FROM q) SELECT item_id, list_sort(list_distinct(more)) AS added FROM a")
+def tb7(spark, d):
+    """What an expansion adds, in order of the words; the room for it is tested on fixtures."""
+    text = F.concat("text", F.lit(" 12 3,5 1234567"))
+    rows = table(spark, d, "benchmark").select("item_id", text.alias("text"), tx.expand_query(text, _SYNONYMS, ("and",), 1000, 100000).alias("wide"))
+    more = F.substring(F.col("wide"), F.length("text") + 2, F.length("wide"))
+    return rows.select("item_id", F.array_sort(F.array_distinct(F.split(F.regexp_replace(more, "1 234 567", "1_234_567"), " "))).alias("w")).select("item_id", F.array_sort(F.transform("w", lambda x: F.replace(x, F.lit("_"), F.lit(" ")))).alias("added"))
+
+
+@register("tb8_prepare_query", rf"WITH q AS (SELECT *, list_filter(['the', 'of', 'de'], lambda k: list_contains({TOK}, k))[1:2] AS k, len({WORDS}) AS n FROM benchmark) SELECT item_id, coalesce(nullif(trim(regexp_replace(regexp_replace(lower(CASE WHEN n < 30 AND len(k) > 0 THEN text || ' ' || array_to_string(k, ' ') ELSE text END), '[^\p{{L}}0-9\s]', ' ', 'g'), '\s+', ' ', 'g')), ''), text) AS query FROM q WHERE NOT regexp_matches(text, '[0-9]')")
 def tb8(spark, d):
-    norm = tx.normalize_for_retrieval(F.col("text"))
-    return table(spark, d, "benchmark").select("item_id", F.when(norm == "", F.col("text")).otherwise(norm).alias("query"))
+    """Queries without numbers, with no synonyms, where SQL can follow: important terms are repeated in short ones."""
+    rows = table(spark, d, "benchmark").where(~F.col("text").rlike("[0-9]"))
+    return rows.select("item_id", tx.prepared_query(F.col("text"), {"\u0001": ("x",)}, ("the", "of", "de")).alias("query"))
 
 
 @register("tb9_numeric_query", r"SELECT doc_id, regexp_matches(text, '[0-9]') OR regexp_matches(lower(text), '\b(rate|percent|limit|price|cost|fee|amount|tariff)\b') AS numeric FROM documents")
@@ -213,7 +260,12 @@ def ch5(spark, d):
     return s.select("doc_id", F.posexplode(tx.windows(F.col("s"), 3, 2)).alias("segment", "part")).select("doc_id", F.col("segment").cast("long").alias("segment"), F.array_join("part", " ").alias("text"))
 
 
-@register("ch3_sentence_chunks")
+_CH3 = f"""WITH s AS (SELECT doc_id, {SENT} AS s FROM documents),
+f AS (SELECT doc_id, string_split(list_reduce(s, lambda a, x: CASE WHEN len(list_filter(regexp_split_to_array(string_split(a, chr(2))[-1], '[ \n\t]+'), lambda y: y <> '')) + len(list_filter(regexp_split_to_array(x, '[ \n\t]+'), lambda y: y <> '')) <= 60 THEN a || ' ' || x ELSE a || chr(2) || x END), chr(2)) AS c FROM s WHERE len(s) > 0)
+SELECT doc_id, (generate_subscripts(c, 1) - 1)::BIGINT AS chunk, unnest(c) AS text FROM f"""
+
+
+@register("ch3_sentence_chunks", _CH3)
 def ch3(spark, d):
     """Whole sentences packed up to 60 words: a fold over the sentence array."""
     s = docs(spark, d).select("doc_id", plain_sentences(F.col("text")).alias("s"))
@@ -221,7 +273,7 @@ def ch3(spark, d):
     size = lambda x: F.size(tx.words(x))
     step = lambda a, x: F.when(a["open"] == "", F.struct(a["done"].alias("done"), x.alias("open"))).when(size(a["open"]) + size(x) <= 60, F.struct(a["done"].alias("done"), F.concat(a["open"], F.lit(" "), x).alias("open"))).otherwise(F.struct(F.concat(a["done"], F.array(a["open"])).alias("done"), x.alias("open")))
     parts = F.aggregate("s", start, step, lambda a: F.when(a["open"] != "", F.concat(a["done"], F.array(a["open"]))).otherwise(a["done"]))
-    return s.select("doc_id", F.posexplode(parts).alias("chunk", "text"))
+    return s.select("doc_id", F.posexplode(parts).alias("chunk", "text")).withColumn("chunk", F.col("chunk").cast("long"))
 
 
 @register("ch6_wrapped_segments", f"""

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +60,27 @@ def shared_dir(spark: SparkSession) -> str:
     if context.master.split("[")[0] == "local":
         return "file://" + os.path.join(tempfile.gettempdir(), f"corvid-{os.getpid()}")
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/corvid-scratch"
+
+
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one, deleted when the process ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _scratch.append((spark, path))
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@atexit.register
+def _clean() -> None:
+    for spark, path in _scratch:
+        try:
+            delete(spark, path)
+        except Exception:  # noqa: BLE001  the JVM may have ended before; the folder is scratch
+            return

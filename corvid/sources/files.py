@@ -5,6 +5,7 @@ All read through Spark's own readers, so paths of any store that Spark knows wor
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,3 +90,59 @@ def read_split(spark: SparkSession, folder: str, split: str, schema: str, n: int
         raise FileNotFoundError(f"no {split} in {folder}")
     rows = spark.read.parquet(path) if path.endswith(".parquet") else read_jsonl(spark, path, schema)
     return rows if n is None else rows.orderBy("id" if seed is None else F.rand(seed)).limit(n)
+
+
+def web_search(queries: DataFrame, fetch, n: int) -> DataFrame:
+    """(q_id, rank, title, text, url) of a web search: fetch(q_id, query, n) gives dicts; a query whose fetch fails has no hits."""
+    def run(frames):
+        for f in frames:
+            rows = []
+            for q_id, query in zip(f["q_id"], f["text"], strict=True):
+                try:
+                    found = fetch(q_id, query, n)
+                except Exception:  # noqa: BLE001  the network may fail in any way, and must not fail the job
+                    found = []
+                rows += [(q_id, k, x.get("title", ""), x.get("text", ""), x.get("url", "")) for k, x in enumerate(found[:n], 1)]
+            yield pd.DataFrame(rows, columns=["q_id", "rank", "title", "text", "url"])
+
+    return queries.select("q_id", "text").mapInPandas(run, "q_id long, rank long, title string, text string, url string")
+
+
+def read_truth(spark: SparkSession, path: str) -> DataFrame:
+    """(q_id, doc_id) of a JSON map from questions to a document or a list of them."""
+    whole = spark.read.text(path, wholetext=True)
+    pairs = whole.select(F.explode(F.from_json("value", "map<string,string>")).alias("q", "d"))
+    ids = F.regexp_extract_all("d", F.lit("-?[0-9]+"), F.lit(0))
+    return pairs.select(F.col("q").cast("long").alias("q_id"), F.explode(ids).alias("d")).select("q_id", F.col("d").cast("long").alias("doc_id")).dropDuplicates()
+
+
+def write_scored(items: DataFrame, metrics: dict[str, Column], path: str) -> None:
+    """Items with their scores as JSON lines, and one line for each metric over them."""
+    write_jsonl(items, f"{path}/items")
+    rows = items.agg(*[c.alias(n) for n, c in metrics.items()]).select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in metrics])).alias("x"))
+    write_jsonl(rows.select("x.*"), f"{path}/metrics")
+
+
+def read_scored(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    return read_jsonl(spark, f"{path}/items", schema), read_jsonl(spark, f"{path}/metrics", "metric string, value double")
+
+
+def write_float_rows(vectors: DataFrame, path: str) -> None:
+    """(item, v) with v as little-endian float32 bytes, the rows of a memory-mapped matrix."""
+    @F.pandas_udf("binary")
+    def pack(v: pd.Series) -> pd.Series:
+        import numpy as np
+
+        return pd.Series([np.asarray(x, "<f4").tobytes() for x in v])
+
+    vectors.select("item", pack(F.col("v")).alias("raw")).write.mode("overwrite").parquet(path)
+
+
+def read_float_rows(spark: SparkSession, path: str) -> DataFrame:
+    @F.pandas_udf("array<float>")
+    def unpack(raw: pd.Series) -> pd.Series:
+        import numpy as np
+
+        return pd.Series([np.frombuffer(x, "<f4") for x in raw])
+
+    return spark.read.schema("item long, raw binary").parquet(path).select("item", unpack("raw").alias("v"))
