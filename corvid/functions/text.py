@@ -267,7 +267,7 @@ def prepared_query(c: Column, synonyms: dict[str, tuple[str, ...]], important: t
     """Expanded, up to two important keywords repeated in queries under 30 words, normalised; a blank one is a space, one that
     normalising empties stays as it was."""
     wide = expand_query(c, synonyms)
-    again = F.slice(F.filter(F.array(*map(F.lit, important)), lambda k: F.array_contains(tokens(c), k)), 1, 2)
+    again = F.slice(F.filter(F.array(*map(F.lit, important)).cast("array<string>"), lambda k: F.array_contains(tokens(c), k)), 1, 2)
     wide = F.when((F.size(words(wide)) < 30) & (F.size(again) > 0), F.concat_ws(" ", wide, F.array_join(again, " "))).otherwise(wide)
     norm = normalize_for_retrieval(wide, mode)
     return F.when(F.trim(c) == "", F.lit(" ")).when(norm == "", c).otherwise(norm)

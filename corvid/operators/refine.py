@@ -13,7 +13,7 @@ from corvid.functions import text as tx
 def refined_sentences(c: Column) -> Column:
     """Sentences of a text without its title line, each of over five characters; a full stop after a letter's abbreviation is no end."""
     body = F.element_at(F.split(F.concat(c, F.lit("\n")), "\n", 2), 2)
-    return F.filter(F.transform(F.split(F.trim(body), r"(?<![A-Za-z]\.)(?<=[.!?])\s+"), lambda x: F.trim(x)), lambda x: F.length(x) > 5)
+    return F.filter(F.transform(F.split(F.btrim(body, F.lit(" \n\t")), r"(?<![A-Za-z]\.)(?<=[.!?])\s+"), lambda x: F.btrim(x, F.lit(" \n\t"))), lambda x: F.length(x) > 5)
 
 
 def compression_target(instruction: int, question: Column, contexts: Column, rate: float) -> Column:

@@ -92,7 +92,7 @@ def ensemble(runs: DataFrame, weights: dict[str, float], k: int, first: str, ori
     w = F.coalesce(*[F.when(F.col("model") == m, F.lit(x)) for m, x in weights.items()], F.lit(0.0))
     mean = head.groupBy("q_id", "doc_id").agg((F.sum(w * F.col("score")) / F.count("*")).alias("mean"), F.max(original).alias("o"))
     kept = F.when(F.col("o") > 0.8 * F.col("mean"), F.greatest("o", "mean")).otherwise(F.col("mean"))
-    return top_k(mean.select("q_id", "doc_id", F.round(kept, 6).alias("score")), k)
+    return top_k(mean.select("q_id", "doc_id", F.round(kept, 8).alias("score")), k)
 
 
 # --- encoders -----------------------------------------------------------------------------

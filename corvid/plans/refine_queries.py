@@ -16,7 +16,7 @@ from .routing_queries import _OKAPI, context_rows, context_scores, documents
 from .text_queries import WORDS, docs
 
 _W = lambda c: f"list_filter(regexp_split_to_array({c}, '[ \n\t]+'), lambda x: x <> '')"
-_SENT = r"""list_filter(list_transform(string_split(regexp_replace(trim(substr(d.text || chr(10), strpos(d.text || chr(10), chr(10)) + 1), ' '), '([!?]|(?:^|[^A-Za-z])\.)\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: length(x) > 5)"""
+_SENT = r"""list_filter(list_transform(string_split(regexp_replace(trim(substr(d.text || chr(10), strpos(d.text || chr(10), chr(10)) + 1), ' ' || chr(10) || chr(9)), '([!?]|(?:^|[^A-Za-z])\.)\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x, ' ' || chr(10) || chr(9))), lambda x: length(x) > 5)"""
 
 
 @register("rf1_refined", f"""WITH {SQL_SPARSE}, s AS (SELECT q_id, doc_id, unnest({_SENT}) AS s, generate_subscripts({_SENT}, 1) - 1 AS pos FROM sparse JOIN documents d USING (doc_id) WHERE rank = 1),

@@ -102,7 +102,7 @@ def fu17(spark, d):
 
 @register("rr4_ensemble", f"""WITH {SQL_SPARSE}, {SQL_OVERLAP}, {SQL_HITS}, r AS (SELECT h.q_id, h.doc_id, h.source, h.score, 5 * lap.score AS o, row_number() OVER (PARTITION BY h.q_id, h.source ORDER BY h.score DESC, h.doc_id) AS p, sum((h.source = 'bm25')::INT) OVER (PARTITION BY h.q_id) AS size FROM hits h JOIN lap USING (q_id, doc_id)),
 m AS (SELECT q_id, doc_id, sum(CASE source WHEN 'bm25' THEN 0.7::DOUBLE ELSE 0.3::DOUBLE END * score) / count(*) AS mean, max(o) AS o FROM r WHERE p <= least(size, 10) GROUP BY ALL),
-e AS (SELECT q_id, doc_id, round(CASE WHEN o > 0.8::DOUBLE * mean THEN greatest(o, mean) ELSE mean END, 6) AS score FROM m)
+e AS (SELECT q_id, doc_id, round(CASE WHEN o > 0.8::DOUBLE * mean THEN greatest(o, mean) ELSE mean END, 8) AS score FROM m)
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY score DESC, doc_id) AS rank FROM e) WHERE rank <= 5""")
 def rr4(spark, d):
     """Two models; the original score is five times the overlap."""
