@@ -149,24 +149,44 @@ _VALUE = hash64(np.arange(1, 257, dtype=np.uint64))
 LONG_WORD = 256
 
 
+#: Bytes that are hashed at once; eight-byte numbers of each are held, four times.
+HASH_BLOCK = 1 << 19
+
+
 def word_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hashes of all words with A-Z lower-cased, words of each text).
 
-    All texts are hashed at once: prefix sums of byte values times powers give every word's
-    polynomial, mixed with its length.
+    All texts are hashed block by block, each block ending at a blank: prefix sums of byte values
+    times powers give every word's polynomial, mixed with its length.
     """
     text = np.frombuffer(b"\n".join(raws).lower() + b"\n", np.uint8)  # bytes lower A-Z alone
-    blank = np.concatenate([[True], _BLANK[text]])
-    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    blank = _BLANK[text]
+    hashes, firsts, at = [], [], 0
+    while at < len(text):
+        end = min(at + HASH_BLOCK, len(text))
+        while not blank[end - 1]:  # the text ends with a blank
+            more = np.flatnonzero(blank[end : end + HASH_BLOCK])
+            end = end + int(more[0]) + 1 if len(more) else min(end + HASH_BLOCK, len(text))
+        found, starts = _block_hashes(text[at:end], blank[at:end])
+        hashes.append(found)
+        firsts.append(starts + at)
+        at = end
+    borders = np.cumsum([0, *(len(x) + 1 for x in raws)])
+    return np.concatenate(hashes), np.diff(np.searchsorted(np.concatenate(firsts), borders))
+
+
+def _block_hashes(text: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, starts) of the words of a block that ends with a blank."""
+    edges = np.flatnonzero(np.diff(blank, prepend=True))
     starts, ends = edges[::2], edges[1::2]
     up, down = powers(len(text))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUE[text] * down[: len(text)])])
+    total = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum(_VALUE[text] * down[: len(text)], out=total[1:])
     size = ends - starts
     hashes = hash64((total[ends] - total[starts]) * up[starts] + size.astype(np.uint64))
     for k in np.flatnonzero(size > LONG_WORD).tolist():
         hashes[k] = xxhash.xxh3_64_intdigest(text[starts[k] : ends[k]].tobytes())
-    borders = np.cumsum([0, *(len(x) + 1 for x in raws)])
-    return hashes, np.diff(np.searchsorted(starts, borders))
+    return hashes, starts
 
 
 class Units:

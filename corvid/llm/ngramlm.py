@@ -97,6 +97,13 @@ def share(found: list[np.ndarray], turn: int, passes: int) -> np.ndarray:
     return every[(every != 0) & (every % np.uint64(passes) == np.uint64(turn))]
 
 
+def each_row(batches):
+    """One row after the other, so that a batch's binaries are not all held as objects."""
+    for b in batches:
+        for n in range(b.num_rows):
+            yield b.slice(n, 1).to_pylist()[0]
+
+
 def _open(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return widen(row["sizes"], np.uint32).astype(np.int64), np.frombuffer(row["vocabulary"], np.uint64), widen(row["words"], np.uint32)
 
@@ -107,11 +114,10 @@ def count_grams(grouped: DataFrame, order: int, n_parts: int, turn: int = 0, pas
     back = pa.schema([("group", pa.string()), ("part", pa.int32()), ("counts", pa.binary())])
 
     def send(batches):
-        for b in batches:
-            for row in b.to_pylist():
-                h, n = np.unique(share(grams(*_open(row), order), turn, passes), return_counts=True)
-                for p, at in deal(h, n_parts):
-                    yield batch(sent, [p], [row["group"]], [shrink(steps(h[at]))], [shrink(n[at].astype(np.uint32))])
+        for row in each_row(batches):
+            h, n = np.unique(share(grams(*_open(row), order), turn, passes), return_counts=True)
+            for p, at in deal(h, n_parts):
+                yield batch(sent, [p], [row["group"]], [shrink(steps(h[at]))], [shrink(n[at].astype(np.uint32))])
 
     def table(batches):
         for part, rows in per_part(batches):
@@ -149,28 +155,27 @@ def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, cutoff:
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("log_score", pa.float64()), ("mean_log_score", pa.float64())])
 
     def run(batches):
-        for b in batches:
-            for row in b.to_pylist():
-                sizes, vocabulary, words = _open(row)
-                found = grams(sizes, vocabulary, words, order)
-                held = {(a["turn"], a["part"]): widen(a["counts"], np.uint32) for a in row["answers"] or ()}
-                c = np.zeros(order * len(words), np.int64)
-                every = np.concatenate(found)
-                for turn in range(passes):
-                    mine = np.flatnonzero((every != 0) & (every % np.uint64(passes) == np.uint64(turn)))
-                    h, at = np.unique(every[mine], return_inverse=True)
-                    count = np.zeros(len(h), np.int64)
-                    for p, places in deal(h, n_parts):
-                        count[places] = held[turn, p]
-                    c[mine] = count[at]
-                c = c.reshape(order, -1)
-                log_s = np.log(c[0] / tokens) + (order - 1) * np.log(backoff) if len(words) else np.empty(0)
-                for k in range(1, order):
-                    before = np.concatenate([[1], c[k - 1][:-1]]) if len(words) else np.empty(0)
-                    seen = c[k] >= cutoff
-                    log_s[seen] = np.log(c[k][seen] / before[seen]) + (order - 1 - k) * np.log(backoff)
-                total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), log_s, len(sizes)) if len(sizes) else np.empty(0)
-                mean = pa.array(total / np.maximum(sizes, 1), pa.float64(), mask=sizes == 0)
-                yield batch(schema, row["docs"], sizes, total, mean)
+        for row in each_row(batches):
+            sizes, vocabulary, words = _open(row)
+            found = grams(sizes, vocabulary, words, order)
+            held = {(a["turn"], a["part"]): widen(a["counts"], np.uint32) for a in row["answers"] or ()}
+            c = np.zeros(order * len(words), np.int64)
+            every = np.concatenate(found)
+            for turn in range(passes):
+                mine = np.flatnonzero((every != 0) & (every % np.uint64(passes) == np.uint64(turn)))
+                h, at = np.unique(every[mine], return_inverse=True)
+                count = np.zeros(len(h), np.int64)
+                for p, places in deal(h, n_parts):
+                    count[places] = held[turn, p]
+                c[mine] = count[at]
+            c = c.reshape(order, -1)
+            log_s = np.log(c[0] / tokens) + (order - 1) * np.log(backoff) if len(words) else np.empty(0)
+            for k in range(1, order):
+                before = np.concatenate([[1], c[k - 1][:-1]]) if len(words) else np.empty(0)
+                seen = c[k] >= cutoff
+                log_s[seen] = np.log(c[k][seen] / before[seen]) + (order - 1 - k) * np.log(backoff)
+            total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), log_s, len(sizes)) if len(sizes) else np.empty(0)
+            mean = pa.array(total / np.maximum(sizes, 1), pa.float64(), mask=sizes == 0)
+            yield batch(schema, row["docs"], sizes, total, mean)
 
     return joined.mapInArrow(run, OUT)

@@ -259,4 +259,14 @@ def test_word_hashes_tell_words_apart():
     want = [w for x in some for w in x.encode().lower().split()]
     assert count.tolist() == [len(x.encode().split()) for x in some]
     assert len(hashes) == len(want) and len(set(zip(want, hashes.tolist()))) == len(set(want)) == len(set(hashes.tolist()))
-    assert [len(x) for x in word_hashes([])] == [0, 0] and word_hashes([b""])[1].tolist() == [0]
+    assert word_hashes([b""])[1].tolist() == [0] and len(word_hashes([])[0]) == 0
+
+
+def test_word_hashes_do_not_depend_on_blocks(monkeypatch):
+    from corvid.llm import common
+
+    some = ["the quick brown fox".encode(), b"", b" a  bb\nccc " * 9, b"x" * 300 + b" end", "日本 é".encode()]
+    whole = common.word_hashes(some)
+    for size in (1, 7, 64):
+        monkeypatch.setattr(common, "HASH_BLOCK", size)
+        assert [x.tolist() for x in common.word_hashes(some)] == [x.tolist() for x in whole]
