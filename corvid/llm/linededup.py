@@ -6,7 +6,7 @@ eligible line, `references` the exact count of documents and the largest doc_id
 and `filters` a cuckoo filter of 16-bit fingerprints for each shard of keys. Documents can be
 inserted and deleted: a batch's keys pass the filters first, only keys that may be known are
 joined to the references, and counts go up or down by exactly the batch's documents, so a
-deletion undoes an insertion.
+deletion undoes an insertion. Ledger keeps these tables by shard and touches a batch's shards only.
 
 A line is dropped where its key is in at least `min_docs` documents, except in the largest
 doc_id that holds it. Finding the drops: keys with enough references fill the filters; the
@@ -71,6 +71,10 @@ class CuckooFilter:
     def dump(self) -> bytes:
         return np.array([self.buckets, len(self.stash)], np.int64).tobytes() + self.table.tobytes() + np.array(self.stash, np.int64).tobytes()
 
+    def room(self, more: int) -> bool:
+        """Whether so many further entries leave the table at most 0.85 full."""
+        return np.count_nonzero(self.table) + len(self.stash) + more <= 0.85 * self.table.size
+
     def _where(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Fingerprints and both buckets of 64-bit hashes."""
         print_ = (keys >> np.uint64(48)).astype(np.uint16)
@@ -154,13 +158,13 @@ def shard(shards: int):
     return F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard")
 
 
-def filters(keys: DataFrame, shards: int) -> DataFrame:
-    """(shard, filter) of a frame of distinct keys; a shard has its keys' share by hash."""
+def filters(keys: DataFrame, shards: int, spare: int = 1) -> DataFrame:
+    """(shard, filter) of a frame of distinct keys; a shard has its keys' share by hash, its filter room for `spare` times as many."""
     schema = pa.schema([("shard", pa.int32()), ("filter", pa.binary())])
 
     def build(table: pa.Table) -> pa.Table:
         own = _low(table["key"].combine_chunks())
-        f = CuckooFilter(len(own))
+        f = CuckooFilter(spare * len(own))
         f.insert(own)
         return pa.table({"shard": table["shard"][:1], "filter": pa.array([f.dump()], pa.binary())}, schema)
 
@@ -195,40 +199,135 @@ def probe(occ: DataFrame, made: DataFrame, shards: int, salts: int = SALTS) -> D
 
 
 class Ledger:
-    """The state of incremental line dedup: written tables of occurrences, references and filters."""
-
-    def __init__(self, spark, occ: DataFrame | None = None):
-        self.stash, self.turn = Stash(spark, "ledger"), 0
-        empty = spark.createDataFrame([], "key binary, doc_id long")
-        self._hold(empty if occ is None else occ, None)
+    """The state of incremental line dedup, in tables cut into shards.
+
+    By shard of the key: `occurrences` (key, doc_id), `references` (key, refs, keeper) and
+    `filters`; by shard of the document: `documents` (doc_id, keys). A batch reads and rewrites
+    only the shards that it touches, and of the occurrences it only appends. New keys are inserted
+    in their shard's filter, and keys that no document holds any more are deleted from it; a
+    filter that gets too full is made anew from its shard's references. The driver holds the paths
+    of the shards, `shards` for each table.
+    """
 
-    def _hold(self, occ: DataFrame, refs: DataFrame | None) -> None:
-        self.turn += 1
-        self.occ = self.stash.keep(occ, f"occurrences-{self.turn}")
-        self.refs = self.stash.keep(references(self.occ) if refs is None else refs, f"references-{self.turn}")
-        self.shards = max(8, self.refs.count() // SHARD_KEYS)
-        self.filters = self.stash.keep(filters(self.refs, self.shards), f"filters-{self.turn}")
-        if self.turn > 1:
-            for name in ("occurrences", "references", "filters"):
-                self.stash.drop(f"{name}-{self.turn - 1}")
+    SCHEMAS = {"occurrences": "key binary, doc_id long", "references": "key binary, refs long, keeper long", "filters": "filter binary", "documents": "doc_id long, keys array<binary>"}
+
+    def __init__(self, spark, occ: DataFrame | None = None, shards: int = 32):
+        self.spark, self.stash, self.turn, self.shards = spark, Stash(spark, "ledger"), 0, shards
+        self.paths: dict[str, dict[int, list[str]]] = {name: {} for name in self.SCHEMAS}
+        if occ is not None:
+            self._add(occ)
+
+    # --- tables
+
+    def read(self, name: str, shards: list[int] | None = None) -> DataFrame:
+        """A table's rows with their shard, of all shards or of some."""
+        schema = self.SCHEMAS[name]
+        some = self.paths[name] if shards is None else {k: self.paths[name].get(k, []) for k in shards}
+        out = None
+        paths = [p for k in sorted(some) for p in some[k]]
+        if paths:
+            at = F.regexp_extract(F.input_file_name(), r"/shard=(\d+)/", 1).cast("int")
+            out = self.spark.read.schema(schema).parquet(*paths).withColumn("shard", at)
+        return self.spark.createDataFrame([], f"{schema}, shard int") if out is None else out
+
+    def _write(self, name: str, rows: DataFrame, touched: list[int], append: bool = False) -> None:
+        """Writes rows (with their shard) as the touched shards' new content, or behind it."""
+        root = f"{self.stash.root}/{name}-{self.turn}-{len(touched)}-{'a' if append else 'w'}"
+        rows.repartition("shard").write.partitionBy("shard").parquet(root)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(root)
+        found = {int(x.getPath().getName()[6:]) for x in path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path) if x.getPath().getName().startswith("shard=")}
+        for k in touched:
+            own = [f"{root}/shard={k}"] if k in found else []
+            self.paths[name][k] = self.paths[name].get(k, []) + own if append else own
+
+    @property
+    def occ(self) -> DataFrame:
+        return self.read("occurrences").select("key", "doc_id")
+
+    @property
+    def refs(self) -> DataFrame:
+        return self.read("references").select("key", "refs", "keeper")
+
+    def _shards_of(self, rows: DataFrame) -> list[int]:
+        return sorted(r[0] for r in rows.select("shard").distinct().collect())  # at most `shards`
+
+    # --- batches
 
     def insert(self, docs: DataFrame) -> None:
         """Adds documents; those already held are left as they are."""
-        fresh = occurrences(docs).dropDuplicates().join(self.occ.select("doc_id").distinct(), "doc_id", "left_anti").select("key", "doc_id")
-        fresh = self.stash.keep(fresh, f"fresh-{self.turn}")
-        known = probe(fresh, self.filters, self.shards).select("key").distinct()
-        new = references(fresh)
-        touched = self.refs.join(known, "key", "left_semi")
-        both = touched.unionByName(new).groupBy("key").agg(F.sum("refs").alias("refs"), F.max("keeper").alias("keeper"))
-        self._hold(self.occ.unionByName(fresh), self.refs.join(known, "key", "left_anti").unionByName(both))
+        self._add(occurrences(docs))
+
+    def _add(self, occ: DataFrame) -> None:
+        self.turn += 1
+        by_doc = F.pmod(F.xxhash64("doc_id"), F.lit(self.shards)).cast("int").alias("shard")
+        batch_ = self.stash.keep(occ.dropDuplicates().select("key", "doc_id", by_doc), f"batch-{self.turn}")
+        homes = self._shards_of(batch_)
+        held = self.read("documents", homes).select("doc_id")
+        fresh = self.stash.keep(batch_.join(held, "doc_id", "left_anti").select("key", "doc_id", shard(self.shards)), f"fresh-{self.turn}")
+        touched = self._shards_of(fresh)
+        if not touched:
+            return
+        new = self.stash.keep(references(fresh).withColumn("shard", shard(self.shards)), f"new-{self.turn}")
+        # only keys that their shard's filter may hold meet the exact references
+        maybe = probe(fresh.select("key", "doc_id"), self.read("filters", touched), self.shards).select("key").distinct()
+        old = self.read("references", touched)
+        met = self.stash.keep(old.join(maybe, "key", "left_semi").join(new.select("key"), "key", "left_semi"), f"met-{self.turn}")
+        both = met.select("key", "refs", "keeper", "shard").unionByName(new.select("key", "refs", "keeper", "shard"))
+        both = both.groupBy("key", "shard").agg(F.sum("refs").alias("refs"), F.max("keeper").alias("keeper"))
+        added = self.stash.keep(new.join(met.select("key"), "key", "left_anti").select("key", "shard"), f"added-{self.turn}")
+        self._write("references", old.join(met.select("key"), "key", "left_anti").select("key", "refs", "keeper", "shard").unionByName(both.select("key", "refs", "keeper", "shard")), touched)
+        self._write("occurrences", fresh, touched, append=True)
+        self._write("documents", fresh.groupBy("doc_id").agg(F.collect_set("key").alias("keys")).withColumn("shard", by_doc), homes, append=True)
+        self._change_filters(added.withColumn("add", F.lit(True)))
 
     def delete(self, ids: DataFrame) -> None:
         """Takes documents (doc_id) away; counts fall by exactly their occurrences."""
-        gone = ids.select("doc_id").distinct()
-        hit = self.occ.join(gone, "doc_id", "left_semi").select("key").distinct()
-        rest = self.occ.join(gone, "doc_id", "left_anti").select("key", "doc_id")
-        again = references(rest.join(hit, "key", "left_semi"))
-        self._hold(rest, self.refs.join(hit, "key", "left_anti").unionByName(again))
+        self.turn += 1
+        by_doc = F.pmod(F.xxhash64("doc_id"), F.lit(self.shards)).cast("int").alias("shard")
+        gone = self.stash.keep(ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct().withColumn("shard", by_doc), f"gone-{self.turn}")
+        homes = self._shards_of(gone)
+        mine = self.read("documents", homes)
+        lost = self.stash.keep(mine.join(gone.select("doc_id"), "doc_id", "left_semi").select("doc_id", F.explode("keys").alias("key")).select("key", "doc_id", shard(self.shards)), f"lost-{self.turn}")
+        touched = self._shards_of(lost)
+        if not touched:
+            return
+        hit = lost.select("key").distinct()
+        rest = self.stash.keep(self.read("occurrences", touched).join(lost.select("key", "doc_id"), ["key", "doc_id"], "left_anti").select("key", "doc_id", "shard"), f"rest-{self.turn}")
+        again = self.stash.keep(references(rest.select("key", "doc_id").join(hit, "key", "left_semi")).withColumn("shard", shard(self.shards)), f"again-{self.turn}")
+        self._write("references", self.read("references", touched).join(hit, "key", "left_anti").select("key", "refs", "keeper", "shard").unionByName(again.select("key", "refs", "keeper", "shard")), touched)
+        self._write("occurrences", rest, touched)
+        self._write("documents", mine.join(gone.select("doc_id"), "doc_id", "left_anti").select("doc_id", "keys", "shard"), homes)
+        dead = hit.join(again.select("key"), "key", "left_anti").select("key", shard(self.shards))
+        self._change_filters(self.stash.keep(dead, f"dead-{self.turn}").withColumn("add", F.lit(False)))
+
+    def _change_filters(self, changes: DataFrame) -> None:
+        """Inserts or deletes keys (key, shard, add) in their shards' filters; a full one comes back null and is made anew."""
+        touched = self._shards_of(changes)
+        if not touched:
+            return
+        schema = pa.schema([("shard", pa.int32()), ("filter", pa.binary())])
+
+        def change(left: pa.Table, right: pa.Table) -> pa.Table:
+            if not right.num_rows:
+                return pa.table({"shard": left["shard"], "filter": left["filter"]}, schema)
+            keys, add = _low(right["key"].combine_chunks()), right["add"].to_numpy()
+            f = CuckooFilter.load(left["filter"][0].as_py()) if left.num_rows else CuckooFilter(max(64, 2 * int(add.sum())))
+            if add.any() and not f.room(int(add.sum())):
+                made = None
+            else:
+                f.insert(keys[add])
+                f.delete(keys[~add])
+                made = f.dump()
+            return pa.table({"shard": right["shard"][:1], "filter": pa.array([made], pa.binary())}, schema)
+
+        held = self.read("filters", touched).select("shard", "filter")
+        out = held.groupBy("shard").cogroup(changes.select("shard", "key", "add").groupBy("shard")).applyInArrow(change, "shard int, filter binary")
+        out = self.stash.keep(out, f"changed-{self.turn}")
+        full = self._shards_of(out.where("filter IS NULL"))
+        good = out.where("filter IS NOT NULL")
+        if full:
+            good = good.unionByName(filters(self.read("references", full).select("key"), self.shards, 2))
+        self._write("filters", good, touched)
 
     def drops(self, min_docs: int = MIN_DOCS) -> DataFrame:
         return find_drops(self.stash, self.occ, self.refs.where(F.col("refs") >= min_docs))

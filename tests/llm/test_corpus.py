@@ -101,6 +101,38 @@ def test_ledger_is_reversible(spark):
     assert sorted((bytes(r.key), r.refs, r.keeper) for r in ledger.refs.collect()) == before
 
 
+def test_ledger_touches_only_its_shards_and_its_filters_follow(spark):
+    line = lambda k: f"line number {k} of some length that is over forty characters"
+    rows = [(n, "\n".join(line(k) for k in range(n, n + 4))) for n in range(60)]
+    ledger = linededup.Ledger(spark, shards=16)
+    ledger.insert(spark.createDataFrame(rows[:1], "doc_id long, text string"))
+    first = {k: list(v) for k, v in ledger.paths["references"].items()}
+    assert 0 < len(first) <= 4
+    ledger.insert(spark.createDataFrame(rows, "doc_id long, text string"))
+    before = {name: {k: list(v) for k, v in held.items()} for name, held in ledger.paths.items()}
+    ledger.insert(spark.createDataFrame([(1000, line(999))], "doc_id long, text string"))
+    for name in ("references", "filters", "documents"):
+        changed = [k for k in ledger.paths[name] if ledger.paths[name][k] != before[name].get(k)]
+        assert len(changed) == 1, name
+
+    def entries():
+        return {r.shard: linededup.CuckooFilter.load(bytes(r["filter"])) for r in ledger.read("filters").collect()}
+
+    keys = {k: linededup.line_key(line(k)) for k in [*range(63), 999]}
+    held = lambda: sum(np.count_nonzero(f.table) + len(f.stash) for f in entries().values())
+    assert held() == ledger.refs.count() == 64
+    ledger.delete(spark.createDataFrame([(1000,), (0,), (None,)], "doc_id long"))
+    assert held() == ledger.refs.count() == 62  # lines 999 and 0 are held by no document any more
+    want = {bytes(r.key): (r.refs, r.keeper) for r in linededup.references(linededup.occurrences(spark.createDataFrame(rows[1:], "doc_id long, text string"))).collect()}
+    assert {bytes(r.key): (r.refs, r.keeper) for r in ledger.refs.collect()} == want and keys[0] not in want
+    low = np.array([np.frombuffer(k, np.uint64)[0] for k in want], np.uint64)
+    assert sum(f.contains(low) for f in entries().values()).min() >= 1
+    ledger.delete(spark.createDataFrame([(n,) for n in range(60)], "doc_id long"))
+    assert ledger.refs.count() == held() == ledger.occ.count() == 0
+    ledger.insert(spark.createDataFrame(rows[1:], "doc_id long, text string"))
+    assert {bytes(r.key): (r.refs, r.keeper) for r in ledger.refs.collect()} == want
+
+
 def brute_components(rows):
     sets = {}
     for n, t, *_ in rows:
