@@ -13,7 +13,10 @@ The weights are fitted on at most MAX_LABELLED labelled documents, those with th
 hash of the id; everything else covers all documents.
 
 Null or empty text: no words, so the priors alone speak. A null host or path is a group of
-its own. Without labels every probability is 0.5. Rows that repeat an id are scored each.
+its own. Without labels every probability is 0.5. Rows that repeat an id are scored each, and
+each counts in its site's mean; an id's repeated labels count once, the larger value of each.
+An empty table gives an empty result. A text of any length is one task's. Equal hashes of ids
+are taken in order of the id. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stash, batch, slices
+from .common import Stash, batch, row_slices
 
 MAX_LABELLED = 20_000
 #: Paths whose means are broadcast are fewer than this, whatever the input's size.
@@ -140,7 +143,7 @@ def _evidence(model: dict, targets: list[str], extra: int):
                 cache[f] = w = w if any(w) else none
             return w
 
-        for b in batches:
+        for b in row_slices(batches, 0):
             sums = []
             for text in b.column(0).to_pylist():
                 some = [w for w in map(weight, features(text or "")) if w is not none]
