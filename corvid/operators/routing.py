@@ -118,6 +118,20 @@ def hash_vectors(rows: DataFrame, id_col: str, text_col: str = "text", dim: int
     return n.select("id", "dim", (F.col("n") / length).alias("w"))
 
 
+def backing_off(call: Callable[[list], list], items: list, size: int = 64, least: int = 4) -> list:
+    """call() over batches of items; where a batch runs out of memory, batches of half the size, `least` at the lowest."""
+    out, at = [], 0
+    while at < len(items):
+        try:
+            out += call(items[at : at + size])
+            at += size
+        except MemoryError:
+            if size <= least:
+                raise
+            size = max(least, size // 2)
+    return out
+
+
 class Encoder:
     """The encoder seam: encode() turns texts into unit vectors; a model is loaded once for each worker."""
 

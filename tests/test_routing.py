@@ -58,3 +58,18 @@ def test_index_on_disk_answers_as_the_search_does(spark, tmp_path):
     key = lambda df: sorted((r.q_id, r["rank"], r.doc_id, r.score) for r in df.collect())
     assert key(rt.sparse_search(spark.read.parquet(str(tmp_path / "i")), q, 5)) == key(rt.bm25_search(docs, q, 5))
     assert rt.bm25_search(docs.limit(0), q, 5).count() == 0
+
+
+def test_backing_off_halves_batches():
+    sizes = []
+
+    def call(part):
+        sizes.append(len(part))
+        if len(part) > 6:
+            raise MemoryError
+        return [2 * x for x in part]
+
+    assert ro.backing_off(call, list(range(20)), 16) == [2 * x for x in range(20)]
+    assert sizes[:3] == [16, 8, 4]
+    with pytest.raises(MemoryError):
+        ro.backing_off(lambda part: (_ for _ in ()).throw(MemoryError()), [1], 16)
