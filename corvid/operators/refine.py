@@ -63,13 +63,11 @@ def boundary_chunks(tokens: Column, size: int, marks: tuple[str, ...] = (".", "\
     return F.when(F.size(tokens) > 0, cuts).otherwise(F.array().cast("array<int>"))
 
 
-_TAG = r"(?s)<llmlingua([^>]*)>(.*?)</llmlingua>"
-
-
-def prompt_segments(c: Column) -> Column:
-    """array<struct<rate, compress, text>> of the tagged segments of a structured prompt; a segment without a rate has null."""
-    heads = F.regexp_extract_all(c, F.lit(_TAG), F.lit(1))
-    bodies = F.regexp_extract_all(c, F.lit(_TAG), F.lit(2))
+def prompt_segments(c: Column, tag: str = "part") -> Column:
+    """array<struct<rate, compress, text>> of the segments of a structured prompt in a tag; a segment without a rate has null."""
+    rule = F.lit(rf"(?s)<{tag}\b([^>]*)>(.*?)</{tag}>")
+    heads = F.regexp_extract_all(c, rule, F.lit(1))
+    bodies = F.regexp_extract_all(c, rule, F.lit(2))
 
     def one(x):
         rate = F.regexp_extract(x["h"], r"rate\s*=\s*([0-9.]+)", 1)

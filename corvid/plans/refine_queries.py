@@ -126,7 +126,7 @@ def rf8b(spark, d):
 @register("rf9_structured_prompt", f"SELECT doc_id, n::BIGINT AS pos, CASE n WHEN 0 THEN 0.5::DOUBLE END AS rate, n <> 1 AS compress, len({_W('x')})::BIGINT AS words FROM (SELECT doc_id, n, CASE n WHEN 0 THEN source ELSE split_part(text, chr(10), n) END AS x FROM documents, range(0, 3) r(n))")
 def rf9(spark, d):
     line = lambda n: F.coalesce(F.try_element_at(F.split("text", "\n"), F.lit(n)), F.lit(""))
-    prompt = F.concat(F.lit("<llmlingua, rate = 0.5>"), "source", F.lit("</llmlingua> and <llmlingua, compress=False>"), line(1), F.lit("</llmlingua><llmlingua>"), line(2), F.lit("</llmlingua>"))
+    prompt = F.concat(F.lit("<part, rate = 0.5>"), "source", F.lit("</part> and <part, compress=False>"), line(1), F.lit("</part><part>"), line(2), F.lit("</part>"))
     rows = docs(spark, d).select("doc_id", F.posexplode(rf.prompt_segments(prompt)).alias("pos", "x"))
     return rows.select("doc_id", F.col("pos").cast("long").alias("pos"), "x.rate", "x.compress", F.size(tx.words(F.col("x.text"))).cast("long").alias("words"))
 

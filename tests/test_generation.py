@@ -57,7 +57,7 @@ def test_prompts_and_parsers(spark):
 
 def test_refiners(spark):
     assert one(spark, rf.boundary_chunks(F.split("t", " "), 4), t="a b . c d e f g h . i") == [0, 3, 7, 10]
-    segments = one(spark, rf.prompt_segments(F.col("t")), t="<llmlingua, rate=0.3>a b</llmlingua> x <llmlingua, compress=False>c</llmlingua>")
+    segments = one(spark, rf.prompt_segments(F.col("t")), t="<part, rate=0.3>a b</part> x <part, compress=False>c</part>")
     assert [tuple(r) for r in segments] == [(0.3, True, "a b"), (None, False, "c")]
     got = one(spark, rf.json_segments(F.col("t"), {"title": 1.0}, 0.5), t='{"title": "T", "text": "long text here"}')
     assert [(r.key, r.rate, r.compress, r.text) for r in got] == [("title", 1.0, False, "T"), ("text", 0.5, True, "long text here")]
