@@ -89,14 +89,18 @@ def squared_distance(a: Column, b: Column) -> Column:
 
 
 def dense_search(vectors: DataFrame, queries: DataFrame, k: int, metric=dot, ascending: bool = False) -> DataFrame:
-    """Exact search of (item, v) for queries (q_id, q): the stated query set in blocks of rows.
+    """Exact search of (item, v) for queries (q_id, q): the stated query set in blocks.
 
-    The queries are a checked, small set and are sent to the scan; each task keeps its best k.
+    A block of about SMALL queries at most, dealt by hash, is sent to the scan, and the window
+    keeps the best k; a larger query set takes one pass over the vectors for each block.
     """
-    if queries.count() > SMALL:
-        raise ValueError("split the query set: exact search compares every query with every vector")
-    pairs = vectors.crossJoin(F.broadcast(queries)).where(F.col("item") != F.col("q_id"))
-    scored = pairs.select("q_id", "item", F.round(metric(F.col("v"), F.col("q")), 6).alias("score"))
+    blocks = max(1, -(-queries.count() // SMALL))
+    scored = None
+    for n in range(blocks):
+        part = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("q_id"), F.lit(blocks)) == n)
+        pairs = vectors.crossJoin(F.broadcast(part)).where(F.col("item") != F.col("q_id"))
+        own = pairs.select("q_id", "item", F.round(metric(F.col("v"), F.col("q")), 6).alias("score"))
+        scored = own if scored is None else scored.unionByName(own)
     if ascending:
         return top_k(scored.withColumn("neg", -F.col("score")), k, "neg", item="item").drop("neg")
     return top_k(scored, k, item="item")
