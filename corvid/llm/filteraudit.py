@@ -29,6 +29,8 @@ BLOCK, TIMES = 64, 8
 _BLOCKS = 10
 #: Classes of at least one row in so many are sent to every task; there are as many at most.
 _HOT = 1000
+#: 64-bit words of the bitmap of live ids: 2 MB.
+_WORDS = 1 << 18
 
 
 def failing(text: Column) -> Column:
@@ -89,20 +91,34 @@ def repeats(docs: DataFrame, stash: Stash, facts: DataFrame | None = None) -> Da
     """(doc_id, class) of the documents whose text is that of a smaller id. The classes are those
     of refine(); two texts of one id could only be taken for one another if all their hashes agree."""
     facts = _facts(docs, F.lit("")) if facts is None else facts
-    live = refine(facts, stash)
-    ids = live.select("doc_id").dropDuplicates()
+    live = stash.keep(refine(facts, stash), "live")
     text = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
-    read = text.where("doc_id is not null").join(ids, "doc_id", "left_semi")
-    read = read.withColumn("class", _class(F.length("text").cast("long"), block_hashes(F.col("text"))))
+    read = _marked(text, live).withColumn("class", _class(F.length("text").cast("long"), block_hashes(F.col("text"))))
     firsts = stash.keep(read.groupBy("class", "text").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")), "texts")
     several = firsts.groupBy("class").agg(F.count("*").alias("texts"), F.min("first").alias("first"), F.max("last").alias("last"))
     alone = several.where("texts = 1 and first < last").select("class", "first")
-    # equal hashes of different texts: these are told apart by the texts themselves
-    clash = firsts.join(several.where("texts > 1").select("class"), "class", "left_semi").where("first < last")
-    told = read.join(clash.select("class", "text", "first"), ["class", "text"]).where("doc_id > first").select("doc_id", "class")
     large = F.broadcast(_largest(live, alone))  # _HOT classes at most
     paired = live.join(large, "class").unionByName(live.join(large, "class", "left_anti").join(alone, "class"))
-    return paired.where("doc_id > first").select("doc_id", "class").unionByName(told).dropDuplicates()
+    marks = paired.where("doc_id > first").select("doc_id", "class")
+    clash = several.where("texts > 1").select("class")
+    if not clash.isEmpty():  # equal hashes of different texts: these are told apart by the texts themselves
+        own = firsts.join(clash, "class", "left_semi").where("first < last").select("class", "text", "first")
+        marks = marks.unionByName(read.join(own, ["class", "text"]).where("doc_id > first").select("doc_id", "class"))
+    return marks.dropDuplicates()
+
+
+def _marked(text: DataFrame, live: DataFrame) -> DataFrame:
+    """The rows whose id stands in a bitmap of the live ids, so that few other texts are sent.
+
+    The bitmap has a fixed size; a row that it lets through by chance is alone in its class.
+    """
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(_WORDS * 64))
+    word, one = F.shiftright(bit, 6), F.expr("shiftleft(1L, cast(bit % 64 AS int))")
+    held = live.select(bit.alias("bit")).select(F.shiftright("bit", 6).alias("id"), one.alias("set")).groupBy("id").agg(F.bit_or("set").alias("set"))
+    dense = live.sparkSession.range(_WORDS).join(held, "id", "left").select("id", F.coalesce("set", F.lit(0).cast("long")).alias("set"))
+    map_ = dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "set"))), lambda x: x["set"]).alias("map"))  # _WORDS entries
+    tested = text.where("doc_id is not null").withColumn("bit", bit).withColumn("word", word.cast("int")).crossJoin(F.broadcast(map_))
+    return tested.where(F.expr("getbit(get(map, word), cast(bit % 64 AS int)) = 1")).select("doc_id", "text")
 
 
 def _largest(live: DataFrame, alone: DataFrame) -> DataFrame:
