@@ -135,10 +135,14 @@ def blas_search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                     ids = all_ids[start : start + WIDTH]
                     score = np.round(v @ all_q[start : start + WIDTH].T, 6)
                     score[item[:, None] == ids[None, :]] = -np.inf
-                    for n in range(len(ids)):
-                        at = np.lexsort((item, -score[:, n]))[:k]
-                        at = at[np.isfinite(score[at, n])]
-                        yield pd.DataFrame({"q_id": ids[n], "item": item[at], "score": score[at, n]})
+                    least = np.partition(score, max(0, len(score) - k), axis=0)[max(0, len(score) - k)]
+                    row, col = np.nonzero((score >= least) & np.isfinite(score))
+                    order = np.lexsort((item[row], -score[row, col], col))  # ties with the k-th: the smallest items
+                    row, col = row[order], col[order]
+                    first = np.searchsorted(col, np.arange(len(ids)))
+                    kept = np.arange(len(col)) - first[col] < k
+                    row, col = row[kept], col[kept]
+                    yield pd.DataFrame({"q_id": ids[col], "item": item[row], "score": score[row, col]})
 
         return vectors.select("item", "v").mapInPandas(run, "q_id long, item long, score double")
 

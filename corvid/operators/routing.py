@@ -212,15 +212,15 @@ def _nearest(x: np.ndarray, centre: np.ndarray, n: int) -> np.ndarray:
     return np.argsort(far, axis=1, kind="stable")[:, :n]
 
 
-def assign(vectors: DataFrame, centre: np.ndarray, n: int, column: str = "v") -> DataFrame:
-    """Rows with `cell`, the n nearest cells of each vector; the centroids are a few hundred at most."""
+def assign(vectors: DataFrame, centre: np.ndarray, n: int, column: str = "v", explode: bool = True) -> DataFrame:
+    """Rows with `cell`, the n nearest cells of each vector, a row for each or as an array; the centroids are a few hundred at most."""
     sent = vectors.sparkSession.sparkContext.broadcast(centre)
 
     @F.pandas_udf("array<int>")
     def near(v: pd.Series) -> pd.Series:
         return pd.Series(list(_nearest(np.array(v.tolist(), float), sent.value, n).astype(np.int32)))
 
-    return vectors.withColumn("cell", F.explode(near(column)))
+    return vectors.withColumn("cell", F.explode(near(column)) if explode else near(column))
 
 
 def ivf_search(vectors: DataFrame, queries: DataFrame, k: int, cells: int = 32, probes: int = 24) -> DataFrame:
