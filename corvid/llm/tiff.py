@@ -33,6 +33,8 @@ from .common import batch, id_text, slices
 WIDTH, LENGTH, BITS, COMPRESSION, PHOTOMETRIC = 256, 257, 258, 259, 262
 STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS = 273, 277, 278, 279
 FILL_ORDER, PLANAR, PREDICTOR, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_COUNTS, SAMPLE_FORMAT = 266, 284, 317, 322, 323, 324, 325, 339
+#: Tags that are counts, sizes, places or choices.
+LAYOUT = (WIDTH, LENGTH, BITS, COMPRESSION, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS, FILL_ORDER, PLANAR, PREDICTOR, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_COUNTS, SAMPLE_FORMAT)
 TYPES = {1: "B", 2: "c", 3: "H", 4: "I", 6: "b", 7: "B", 8: "h", 9: "i", 11: "f", 12: "d", 16: "Q", 17: "q", 18: "Q"}
 NONE, LZW, ADOBE_DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
 NAMES = {NONE: "none", LZW: "lzw", ADOBE_DEFLATE: "deflate", OLD_DEFLATE: "deflate", PACKBITS: "packbits"}
@@ -289,7 +291,9 @@ def _undo(raw: bytes, rows: int, columns: int, samples: int, bits: int, predicto
 
 
 def read_page(data: bytes, order: str, tags: dict[int, tuple], number: int, most_bytes: int = MOST_BYTES) -> Page:
-    one = lambda tag, default: tags.get(tag, (default,))[0]
+    if any(not isinstance(x, int) for tag in LAYOUT for x in tags.get(tag, ())):
+        raise ValueError("a layout tag that is no whole number")
+    one = lambda tag, default: (tags.get(tag) or (default,))[0]
     width, height, samples, bits = one(WIDTH, 0), one(LENGTH, 0), one(SAMPLES, 1), one(BITS, 1)
     how, predictor, planar = one(COMPRESSION, NONE), one(PREDICTOR, 1), one(PLANAR, 1)
     if how not in DECODERS or bits not in (1, 2, 4, 8, 16, 32, 64) or predictor not in (1, 2, 3) or (bits < 8 and predictor != 1):
@@ -306,6 +310,8 @@ def read_page(data: bytes, order: str, tags: dict[int, tuple], number: int, most
         bw, bh, offsets, counts = width, min(height, one(ROWS_PER_STRIP, height)), tags[STRIP_OFFSETS], tags[STRIP_COUNTS]
     if bw < 1 or bh < 1 or bw * bh * samples * max(1, bits // 8) > most_bytes:
         raise ValueError("blocks without a size, or of one over the bound")
+    if -(-height // bh) * -(-width // bw) * (samples if planar == 2 else 1) != len(offsets) or len(offsets) != len(counts):
+        raise ValueError("blocks and their offsets differ in number")
     spots = [(y, x) for y in range(0, height, bh) for x in range(0, width, bw)]
     layers = [(p, 1) for p in range(samples)] if planar == 2 else [(0, samples)]
     todo = [(layer, spot) for layer in layers for spot in spots]
@@ -339,11 +345,11 @@ def pages(media: DataFrame, id_col: str = "doc_id", media_col: str = "media", mo
                 try:
                     p = read_page(data, order, tags, n, most_bytes)
                     out.append((key, n, p.width, p.height, p.samples, p.bits, p.compression, p.predictor, p.tiled, p.pixels, None))
-                except (ValueError, KeyError, IndexError, struct.error, zlib.error) as why:
+                except Exception as why:  # noqa: BLE001  a forged page must not fail the job, whatever it raises
                     out.append((key, n, *[None] * 8, str(why) or type(why).__name__))
-        except (ValueError, struct.error) as why:
-            out.append((key, len(out) or None, *[None] * 8, str(why)))
-        return out
+        except Exception as why:  # noqa: BLE001  the same for a forged cell
+            out.append((key, len(out) or None, *[None] * 8, str(why) or type(why).__name__))
+        return out or [(key, *[None] * 9, "no page")]
 
     def run(batches):
         for b in batches:
