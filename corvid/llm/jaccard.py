@@ -22,8 +22,8 @@ then only members that are still in different components are paired, in tree ord
 Null or empty text and texts without words: no shingles, linked with nothing, their own
 component. With fewer than five words the whole sequence is the one shingle. A null id takes
 no part and gets a null component. Rows that repeat an id and its text are one document, and
-each gets its result; of an id with several texts the one whose class has the smallest doc_id
-counts. Equal sets are one class, whatever the texts' order or length; a class stands for its
+each gets its result; of an id with several texts the one whose set has the smallest digest
+counts, in any order of the rows. Equal sets are one class, whatever the texts' order or length; a class stands for its
 smallest doc_id. A text of any length is one set in one task. An empty table gives an empty
 result; further columns are not read, and one_of_each() returns them as they are.
 """
@@ -354,13 +354,17 @@ def verify(stash: Stash, docs: DataFrame, pairs: DataFrame, name: str, salts: in
     if ids.count() <= FEW_IDS:
         ids = F.broadcast(ids)  # else the texts are shuffled to them
     chosen = id_text(docs).join(ids, F.col("doc_id") == F.col("rep"), "left_semi")
-    made = pa.schema([("rep", pa.int64()), ("shingles", pa.binary())])
+    made = pa.schema([("rep", pa.int64()), ("class", pa.binary()), ("shingles", pa.binary())])
 
     def make(batches):
         for keys, texts in slices(batches):
-            yield batch(made, keys, [s.tobytes() for s in shingle_sets(texts)])
+            sets = [s.tobytes() for s in shingle_sets(texts)]
+            some = [(k, xxhash.xxh3_128_digest(s), s) for k, s in zip(keys.to_pylist(), sets, strict=True) if s]
+            if some:
+                yield batch(made, *map(list, zip(*some, strict=True)))
 
-    sets = stash.keep(chosen.mapInArrow(make, "rep long, shingles binary").dropDuplicates(["rep"]), f"{name}-sets")
+    each = chosen.mapInArrow(make, "rep long, class binary, shingles binary")
+    sets = stash.keep(each.groupBy("rep").agg(F.min(F.struct("class", "shingles")).alias("x")).select("rep", "x.shingles"), f"{name}-sets")
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(salts)).cast("int"))
     heads = salted.select("a", "salt").dropDuplicates().join(sets, F.col("a") == F.col("rep")).select("a", "salt", F.lit(-1).cast("long").alias("b"), F.lit(0).alias("kind"), "shingles")
     tails = salted.join(sets, F.col("b") == F.col("rep")).select("a", "salt", "b", F.lit(1).alias("kind"), "shingles")
@@ -398,12 +402,13 @@ def join(docs: DataFrame) -> DataFrame:
     stash = Stash(spark, "jaccard")
     rows = profile(docs, stash)
     sizes = rows.where("kind = 0")
-    classes = sizes.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine"))
-    classes = stash.keep(classes, "classes")
+    # one class for each id, so that a representative stands for one class alone; verify() takes the same text
+    chosen = sizes.where("n > 0").groupBy("doc_id").agg(F.min(F.struct("class", F.col("n").alias("n_shingles"))).alias("x")).select("doc_id", "x.*")
+    points = sizes.where("n > 0").groupBy("class").agg(F.first("n").alias("n"), F.first("point").alias("point"), F.first("fine").alias("fine"))
+    classes = stash.keep(points.join(chosen.groupBy("class").agg(F.min("doc_id").alias("rep")), "class"), "classes")
     # documents without shingles have no class: they stay out of the joins, where they would share a task
     empty = stash.keep(sizes.where("n = 0").select("doc_id").dropDuplicates(), "empty")
-    own = sizes.where("n > 0").join(classes.select("class", "rep"), "class").groupBy("doc_id").agg(F.min(F.struct("rep", F.col("n").alias("n_shingles"))).alias("x"))
-    own = stash.keep(own.select("doc_id", "x.n_shingles", "x.rep"), "own")
+    own = stash.keep(chosen.join(classes.select("class", "rep"), "class").select("doc_id", "n_shingles", "rep"), "own")
     often = rows.where("kind = 1").groupBy("doc_id").agg(F.sum("n").alias("n")).where(F.col("n") > COMMON).orderBy(F.desc("n"), "doc_id").limit(MOST_COMMON)
     common = np.sort(often.select("doc_id").toPandas()["doc_id"].to_numpy(np.int64).view(np.uint64))  # at most MOST_COMMON
     entries = sizes.agg(F.sum(F.col("n") / DEN + 1)).first()[0] or 0
