@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from corvid.functions import text as tx
 
+from .routing import BUDGET, by_budget, token_sizes
+
 # --- prompts ------------------------------------------------------------------------------
 
 
@@ -86,7 +88,12 @@ def cut_at_stop(c: Column, stops: tuple[str, ...], most_words: int | None = None
 
 
 class Generator:
-    """The generator seam: generate() answers a batch of prompts; a model is loaded once for each worker."""
+    """The generator seam: generate() answers a batch of prompts; a model is loaded once for each worker.
+
+    It gets batches of prompts of like length, `budget` tokens each, smaller ones once memory runs out.
+    """
+
+    budget = BUDGET
 
     def generate(self, prompts: list[str], stop: tuple[str, ...] = (), max_words: int | None = None) -> list[str]:
         raise NotImplementedError
@@ -96,7 +103,8 @@ class Generator:
 
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for prompts in batches:
-                yield pd.Series(own.generate(prompts.fillna("").tolist(), stop, max_words))
+                held = prompts.fillna("").tolist()
+                yield pd.Series(by_budget(lambda part: own.generate(part, stop, max_words), held, token_sizes(held), own.budget), dtype=object)
 
         run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
         return rows.withColumn(out, F.pandas_udf(run, "string")(prompt))

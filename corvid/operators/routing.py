@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import hashlib
+import time
+import uuid
 import warnings
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import InheritableThread
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corvid.functions import text as tx
+from corvid.session import scratch
 
 from .retrieval import SMALL, minmax, top_k
 
@@ -26,17 +30,42 @@ def tag(hits: DataFrame, source: str, corpus: str | None = None, multimodal: boo
     return hits.select(*keep, chunk.alias("chunk_id"), doc.alias("doc_id"), F.lit(source).alias("source"), F.lit(corpus).alias("corpus"), F.lit(multimodal).alias("multimodal"))
 
 
-def fan_out(searches: dict[str, Callable[[], DataFrame]]) -> DataFrame:
-    """The union of the sources' hits under their names; a source whose search can't be set up is
-    left out with a warning, and only if none is left is that an error."""
-    found = None
-    for name, search in searches.items():
+def fan_out(searches: dict[str, Callable[[], DataFrame]], seconds: float = 3600) -> DataFrame:
+    """The union of the sources' hits under their names, searched side by side.
+
+    Each source is settled in the shared folder by a thread of its own, its jobs under a tag. A source
+    that can't be set up, fails in a task, or has not ended in time (its jobs are cancelled)
+    is left out with a warning; only if none is left is that an error.
+    """
+    spark = SparkSession.active()
+    sc, ended = spark.sparkContext, {}
+
+    def settle(name: str, tag: str) -> None:
+        sc.addJobTag(tag)
         try:
-            hits = search()
+            path = scratch(spark, "source")
+            hits = searches[name]()
+            hits.write.parquet(path)
+            ended[name] = spark.read.schema(hits.schema).parquet(path)
         except Exception as why:  # noqa: BLE001  any source may fail in its own way
-            warnings.warn(f"source {name} is left out: {why}", stacklevel=2)
+            ended[name] = str(why).strip().split("\n")[0]
+        finally:
+            sc.removeJobTag(tag)
+
+    threads = {name: (f"source-{uuid.uuid4().hex}", None) for name in searches}
+    for name, (tag, _) in threads.items():
+        threads[name] = tag, InheritableThread(target=settle, args=(name, tag), daemon=True)
+        threads[name][1].start()
+    until, found = time.monotonic() + seconds, None
+    for name, (tag, thread) in threads.items():
+        thread.join(max(0.0, until - time.monotonic()))
+        if thread.is_alive():
+            sc.cancelJobsWithTag(tag)
+        got = ended.get(name, f"no result within {seconds:g} seconds")
+        if isinstance(got, str):
+            warnings.warn(f"source {name} is left out: {got}", stacklevel=2)
             continue
-        hits = hits.withColumn("source", F.lit(name))
+        hits = got.withColumn("source", F.lit(name))
         found = hits if found is None else found.unionByName(hits, allowMissingColumns=True)
     if found is None:
         raise RuntimeError("no source could be searched")
@@ -132,10 +161,48 @@ def backing_off(call: Callable[[list], list], items: list, size: int = 64, least
     return out
 
 
+#: Tokens, padding included, that one call of a model gets.
+BUDGET = 16_384
+
+
+def by_budget(call: Callable[[list], list], items: list, sizes: list[int], budget: int = BUDGET) -> list:
+    """call() over batches of items of like size, the longest first, each of `budget` at most when all
+    are padded to its largest, or of one item; the results in the order of items.
+
+    Where a batch runs out of memory the budget is halved for what follows, down to single items.
+    """
+    order = sorted(range(len(items)), key=lambda n: -sizes[n])
+    out: list = [None] * len(items)
+    at = 0
+    while at < len(order):
+        n = max(1, budget // max(1, sizes[order[at]]))
+        own = order[at : at + n]
+        try:
+            made = call([items[k] for k in own])
+        except MemoryError:
+            if len(own) == 1:
+                raise
+            budget = max(1, min(budget, len(own) * max(1, sizes[own[0]])) // 2)
+            continue
+        for k, x in zip(own, made, strict=True):
+            out[k] = x
+        at += len(own)
+    return out
+
+
+def token_sizes(texts: list[str]) -> list[int]:
+    """About a token for four characters."""
+    return [len(x) // 4 + 1 for x in texts]
+
+
 class Encoder:
-    """The encoder seam: encode() turns texts into unit vectors; a model is loaded once for each worker."""
+    """The encoder seam: encode() turns texts into unit vectors; a model is loaded once for each worker.
+
+    It gets batches of texts of like length, `budget` tokens each, smaller ones once memory runs out.
+    """
 
     dim = DIM
+    budget = BUDGET
 
     def encode(self, texts: list[str]) -> np.ndarray:
         raise NotImplementedError
@@ -146,7 +213,8 @@ class Encoder:
 
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for texts in batches:
-                yield pd.Series(list(own.encode(texts.fillna("").tolist()).astype(np.float32)))
+                held = texts.fillna("").tolist()
+                yield pd.Series(by_budget(lambda part: list(own.encode(part).astype(np.float32)), held, token_sizes(held), own.budget))
 
         run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
         return rows.withColumn(out, F.pandas_udf(run, "array<float>")(text))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corvid.functions import text as tx
 from corvid.operators import compression as cp
+from corvid.operators import conditional as cd
 from corvid.operators.loops import settled
 from corvid.session import table
 
@@ -97,6 +98,12 @@ def rf7(spark, d):
     return cp.keep_surprising(w.join(loss, "word"), ["doc_id"], 0.5).select("doc_id", "pos", "word")
 
 
+@register("rf7_iterative")
+def rf7_iterative(spark, d):
+    """Half of each window of 200 words, judged by a pair model of the corpus and what was kept of the text before it."""
+    return cd.compress(cd.probabilities(settled(placed_words(spark, d))), 0.5).select("doc_id", "pos", "word")
+
+
 @register("rf8_word_selection", f"""
 WITH {_WORDS}, p AS (SELECT *, CASE WHEN regexp_matches(word, '[0-9]') THEN 1.0::DOUBLE ELSE least(1.0::DOUBLE, length(word) / 16.0::DOUBLE) END AS prob, (length(word) + 3) // 4 AS pieces FROM w),
 t AS (SELECT doc_id, quantile_cont(prob, 0.51) AS cut FROM (SELECT doc_id, prob, unnest(generate_series(1, pieces)) FROM p) GROUP BY doc_id)

@@ -8,6 +8,7 @@ from corvid.functions import text as tx
 from corvid.operators.loops import settled
 from corvid.session import scratch, table
 from corvid.sources import files
+from corvid.sources.matrix import MatrixSource
 
 from .registry import register
 from .retrieval_queries import SQL_SPARSE, benchmark, sparse
@@ -136,6 +137,18 @@ def io15(spark, d):
     return back.select("item", F.round(F.col("v")[0].cast("double"), 5).alias("first"), F.round(F.col("v")[63].cast("double"), 5).alias("last"))
 
 
+@register("io15_matrix", "SELECT row_number() OVER (ORDER BY vec_id) - 1 AS row, round(embedding[1]::DOUBLE, 5) AS first, round(embedding[64]::DOUBLE, 5) AS last FROM embeddings")
+def io15_matrix(spark, d):
+    """Vectors as one raw float32 matrix without ids, written by tasks and read by ranges of rows."""
+    spark.dataSource.register(MatrixSource)
+    path = scratch(spark, "matrix").removeprefix("file://")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    v = table(spark, d, "embeddings").select(F.col("vec_id").alias("row"), F.col("embedding").alias("v"))
+    v.repartitionByRange(n, "row").sortWithinPartitions("row").write.format("f32matrix").mode("append").option("path", path).save()
+    back = spark.read.format("f32matrix").option("partitionRows", 100_000).load(path)
+    return back.select("row", F.round(F.col("v")[0].cast("double"), 5).alias("first"), F.round(F.col("v")[63].cast("double"), 5).alias("last"))
+
+
 _VOCABULARY = "byte_bpe_50k.json"
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corvid.functions import segmentation as sg
 from corvid.functions import text as tx
 from corvid.operators import compression as cp
 from corvid.operators import evaluation as ev
@@ -196,6 +197,15 @@ def ev12(spark, d):
     return ev.rouge_n(settled(answers(spark, d)), 1, ev.characters)
 
 
+@register("ev12_rouge_words")
+def ev12_words(spark, d):
+    """ROUGE-1 over words that are found again in texts without blanks, by a dictionary of the corpus' words."""
+    counts = documents(spark, d).select(F.explode(tx.tokens(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    words = sg.segmenter(spark, sg.dictionary(counts))
+    bare = lambda c: F.regexp_replace(c, r"\s+", "").alias(c)
+    return ev.rouge_n(settled(answers(spark, d).select("id", "gold_id", bare("pred"), bare("gold"))), 1, words)
+
+
 _BLEU = ", ".join(f"a{n} AS {_grams('pred', n)}, b{n} AS {_grams('gold', n)}" for n in range(1, 5))
 _BLEU_N = " UNION ALL ".join(f"SELECT ans.id, {n} AS n, coalesce(sum(least(a.n, coalesce(b.n, 0))), 0) AS hit, coalesce(sum(a.n), 0) AS total FROM ans LEFT JOIN a{n} a ON a.id = ans.id LEFT JOIN b{n} b ON b.id = a.id AND b.g = a.g GROUP BY ans.id" for n in range(1, 5))
 _BLEU_L = f"l AS (SELECT id, len({TOKS.format('pred')}) AS c, len({TOKS.format('gold')}) AS r FROM ans)"

@@ -37,7 +37,10 @@ def fu2(spark, d):
     def broken():
         raise ConnectionError("this source is down")
 
-    found = ro.fan_out({"bm25": lambda: s.where("rank <= 10").select(*cols), "down": broken, "overlap": lambda: reranked(spark, d, s).select(*cols)})
+    def fails_in_a_task():
+        return s.select("q_id", "doc_id", F.when(F.col("rank") > 0, F.raise_error(F.lit("lost on the way"))).otherwise(F.col("score")).alias("score"), "rank")
+
+    found = ro.fan_out({"bm25": lambda: s.where("rank <= 10").select(*cols), "down": broken, "failing": fails_in_a_task, "overlap": lambda: reranked(spark, d, s).select(*cols)})
     return found.groupBy("q_id", "source").agg(F.count("*").alias("n"), F.min("rank").alias("first"))
 
 
