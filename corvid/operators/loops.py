@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.session import shared_dir
+from corvid.session import scratch, shared_dir
 
 from .retrieval import sparse_search
 
@@ -22,6 +22,14 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """settled() for loops of many turns: a table in the shared folder, read back. A checkpoint keeps the
+    constraints that Spark infers of its plan, and they double with each turn."""
+    path = scratch(df.sparkSession, "turn")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def answer(hits: DataFrame, texts: DataFrame) -> DataFrame:
     """(q_id, answer): the first sentence of the best document."""
     return hits.where("rank = 1").join(texts, "doc_id").select("q_id", F.regexp_extract("text", r"^([^.!?\n]*)", 1).alias("answer"))

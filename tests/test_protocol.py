@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corvid.operators import generation as gn
 from corvid.operators import protocol as pr
-from corvid.operators.loops import settled
+from corvid.operators.loops import written
 
 TEXTS = [(1, "Paris is a town. More."), (2, "Rome is old! Yes."), (3, "nothing here")]
 
@@ -21,7 +21,7 @@ def play(spark, name, lines):
     rows = spark.createDataFrame([(q, n, x) for q, all_ in lines.items() for n, x in enumerate(all_, 1)], "q_id long, turn int, said string")
     questions = spark.createDataFrame([(q, f"question {q}") for q in lines], "q_id long, text string")
     write = lambda open_, turn: open_.join(rows.where(F.col("turn") == turn).drop("turn"), "q_id", "left")
-    out = pr.run_protocol(questions, search(spark), spark.createDataFrame(TEXTS, "doc_id long, text string"), pr.PROTOCOLS[name], write, settled)
+    out = pr.run_protocol(questions, search(spark), spark.createDataFrame(TEXTS, "doc_id long, text string"), pr.PROTOCOLS[name], write, written)
     return {r.q_id: r for r in out.collect()}
 
 
@@ -50,13 +50,13 @@ def test_scripted_writer_and_seam(spark):
     p = pr.PROTOCOLS["tagged"]
     questions = spark.createDataFrame([(k, "paris " + "x" * k) for k in range(5)], "q_id long, text string")
     texts = spark.createDataFrame(TEXTS, "doc_id long, text string")
-    out = pr.run_protocol(questions, search(spark), texts, p, pr.scripted(p), settled)
+    out = pr.run_protocol(questions, search(spark), texts, p, pr.scripted(p), written)
     assert sorted(r.reason for r in out.collect()) == ["answer", "answer", "empty query", "no tag", "repeat"]  # two words are soon used up
 
     class Model(gn.Generator):
         def generate(self, prompts, stop=(), max_words=None):
             return ["<answer>Rome</answer>" if "<information>" in x else "<search>rome</search>" for x in prompts]
 
-    got = pr.run_protocol(questions, search(spark), texts, p, pr.with_model(Model()), settled).collect()
+    got = pr.run_protocol(questions, search(spark), texts, p, pr.with_model(Model()), written).collect()
     assert {(r.answer, r.reason, tuple(r.asked)) for r in got} == {("Rome", "answer", ("rome",))}
-    assert pr.run_protocol(questions.limit(0), search(spark), texts, p, pr.scripted(p), settled).count() == 0
+    assert pr.run_protocol(questions.limit(0), search(spark), texts, p, pr.scripted(p), written).count() == 0
