@@ -9,10 +9,13 @@ over all training texts), smoothed by `ALPHA`. So training is one pass, and what
 driver is bounded by languages x vocabulary.
 
 A word is a run of bytes other than the six ASCII blanks, with a space before it, of any length;
-all of the vocabulary's pieces that a word can hold take part. Words of up to 64 bytes go in
-padded matrices with bare probabilities; longer ones, and those whose probability leaves the
-range of a double, go byte by byte in logarithms. The score is the posterior of the predicted
-language; equal posteriors go to the language that comes first in order of its name.
+all of the vocabulary's pieces that a word can hold take part. A longer word falls apart wherever
+no piece of the vocabulary spans a place: its sum is the product of the parts' sums, so a text of
+a script without spaces is work for each of its distinct parts. Words and parts of up to 64 bytes
+go in padded matrices with bare probabilities; longer ones, and those whose probability leaves the
+range of a double, go byte by byte, rescaled, in memory that doesn't grow with them. The score is
+the posterior of the predicted language; equal posteriors go to the language that comes first in
+order of its name.
 
 Null text, or one without a letter: `und`, score 0. The same if nothing could be learned, and
 so for an empty table's model. Rows with a null id are predicted and never learned from. Every
@@ -32,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import batch, id_text, slices
 
-#: Widths of the padded matrices; words beyond the last go byte by byte.
+#: Widths of the padded matrices; words beyond the last are cut, and go byte by byte if that can't be.
 WIDTHS = (8, 16, 24, 32, 64)
 #: Probabilities below this are worked out again in logarithms.
 TINY = 1e-280
@@ -40,8 +43,10 @@ ALPHA = 0.1
 #: Distinct words that a training task holds before it turns them into piece counts, and text
 #: bytes of documents of long words.
 FLUSH, BULK = 200_000, 32 << 20
-#: Starts of a long word that are looked up at once.
-BLOCK = 4096
+#: Starts of a long word that are looked up at once, and that are tried for cuts at once.
+BLOCK, CUT_BLOCK = 4096, 1 << 16
+#: Bytes between two rescalings of a long word's sums.
+RESCALE = 8
 #: Expected counts are summed as whole thousandths, so that their order doesn't matter.
 GRAIN = 1000
 
@@ -66,7 +71,7 @@ class Pieces:
         for p in self.pieces:
             for k in range(1, len(p) + 1):
                 node.setdefault(p[:k], len(node))
-        dead = len(node)
+        self.dead = dead = len(node)
         self.next = np.full((dead + 1, 256), dead, np.int32)
         self.piece = np.full(dead + 1, self.size, np.int32)  # self.size: no piece
         for prefix, n in node.items():
@@ -88,19 +93,42 @@ class Pieces:
             out.append(np.where(starts[: width - k] + k < lengths, self.piece[node], self.size))
         return lengths, out
 
-    def blocks(self, word: bytes):
-        """(first start, pieces by [length - 1, start]) of a long word, BLOCK starts at a time."""
-        for at in range(0, len(word), BLOCK):
-            count = min(BLOCK, len(word) - at)
-            raw = np.frombuffer(word[at : at + count + self.longest], np.uint8)
-            text = np.zeros(count + self.longest, np.uint8)
-            text[: len(raw)] = raw
-            out, node = np.full((self.longest, count), self.size, np.int32), np.zeros(count, np.int32)
-            starts = np.arange(count)
-            for k in range(self.longest):
-                node = self.next[node, text[k : k + count]]
-                out[k] = np.where(starts + k < len(raw), self.piece[node], self.size)
-            yield at, out
+    def block(self, word: bytes, at: int) -> np.ndarray:
+        """Pieces by [length - 1, start] of the BLOCK starts of a long word from `at` on."""
+        count = min(BLOCK, len(word) - at)
+        raw = np.frombuffer(word[at : at + count + self.longest], np.uint8)
+        text = np.zeros(count + self.longest, np.uint8)
+        text[: len(raw)] = raw
+        out, node = np.full((self.longest, count), self.size, np.int32), np.zeros(count, np.int32)
+        starts = np.arange(count)
+        for k in range(self.longest):
+            node = self.next[node, text[k : k + count]]
+            out[k] = np.where(starts + k < len(raw), self.piece[node], self.size)
+        return out
+
+    def parts(self, word: bytes):
+        """Lists of a word's parts, cut at every place that no piece spans."""
+        begun, far = 0, 0  # the open part's start, the furthest end of a piece so far
+        for first in range(0, len(word), CUT_BLOCK):
+            count = min(CUT_BLOCK, len(word) - first)
+            text = np.frombuffer(word[first : first + count + self.longest], np.uint8)
+            ends = np.arange(1, count + 1)  # every byte is a piece
+            at, node = np.arange(count), self.next[0, text[:count]]
+            for k in range(1, self.longest):
+                inside = at + k < len(text)
+                at, node = at[inside], node[inside]
+                node = self.next[node, text[at + k]]
+                live = node != self.dead
+                at, node = at[live], node[live]
+                if not len(at):
+                    break
+                ends[at[self.piece[node] < self.size]] = at[self.piece[node] < self.size] + k + 1
+            ends = np.maximum(np.maximum.accumulate(ends), far - first)
+            far = first + int(ends[-1])
+            cuts = (np.flatnonzero(ends == np.arange(1, count + 1)) + first + 1).tolist()
+            if cuts:
+                yield [word[a:b] for a, b in zip([begun, *cuts[:-1]], cuts, strict=True)]
+                begun = cuts[-1]
 
 
 _pieces: dict[str, Pieces] = {}
@@ -123,52 +151,104 @@ def buckets(words: list[bytes]):
             yield width, at[k : k + step]
 
 
-def _ahead(pieces: Pieces, logs: np.ndarray, word: bytes):
-    """Yields (first start, pieces, log sums [start, language] that reach each start), and at last
-    (length, None, those that reach the end). logs: [piece + 1, language]."""
-    reach = np.full((BLOCK + pieces.longest + 1, logs.shape[1]), -np.inf)
-    reach[0] = 0
-    for at, edge in pieces.blocks(word):
-        count = edge.shape[1]
-        step = np.ascontiguousarray(logs[edge].transpose(1, 0, 2))
-        for i in range(count):
-            after = reach[i + 1 : i + 1 + pieces.longest]
-            np.logaddexp(after, reach[i] + step[i], out=after)
-        yield at, edge, reach[:count]
-        reach[: pieces.longest + 1] = reach[count : count + pieces.longest + 1].copy()
-        reach[pieces.longest + 1 :] = -np.inf
-    yield len(word), None, reach[:1]
+def in_parts(pieces: Pieces, words: list[bytes]) -> dict[int, Counter]:
+    """The parts, with their counts, of the words that are longer than all widths."""
+    out = {}
+    for n, word in enumerate(words):
+        if len(word) > WIDTHS[-1]:
+            out[n] = Counter()
+            for some in pieces.parts(word):
+                out[n].update(some)
+    return out
 
 
-def log_forward(pieces: Pieces, logs: np.ndarray, word: bytes) -> np.ndarray:
-    """[language] log probability of a word of any length, all segmentations summed."""
-    for _, _, reach in _ahead(pieces, logs, word):
-        last = reach[0]
-    return last.copy()
+def _sweep(step: np.ndarray, window: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sums [start, language], log scales [start, language]) of one block: step has the pieces'
+    probabilities by [start, length - 1, language], window the sums that reach the first places
+    so far. Beyond the block's starts stand the next window and, last, its scale."""
+    count, longest, langs = step.shape
+    reach, scales = np.zeros((count + longest, langs)), np.empty((count + 1, langs))
+    reach[:longest] = window
+    for i in range(count):
+        if i % RESCALE == 0:
+            top = reach[i : i + longest].max(axis=0)
+            reach[i : i + longest] /= top
+            scale = scale + np.log(top)
+        scales[i] = scale
+        reach[i + 1 : i + 1 + longest] += reach[i] * step[i]
+    scales[count] = scale
+    return reach, scales
+
+
+def _first(pieces: Pieces, langs: int) -> tuple[np.ndarray, np.ndarray]:
+    window = np.zeros((pieces.longest, langs))
+    window[0] = 1
+    return window, np.zeros(langs)
+
+
+def log_forward(pieces: Pieces, table: np.ndarray, word: bytes) -> np.ndarray:
+    """[language] log probability of a word of any length, all segmentations summed; table: [piece + 1, language]."""
+    window, scale = _first(pieces, table.shape[1])
+    for at in range(0, len(word), BLOCK):
+        step = np.ascontiguousarray(table[pieces.block(word, at)].transpose(1, 0, 2))
+        reach, scales = _sweep(step, window, scale)
+        window, scale = reach[len(step) :], scales[-1]
+    return np.log(window[0]) + scale
 
 
 def long_counts(pieces: Pieces, word: bytes) -> np.ndarray:
-    """[piece] expected counts of a word of any length under equal probabilities."""
-    same = np.full((pieces.size + 1, 1), -np.log(pieces.size))
-    same[-1] = -np.inf
-    ahead = np.concatenate([reach[:, 0].copy() for _, _, reach in _ahead(pieces, same, word)])
-    out, n = np.zeros(pieces.size + 1), len(word)
-    behind = np.full(n + pieces.longest + 1, -np.inf)
-    behind[n] = 0
-    for at, edge in reversed(list(pieces.blocks(word))):
-        step = np.ascontiguousarray(same[edge, 0].T)
-        for i in range(len(step) - 1, -1, -1):
-            ways = behind[at + i + 1 : at + i + 1 + pieces.longest] + step[i]
-            top = ways.max()
-            behind[at + i] = top + np.log(np.exp(ways - top).sum())
-        ends = at + np.arange(len(step))[:, None] + 1 + np.arange(pieces.longest)
-        share = np.exp(ahead[at : at + len(step), None] + step + behind[ends] - ahead[n])
+    """[piece] expected counts of a word of any length under equal probabilities.
+
+    Only the forward sums at each block's start are kept; a block's are made again on the way back.
+    """
+    same = np.full((pieces.size + 1, 1), 1 / pieces.size)
+    same[-1] = 0
+    steps = lambda at: np.ascontiguousarray(same[pieces.block(word, at)].transpose(1, 0, 2))
+    starts, held = range(0, len(word), BLOCK), []
+    window, scale = _first(pieces, 1)
+    for at in starts:
+        held.append((window, scale))
+        reach, scales = _sweep(steps(at), window, scale)
+        window, scale = reach[len(scales) - 1 :].copy(), scales[-1]
+    total = np.log(window[0, 0]) + scale[0]
+    out, longest = np.zeros(pieces.size + 1), pieces.longest
+    after, height = np.zeros(longest), 0.0  # sums from the places behind the block, and their log scale
+    after[0] = 1
+    for at in reversed(starts):
+        edge, step = pieces.block(word, at), steps(at)
+        count = len(step)
+        reach, scales = _sweep(step, *held.pop())
+        behind, heights = np.zeros(count + longest), np.full(count + longest, height)
+        behind[count:] = after
+        bare = step[:, :, 0]
+        for i in range(count - 1, -1, -1):
+            behind[i] = bare[i] @ behind[i + 1 : i + 1 + longest]
+            heights[i] = height
+            if i % RESCALE == 0:
+                top = behind[i : i + longest].max()
+                behind[i : i + longest] /= top
+                height += np.log(top)
+                heights[i : i + longest] = height
+        with np.errstate(divide="ignore"):
+            ahead = np.log(reach[:count, 0]) + scales[:count, 0] - total
+            back = np.log(behind) + heights
+        ends = np.arange(count)[:, None] + 1 + np.arange(longest)
+        share = bare * np.exp(np.minimum(ahead[:, None] + back[ends], 700))
         out += np.bincount(edge.T.ravel(), share.ravel(), pieces.size + 1)
+        after = behind[:longest]
     return out[:-1]
 
 
 def expected_counts(pieces: Pieces, words: list[bytes], weights: np.ndarray) -> np.ndarray:
     """[language, piece] expected counts of words (weights: [language, word]) under equal probabilities."""
+    cut = in_parts(pieces, words)
+    if any(len(parts) > 1 for parts in cut.values()):
+        total: dict[bytes, np.ndarray] = {}
+        for n, word in enumerate(words):
+            for part, times in (cut[n].items() if n in cut else ((word, 1),)):
+                own = weights[:, n] * times
+                total[part] = total[part] + own if part in total else own
+        words, weights = list(total), np.stack(list(total.values()), axis=1)
     out = np.zeros((len(weights), pieces.size + 1))
     p = 1 / pieces.size
     for width, at in buckets(words):
@@ -254,6 +334,24 @@ def learn(docs: DataFrame, model_file: str, lang_col: str = "lang") -> tuple[lis
 
 def forward(pieces: Pieces, table: np.ndarray, words: list[bytes]) -> np.ndarray:
     """[word, language] log probability, all segmentations summed."""
+    cut = {n: parts for n, parts in in_parts(pieces, words).items() if len(parts) > 1}
+    if cut:
+        known = {n for n in range(len(words)) if n not in cut}
+        units = sorted(set().union(*cut.values(), (words[n] for n in known)))
+        value, place = _forward(pieces, table, units), {w: n for n, w in enumerate(units)}
+        out = np.empty((len(words), table.shape[1]))
+        for n, word in enumerate(words):
+            if n in cut:
+                times = np.fromiter(cut[n].values(), float, len(cut[n]))
+                out[n] = times @ value[np.fromiter(map(place.__getitem__, cut[n]), np.int64, len(cut[n]))]
+            else:
+                out[n] = value[place[word]]
+        return out
+    return _forward(pieces, table, words)
+
+
+def _forward(pieces: Pieces, table: np.ndarray, words: list[bytes]) -> np.ndarray:
+    """The same for words that no longer fall apart."""
     out = np.full((len(words), table.shape[1]), -np.inf)
     by_lang = np.ascontiguousarray(table.T)
     again: list[int] = []
@@ -275,11 +373,8 @@ def forward(pieces: Pieces, table: np.ndarray, words: list[bytes]) -> np.ndarray
             low |= total < TINY
             out[at, lang] = np.log(np.maximum(total, TINY))
         again += [at[n] for n in np.flatnonzero(low)]
-    if again:
-        with np.errstate(divide="ignore"):
-            logs = np.log(table)
-        for n in again:
-            out[n] = log_forward(pieces, logs, words[n])
+    for n in again:
+        out[n] = log_forward(pieces, table, words[n])
     return out
 
 
