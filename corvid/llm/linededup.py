@@ -6,7 +6,7 @@ eligible line, `references` the exact count of documents and the largest doc_id
 and `filters` a cuckoo filter of 16-bit fingerprints for each shard of keys. Documents can be
 inserted and deleted: a batch's keys pass the filters first, only keys that may be known are
 joined to the references, and counts go up or down by exactly the batch's documents, so a
-deletion undoes an insertion. Ledger keeps these tables by shard and touches a batch's shards only.
+deletion undoes an insertion. Ledger keeps these tables by shard; a batch appends its changes.
 
 A line is dropped where its key is in at least `min_docs` documents, except in the largest
 doc_id that holds it. Finding the drops: keys with enough references fill the filters; the
@@ -27,7 +27,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Stash, batch, fresh, id_text, row_slices, slices
@@ -38,6 +38,8 @@ BLANKS = " \t\n\r\x0b\x0c"
 #: Keys of one filter at most on average, and copies of each filter for the salted probe.
 SHARD_KEYS = 100_000
 SALTS = 32
+#: A ledger's keys of one shard on average, its shards at most, and the changes of a shard that are never merged yet.
+LEDGER_KEYS, MOST_SHARDS, FEW_CHANGES = 1_000_000, 20_000, 10_000
 
 
 def line_key(line: str, min_chars: int = MIN_CHARS) -> bytes | None:
@@ -199,21 +201,36 @@ def probe(occ: DataFrame, made: DataFrame, shards: int, salts: int = SALTS) -> D
 
 
 class Ledger:
-    """The state of incremental line dedup, in tables cut into shards.
-
-    By shard of the key: `occurrences` (key, doc_id), `references` (key, refs, keeper) and
-    `filters`; by shard of the document: `documents` (doc_id, keys). A batch reads and rewrites
-    only the shards that it touches, and of the occurrences it only appends. New keys are inserted
-    in their shard's filter, and keys that no document holds any more are deleted from it; a
-    filter that gets too full is made anew from its shard's references. The driver holds the paths
-    of the shards, `shards` for each table.
+    """The state of incremental line dedup: tables of signed changes, cut into shards and merged when read.
+
+    By shard of the key: `occurrences` (key, doc_id, change), `references` (key, change, keeper,
+    sets, turn) and `filters`; by shard of the document: `documents` (doc_id, keys, alive, turn).
+    An insertion appends +1 for each occurrence and its count for each key; a deletion appends the
+    same with a minus. A key's count is the sum of its changes, its keeper the largest since the
+    last row that sets one, and a document is as its last turn left it. So a batch writes as many
+    rows as it has lines, whatever is held already. A shard whose changes outgrow what was merged
+    before (and `few`) is merged; each row is therefore merged a bounded number of times on average.
+
+    Filters have one entry for each key that some document holds, changed in place (some 2.4 bytes a
+    key). They spare reading: an insertion looks up only keys that may be known, in their shards'
+    references alone; a deletion reads occurrences only of keys that lose their keeper. A filter
+    that gets too full is made anew from its shard's references. There are four times as many shards
+    once they hold over LEDGER_KEYS keys on average. The driver holds the shards' paths and sizes.
     """
 
-    SCHEMAS = {"occurrences": "key binary, doc_id long", "references": "key binary, refs long, keeper long", "filters": "filter binary", "documents": "doc_id long, keys array<binary>"}
+    SCHEMAS = {
+        "occurrences": "key binary, doc_id long, change long",
+        "references": "key binary, change long, keeper long, sets boolean, turn int",
+        "filters": "filter binary",
+        "documents": "doc_id long, keys array<binary>, alive boolean, turn int",
+    }
 
-    def __init__(self, spark, occ: DataFrame | None = None, shards: int = 32):
-        self.spark, self.stash, self.turn, self.shards = spark, Stash(spark, "ledger"), 0, shards
+    def __init__(self, spark, occ: DataFrame | None = None, shards: int = 32, few: int = FEW_CHANGES):
+        self.spark, self.stash, self.turn, self.shards, self.few = spark, Stash(spark, "ledger"), 0, shards, few
         self.paths: dict[str, dict[int, list[str]]] = {name: {} for name in self.SCHEMAS}
+        self.sizes: dict[str, dict[int, list[int]]] = {name: {} for name in self.SCHEMAS}  # merged rows, changes
+        self.written = dict.fromkeys(self.SCHEMAS, 0)  # rows so far
+        self.roots, self.temporary = 0, []
         if occ is not None:
             self._add(occ)
 
@@ -221,35 +238,86 @@ class Ledger:
 
     def read(self, name: str, shards: list[int] | None = None) -> DataFrame:
         """A table's rows with their shard, of all shards or of some."""
-        schema = self.SCHEMAS[name]
         some = self.paths[name] if shards is None else {k: self.paths[name].get(k, []) for k in shards}
-        out = None
         paths = [p for k in sorted(some) for p in some[k]]
-        if paths:
-            at = F.regexp_extract(F.input_file_name(), r"/shard=(\d+)/", 1).cast("int")
-            out = self.spark.read.schema(schema).parquet(*paths).withColumn("shard", at)
-        return self.spark.createDataFrame([], f"{schema}, shard int") if out is None else out
-
-    def _write(self, name: str, rows: DataFrame, touched: list[int], append: bool = False) -> None:
-        """Writes rows (with their shard) as the touched shards' new content, or behind it."""
-        root = f"{self.stash.root}/{name}-{self.turn}-{len(touched)}-{'a' if append else 'w'}"
-        rows.repartition("shard").write.partitionBy("shard").parquet(root)
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(root)
-        found = {int(x.getPath().getName()[6:]) for x in path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path) if x.getPath().getName().startswith("shard=")}
-        for k in touched:
-            own = [f"{root}/shard={k}"] if k in found else []
-            self.paths[name][k] = self.paths[name].get(k, []) + own if append else own
+        if not paths:
+            return self.spark.createDataFrame([], f"{self.SCHEMAS[name]}, shard int")
+        at = F.regexp_extract(F.input_file_name(), r"/shard=(\d+)/", 1).cast("int")
+        return self.spark.read.schema(self.SCHEMAS[name]).parquet(*paths).withColumn("shard", at)
+
+    def merged(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows of a table (all of a key, occurrence or document, or none) as one row for what there is now."""
+        if name == "occurrences":
+            return rows.groupBy("key", "doc_id", "shard").agg(F.sum("change").alias("change")).where("change > 0")
+        if name == "documents":
+            last = rows.groupBy("doc_id", "shard").agg(F.max_by(F.struct("keys", "alive"), "turn").alias("x"), F.max("turn").alias("turn"))
+            return last.select("doc_id", "x.keys", "x.alive", "turn", "shard").where("alive")
+        since = F.max(F.when(F.col("sets"), F.col("turn"))).over(Window.partitionBy("key"))
+        keeper = F.when(F.col("turn") >= F.coalesce("since", F.lit(0)), F.col("keeper"))
+        one = rows.withColumn("since", since).groupBy("key").agg(F.sum("change").alias("change"), F.max(keeper).alias("keeper"), F.lit(True).alias("sets"), F.max("turn").alias("turn"), F.max("shard").alias("shard"))
+        return one.where("change > 0")
+
+    def _keep(self, rows: DataFrame, name: str) -> DataFrame:
+        """A table of this turn alone."""
+        self.temporary.append(f"{name}-{self.turn}")
+        return self.stash.keep(rows, self.temporary[-1])
+
+    def _begin(self) -> None:
+        self.turn += 1
+
+    def _end(self) -> None:
+        for name in self.temporary:
+            self.stash.drop(name)
+        self.temporary.clear()
+
+    def _by_shard(self, rows: DataFrame) -> dict[int, int]:
+        """Rows of each shard; MOST_SHARDS at most."""
+        return {r[0]: r[1] for r in rows.groupBy("shard").count().collect()}
+
+    def _write(self, name: str, rows: DataFrame, replaced: list[int] | None = None) -> None:
+        """Appends rows (with their shard) as changes; or as all that the replaced shards hold."""
+        self.roots += 1
+        root = f"{self.stash.root}/{name}-r{self.roots}"
+        rows.hint("rebalance", "shard").write.partitionBy("shard").parquet(root)
+        found = self._by_shard(self.spark.read.schema(f"{self.SCHEMAS[name]}, shard int").parquet(root).select("shard"))
+        self.written[name] += sum(found.values())
+        for k in replaced or ():
+            self.paths[name].pop(k, None)
+            self.sizes[name].pop(k, None)
+        for k, n in found.items():
+            self.paths[name].setdefault(k, []).append(f"{root}/shard={k}")
+            size = self.sizes[name].setdefault(k, [0, 0])
+            size[1 if replaced is None and size[0] else 0] += n  # what comes first needs no merging
+
+    def _merge(self) -> None:
+        """Merges the shards whose changes outgrew what was merged; makes more shards if they are large."""
+        for name in ("occurrences", "references", "documents"):
+            large = sorted(k for k, (base, new) in self.sizes[name].items() if new > max(base, self.few))
+            if large:
+                self._write(name, self.merged(name, self.read(name, large)), large)
+        held = sum(base + new for base, new in self.sizes["references"].values())
+        if held > self.shards * LEDGER_KEYS and self.shards < MOST_SHARDS:
+            self._reshard(min(MOST_SHARDS, 4 * self.shards))
+
+    def _reshard(self, shards: int) -> None:
+        tables = {name: self.merged(name, self.read(name)) for name in ("occurrences", "references", "documents")}
+        old, self.shards = {name: sorted(self.paths[name]) for name in self.SCHEMAS}, shards
+        for name, rows in tables.items():
+            at = self._home() if name == "documents" else shard(shards)
+            self._write(name, rows.withColumn("shard", at), old[name])
+        self._write("filters", filters(self.read("references").select("key"), shards, 2), old["filters"])
+
+    def _home(self):
+        return F.pmod(F.xxhash64("doc_id"), F.lit(self.shards)).cast("int").alias("shard")
 
     @property
     def occ(self) -> DataFrame:
-        return self.read("occurrences").select("key", "doc_id")
+        return self.merged("occurrences", self.read("occurrences")).select("key", "doc_id")
 
     @property
     def refs(self) -> DataFrame:
-        return self.read("references").select("key", "refs", "keeper")
-
-    def _shards_of(self, rows: DataFrame) -> list[int]:
-        return sorted(r[0] for r in rows.select("shard").distinct().collect())  # at most `shards`
+        """(key, refs, keeper): exact counts of documents, and the largest doc_id."""
+        return self.merged("references", self.read("references")).select("key", F.col("change").alias("refs"), "keeper")
 
     # --- batches
 
@@ -258,51 +326,55 @@ class Ledger:
         self._add(occurrences(docs))
 
     def _add(self, occ: DataFrame) -> None:
-        self.turn += 1
-        by_doc = F.pmod(F.xxhash64("doc_id"), F.lit(self.shards)).cast("int").alias("shard")
-        batch_ = self.stash.keep(occ.dropDuplicates().select("key", "doc_id", by_doc), f"batch-{self.turn}")
-        homes = self._shards_of(batch_)
-        held = self.read("documents", homes).select("doc_id")
-        fresh = self.stash.keep(batch_.join(held, "doc_id", "left_anti").select("key", "doc_id", shard(self.shards)), f"fresh-{self.turn}")
-        touched = self._shards_of(fresh)
-        if not touched:
-            return
-        new = self.stash.keep(references(fresh).withColumn("shard", shard(self.shards)), f"new-{self.turn}")
-        # only keys that their shard's filter may hold meet the exact references
-        maybe = probe(fresh.select("key", "doc_id"), self.read("filters", touched), self.shards).select("key").distinct()
-        old = self.read("references", touched)
-        met = self.stash.keep(old.join(maybe, "key", "left_semi").join(new.select("key"), "key", "left_semi"), f"met-{self.turn}")
-        both = met.select("key", "refs", "keeper", "shard").unionByName(new.select("key", "refs", "keeper", "shard"))
-        both = both.groupBy("key", "shard").agg(F.sum("refs").alias("refs"), F.max("keeper").alias("keeper"))
-        added = self.stash.keep(new.join(met.select("key"), "key", "left_anti").select("key", "shard"), f"added-{self.turn}")
-        self._write("references", old.join(met.select("key"), "key", "left_anti").select("key", "refs", "keeper", "shard").unionByName(both.select("key", "refs", "keeper", "shard")), touched)
-        self._write("occurrences", fresh, touched, append=True)
-        self._write("documents", fresh.groupBy("doc_id").agg(F.collect_set("key").alias("keys")).withColumn("shard", by_doc), homes, append=True)
-        self._change_filters(added.withColumn("add", F.lit(True)))
+        self._begin()
+        batch_ = self._keep(occ.dropDuplicates().select("key", "doc_id", self._home()), "batch")
+        ids = batch_.select("doc_id").distinct()
+        known = self.read("documents", sorted(self._by_shard(batch_))).select("doc_id", "alive", "turn").join(ids, "doc_id", "left_semi")
+        held = known.groupBy("doc_id").agg(F.max_by("alive", "turn").alias("alive")).where("alive").select("doc_id")
+        fresh = self._keep(batch_.join(held, "doc_id", "left_anti").select("key", "doc_id", shard(self.shards)), "fresh")
+        new = self._keep(references(fresh).select("key", F.col("refs").alias("change"), "keeper", F.lit(False).alias("sets"), F.lit(self.turn).alias("turn"), shard(self.shards)), "new")
+        touched = sorted(self._by_shard(new))
+        if touched:
+            # only keys that their shard's filter may hold meet the exact references
+            maybe = self._keep(probe(new.select("key", F.col("keeper").alias("doc_id")), self.read("filters", touched), self.shards).select("key", shard(self.shards)), "maybe")
+            rows = self.read("references", sorted(self._by_shard(maybe))).join(maybe.select("key"), "key", "left_semi")
+            added = self._keep(new.join(self.merged("references", rows).select("key"), "key", "left_anti").select("key", "shard"), "added")
+            self._write("references", new)
+            self._write("occurrences", fresh.select("key", "doc_id", F.lit(1).cast("long").alias("change"), "shard"))
+            self._write("documents", fresh.groupBy("doc_id").agg(F.collect_set("key").alias("keys")).select("doc_id", "keys", F.lit(True).alias("alive"), F.lit(self.turn).alias("turn"), self._home()))
+            self._change_filters(added.withColumn("add", F.lit(True)))
+            self._merge()
+        self._end()
 
     def delete(self, ids: DataFrame) -> None:
-        """Takes documents (doc_id) away; counts fall by exactly their occurrences."""
-        self.turn += 1
-        by_doc = F.pmod(F.xxhash64("doc_id"), F.lit(self.shards)).cast("int").alias("shard")
-        gone = self.stash.keep(ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct().withColumn("shard", by_doc), f"gone-{self.turn}")
-        homes = self._shards_of(gone)
-        mine = self.read("documents", homes)
-        lost = self.stash.keep(mine.join(gone.select("doc_id"), "doc_id", "left_semi").select("doc_id", F.explode("keys").alias("key")).select("key", "doc_id", shard(self.shards)), f"lost-{self.turn}")
-        touched = self._shards_of(lost)
-        if not touched:
-            return
-        hit = lost.select("key").distinct()
-        rest = self.stash.keep(self.read("occurrences", touched).join(lost.select("key", "doc_id"), ["key", "doc_id"], "left_anti").select("key", "doc_id", "shard"), f"rest-{self.turn}")
-        again = self.stash.keep(references(rest.select("key", "doc_id").join(hit, "key", "left_semi")).withColumn("shard", shard(self.shards)), f"again-{self.turn}")
-        self._write("references", self.read("references", touched).join(hit, "key", "left_anti").select("key", "refs", "keeper", "shard").unionByName(again.select("key", "refs", "keeper", "shard")), touched)
-        self._write("occurrences", rest, touched)
-        self._write("documents", mine.join(gone.select("doc_id"), "doc_id", "left_anti").select("doc_id", "keys", "shard"), homes)
-        dead = hit.join(again.select("key"), "key", "left_anti").select("key", shard(self.shards))
-        self._change_filters(self.stash.keep(dead, f"dead-{self.turn}").withColumn("add", F.lit(False)))
+        """Takes documents (doc_id) away; counts fall by exactly their occurrences. Ids that aren't held change nothing."""
+        self._begin()
+        gone = self._keep(ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct().withColumn("shard", self._home()), "gone")
+        rows = self.read("documents", sorted(self._by_shard(gone))).join(gone.select("doc_id"), "doc_id", "left_semi")
+        mine = self._keep(self.merged("documents", rows), "mine")
+        lost = self._keep(mine.select("doc_id", F.explode("keys").alias("key")).select("key", "doc_id", shard(self.shards)), "lost")
+        down = self._keep(lost.groupBy("key", "shard").agg(F.count("*").alias("n")), "down")
+        touched = sorted(self._by_shard(down))
+        if touched:
+            now = self.merged("references", self.read("references", touched).join(down.select("key"), "key", "left_semi"))
+            left = now.select("key", "keeper", F.col("change").alias("refs")).join(down, "key").withColumn("left", F.col("refs") - F.col("n"))
+            # keys whose keeper goes get the largest of the documents that stay
+            gone_keepers = lost.select("key", F.col("doc_id").alias("keeper"), F.lit(True).alias("sets"))
+            left = self._keep(left.join(gone_keepers, ["key", "keeper"], "left").select("key", "shard", "n", "left", F.coalesce("sets", F.lit(False)).alias("sets")), "left")
+            open_ = self._keep(left.where("sets AND left > 0").select("key", "shard"), "open")
+            stay = self.read("occurrences", sorted(self._by_shard(open_))).join(open_.select("key"), "key", "left_semi")
+            stay = self.merged("occurrences", stay).join(lost.select("key", "doc_id"), ["key", "doc_id"], "left_anti")
+            heir = stay.groupBy("key").agg(F.max("doc_id").alias("keeper"))
+            self._write("references", self._keep(left.join(heir, "key", "left").select("key", (-F.col("n")).alias("change"), "keeper", "sets", F.lit(self.turn).alias("turn"), "shard"), "change"))
+            self._write("occurrences", lost.select("key", "doc_id", F.lit(-1).cast("long").alias("change"), "shard"))
+            self._write("documents", mine.select("doc_id", F.lit(None).cast("array<binary>").alias("keys"), F.lit(False).alias("alive"), F.lit(self.turn).alias("turn"), "shard"))
+            self._change_filters(left.where("left = 0").select("key", "shard", F.lit(False).alias("add")))
+            self._merge()
+        self._end()
 
     def _change_filters(self, changes: DataFrame) -> None:
         """Inserts or deletes keys (key, shard, add) in their shards' filters; a full one comes back null and is made anew."""
-        touched = self._shards_of(changes)
+        touched = sorted(self._by_shard(changes))
         if not touched:
             return
         schema = pa.schema([("shard", pa.int32()), ("filter", pa.binary())])
@@ -322,11 +394,11 @@ class Ledger:
 
         held = self.read("filters", touched).select("shard", "filter")
         out = held.groupBy("shard").cogroup(changes.select("shard", "key", "add").groupBy("shard")).applyInArrow(change, "shard int, filter binary")
-        out = self.stash.keep(out, f"changed-{self.turn}")
-        full = self._shards_of(out.where("filter IS NULL"))
+        out = self._keep(out, "changed")
+        full = sorted(self._by_shard(out.where("filter IS NULL")))
         good = out.where("filter IS NOT NULL")
         if full:
-            good = good.unionByName(filters(self.read("references", full).select("key"), self.shards, 2))
+            good = good.unionByName(filters(self.merged("references", self.read("references", full)).select("key"), self.shards, 2))
         self._write("filters", good, touched)
 
     def drops(self, min_docs: int = MIN_DOCS) -> DataFrame:
