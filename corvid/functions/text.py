@@ -92,6 +92,22 @@ def analyzed(c: Column, stop=STOP_WORDS, stem=plural_stem) -> Column:
     return F.transform(kept, stem) if stem else kept
 
 
+# The entities and, in order, the separations of the mteval-v13a tokenizer: symbols; a
+# period or comma that no digit precedes, or none follows; a dash behind a digit.
+MTEVAL_ENTITIES = (("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"))
+MTEVAL_RULES = ((r"([\x20-\x26\x28-\x2B\x2F\x3A-\x40\x5B-\x60\x7B-\x7E])", r" $1 "), (r"([^0-9])([.,])", r"$1 $2 "), (r"([.,])([^0-9])", r" $1 $2"), (r"([0-9])(-)", r"$1 $2 "))
+
+
+def mteval_tokens(c: Column) -> Column:
+    """Tokens as machine translation scores count them; case is kept, words over a line's end are joined."""
+    for mark, value in (("<skipped>", ""), ("-\n", ""), ("\n", " "), *MTEVAL_ENTITIES):
+        c = F.replace(c, F.lit(mark), F.lit(value))
+    c = F.concat(F.lit(" "), c, F.lit(" "))
+    for pattern, value in MTEVAL_RULES:
+        c = F.regexp_replace(c, pattern, value)
+    return F.filter(F.split(c, r"(?U)\s+"), lambda x: x != "")
+
+
 def words(c: Column) -> Column:
     return F.filter(F.split(c, r"[ \n\t]+"), lambda x: x != "")
 
@@ -278,8 +294,10 @@ def is_numeric_query(c: Column) -> Column:
 
 
 def expand_abbreviations(c: Column, table: dict[str, str]) -> Column:
+    """Every abbreviation, taken literally, that stands alone, with what it stands for behind it."""
     for short, long in table.items():
-        c = F.regexp_replace(c, rf"\b{short}\b", f"{short} {long}")
+        both = f"{short} {long}".replace("\\", "\\\\").replace("$", "\\$")
+        c = F.regexp_replace(c, rf"(?<![\p{{L}}\p{{N}}_])\Q{short}\E(?![\p{{L}}\p{{N}}_])", both)
     return c
 
 

@@ -107,18 +107,18 @@ def rouge_l(pred: Column, gold: Column) -> Column:
     return _lcs_f(tx.tokens(pred), tx.tokens(gold))
 
 
-def bleu_counts(pairs: DataFrame, order: int = 4) -> DataFrame:
+def bleu_counts(pairs: DataFrame, order: int = 4, tokens=tx.mteval_tokens) -> DataFrame:
     """(id, n, hit, total, c, r) of (id, gold_id, pred, gold): n-grams of each prediction clipped by the
     most that any gold has, its length, and the shortest gold's."""
     out = None
     preds = pairs.select("id", "pred").dropDuplicates(["id"])
     for n in range(1, order + 1):
-        gold = gram_counts(pairs, ["id", "gold_id"], "gold", n, "b").groupBy("id", "g").agg(F.max("b").alias("b"))
-        both = gram_counts(preds, ["id"], "pred", n, "a").join(gold, ["id", "g"], "left")
+        gold = gram_counts(pairs, ["id", "gold_id"], "gold", n, "b", tokens).groupBy("id", "g").agg(F.max("b").alias("b"))
+        both = gram_counts(preds, ["id"], "pred", n, "a", tokens).join(gold, ["id", "g"], "left")
         own = both.groupBy("id").agg(F.sum(F.least("a", F.coalesce("b", F.lit(0)))).alias("hit"), F.sum("a").alias("total"))
         own = preds.select("id").join(own, "id", "left").select("id", F.lit(n).alias("n"), F.coalesce("hit", F.lit(0)).alias("hit"), F.coalesce("total", F.lit(0)).alias("total"))
         out = own if out is None else out.unionByName(own)
-    lengths = pairs.groupBy("id").agg(F.max(F.size(tx.tokens(F.col("pred")))).alias("c"), F.min(F.size(tx.tokens(F.col("gold")))).alias("r"))
+    lengths = pairs.groupBy("id").agg(F.max(F.size(tokens(F.col("pred")))).alias("c"), F.min(F.size(tokens(F.col("gold")))).alias("r"))
     return out.join(lengths, "id")
 
 

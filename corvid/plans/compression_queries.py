@@ -56,13 +56,14 @@ def ev15(spark, d):
     return docs(spark, d).groupBy("source").agg(F.round(F.avg(F.size(tx.words(F.col("text")))), 6).alias("tokens"))
 
 
-_NUMBERS = "SELECT item_id AS q_id, unnest(list_distinct(regexp_extract_all(text, '[0-9]+'))) AS number FROM benchmark"
+_NUMBERS = "SELECT item_id AS q_id, unnest(list_distinct(regexp_extract_all(text || ' ' || item_id, '[0-9]+'))) AS number FROM benchmark"
 
 
 @register("ev20_numeric_presence", f"""WITH {SQL_SPARSE}, n AS ({_NUMBERS})
 SELECT q_id, number, count(*) FILTER (WHERE contains(d.text, number)) AS chunks FROM n JOIN (SELECT * FROM sparse WHERE rank <= 10) USING (q_id) JOIN documents d USING (doc_id) GROUP BY ALL""")
 def ev20(spark, d):
-    n = benchmark(spark, d).select("q_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("([0-9]+)"), F.lit(1)))).alias("number"))
+    """The numbers of each question, which asks for its own id too, among its first ten hits."""
+    n = benchmark(spark, d).select("q_id", F.explode(F.array_distinct(F.regexp_extract_all(F.concat_ws(" ", "text", "q_id"), F.lit("([0-9]+)"), F.lit(1)))).alias("number"))
     found = sparse(spark, d).where("rank <= 10").select("q_id", "doc_id").join(n, "q_id").join(docs(spark, d).select("doc_id", "text"), "doc_id")
     return found.groupBy("q_id", "number").agg(F.count_if(F.contains("text", "number")).alias("chunks"))
 
@@ -106,7 +107,8 @@ def rf7_iterative(spark, d):
 
 @register("rf8_word_selection", f"""
 WITH {_WORDS}, p AS (SELECT *, CASE WHEN regexp_matches(word, '[0-9]') THEN 1.0::DOUBLE ELSE least(1.0::DOUBLE, length(word) / 16.0::DOUBLE) END AS prob, (length(word) + 3) // 4 AS pieces FROM w),
-t AS (SELECT doc_id, quantile_cont(prob, 0.51) AS cut FROM (SELECT doc_id, prob, unnest(generate_series(1, pieces)) FROM p) GROUP BY doc_id)
+d AS (SELECT doc_id, prob, sum(sum(pieces)) OVER (PARTITION BY doc_id ORDER BY prob) AS upto FROM p GROUP BY doc_id, prob), z AS (SELECT doc_id, (max(upto) - 1) * 0.51::DOUBLE AS place FROM d GROUP BY doc_id),
+t AS (SELECT doc_id, min(prob) FILTER (WHERE upto > floor(place)) * (1 - (place - floor(place))) + min(prob) FILTER (WHERE upto > ceil(place)) * (place - floor(place)) AS cut FROM d JOIN z USING (doc_id) GROUP BY doc_id, place)
 SELECT doc_id, pos::BIGINT AS pos, word FROM p JOIN t USING (doc_id) WHERE prob > cut + 1e-12""")
 def rf8(spark, d):
     """Stand-in probability: the word's length; words with digits are forced."""

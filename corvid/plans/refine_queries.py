@@ -123,10 +123,12 @@ def rf8b(spark, d):
     return docs(spark, d).select("doc_id", F.explode(rf.boundary_chunks(t, 50, (".", "\u0001"))).alias("start")).withColumn("start", F.col("start").cast("long"))
 
 
-@register("rf9_structured_prompt", f"SELECT doc_id, n::BIGINT AS pos, CASE n WHEN 0 THEN 0.5::DOUBLE END AS rate, n <> 1 AS compress, len({_W('x')})::BIGINT AS words FROM (SELECT doc_id, n, CASE n WHEN 0 THEN source ELSE split_part(text, chr(10), n) END AS x FROM documents, range(0, 3) r(n))")
+@register("rf9_structured_prompt", f"SELECT doc_id, (n - 1)::BIGINT AS pos, CASE (n - 1) % 3 WHEN 0 THEN 0.5::DOUBLE END AS rate, (n - 1) % 3 <> 1 AS compress, len({_W('x')})::BIGINT AS words FROM (SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS n FROM (SELECT doc_id, list_prepend(source, string_split(text, chr(10))) AS l FROM documents WHERE text IS NOT NULL))")
 def rf9(spark, d):
-    line = lambda n: F.coalesce(F.try_element_at(F.split("text", "\n"), F.lit(n)), F.lit(""))
-    prompt = F.concat(F.lit("<part, rate = 0.5>"), "source", F.lit("</part> and <part, compress=False>"), line(1), F.lit("</part><part>"), line(2), F.lit("</part>"))
+    """The source and every line of a text as a segment: in turns with a rate, not to be compressed, and plain."""
+    head = lambda n: F.when(n % 3 == 0, "<part, rate = 0.5>").when(n % 3 == 1, " and <part, compress=False>").otherwise("<part>")
+    lines = F.concat(F.array("source"), F.split("text", "\n"))
+    prompt = F.array_join(F.transform(lines, lambda x, n: F.concat(head(n), x, F.lit("</part>"))), "")
     rows = docs(spark, d).select("doc_id", F.posexplode(rf.prompt_segments(prompt)).alias("pos", "x"))
     return rows.select("doc_id", F.col("pos").cast("long").alias("pos"), "x.rate", "x.compress", F.size(tx.words(F.col("x.text"))).cast("long").alias("words"))
 
@@ -142,12 +144,11 @@ def rf10(spark, d):
     return rt.top_k(scored, 10, rank="place").select("q_id", "doc_id", "place")
 
 
-@register("rf11_recover", f"SELECT doc_id, array_to_string(w[1:greatest(1, ((len(w) - 1) // 2) * 2 + 1)], ' ') AS out FROM (SELECT doc_id, {WORDS} AS w FROM documents) WHERE len(w) > 0 AND len(list_distinct(w)) = len(w)")
+@register("rf11_recover", f"SELECT doc_id, array_to_string(w[1:greatest(1, ((len(w) - 1) // 2) * 2 + 1)], ' ') AS out FROM (SELECT doc_id, {WORDS} AS w FROM documents) WHERE len(w) > 0")
 def rf11(spark, d):
-    """Every second word is kept and answered with; the answer comes back with the words between.
-    Documents of distinct words, where the span is unique."""
+    """Every second word is kept and answered with; the answer comes back with the words between."""
     w = tx.words(F.col("text"))
-    kept = docs(spark, d).select("doc_id", w.alias("w")).where((F.size("w") > 0) & (F.size(F.array_distinct("w")) == F.size("w")))
+    kept = docs(spark, d).select("doc_id", w.alias("w")).where(F.size("w") > 0)
     kept = kept.withColumn("places", F.sequence(F.lit(0), F.size("w") - 1, F.lit(2)))
     answer = F.array_join(F.transform("places", lambda n: F.element_at("w", n + 1)), " ")
     return kept.select("doc_id", rf.recover(answer, F.array_join("w", " "), "places").alias("out"))

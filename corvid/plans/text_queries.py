@@ -128,11 +128,15 @@ def tx17(spark, d):
     return table(spark, d, "pages").select("page_id", tx.last_between(F.col("html"), "<li>", "</li>").alias("last"), F.size(tx.between(F.col("html"), "<li>", "</li>")).cast("long").alias("n"))
 
 
-@register("tx18_language", r"WITH t AS (SELECT lang, CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN substr(text, 1, 40) || repeat('ёж', 40) ELSE substr(text, 1, 40) || repeat('日本', 40) END AS t FROM documents), n AS (SELECT lang, len(regexp_extract_all(t, '\p{L}')) AS l, len(regexp_extract_all(t, '\p{Han}')) AS h, len(regexp_extract_all(t, '\p{Cyrillic}')) AS c FROM t) SELECT lang, CASE WHEN h * 2 > greatest(l, 1) THEN 'zh' WHEN c * 2 > greatest(l, 1) THEN 'ru' ELSE 'latin' END AS script, count(*) AS n FROM n GROUP BY ALL")
+_LATIN = "abcdefghijklmnopqrstuvwxyz"
+_CYRILLIC, _HAN = ("".join(chr(first + n) for n in range(26)) for first in (0x430, 0x4E00))
+
+
+@register("tx18_language", rf"WITH t AS (SELECT lang, CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN translate(text, '{_LATIN}', '{_CYRILLIC}') ELSE translate(text, '{_LATIN}', '{_HAN}') END AS t FROM documents), n AS (SELECT lang, len(regexp_extract_all(t, '\p{{L}}')) AS l, len(regexp_extract_all(t, '\p{{Han}}')) AS h, len(regexp_extract_all(t, '\p{{Cyrillic}}')) AS c FROM t) SELECT lang, CASE WHEN h * 2 > greatest(l, 1) THEN 'zh' WHEN c * 2 > greatest(l, 1) THEN 'ru' ELSE 'latin' END AS script, count(*) AS n FROM n GROUP BY ALL")
 def tx18(spark, d):
-    """A third of the texts with Cyrillic, a third with Han behind their beginnings."""
-    head = F.substring("text", 1, 40)
-    t = F.when(F.col("doc_id") % 3 == 0, F.col("text")).when(F.col("doc_id") % 3 == 1, F.concat(head, F.repeat(F.lit("ёж"), 40))).otherwise(F.concat(head, F.repeat(F.lit("日本"), 40)))
+    """Whole texts, a third with Cyrillic, a third with Han letters for a to z."""
+    third, text = F.col("doc_id") % 3, F.col("text")
+    t = F.when(third == 0, text).when(third == 1, F.translate(text, _LATIN, _CYRILLIC)).otherwise(F.translate(text, _LATIN, _HAN))
     return docs(spark, d).groupBy("lang", tx.script_language(t).alias("script")).agg(F.count("*").alias("n"))
 
 
@@ -197,7 +201,11 @@ def tb6(spark, d):
     return table(spark, d, "benchmark").select("item_id", tx.expand_abbreviations(F.col("text"), _ABBREVIATIONS).alias("out"))
 
 
-_ADDED = "list_concat(" * (len(_SYNONYMS) - 1) + ", ".join(f"CASE WHEN list_contains({TOK}, '{k}') THEN {list(v[: 5 if k == 'and' else 3])} ELSE []::VARCHAR[] END{')' if n else ''}" for n, (k, v) in enumerate(_SYNONYMS.items()))
+def _added(synonyms, critical=()):
+    return "list_concat(" * (len(synonyms) - 1) + ", ".join(f"CASE WHEN list_contains({TOK}, '{k}') THEN {list(v[: 5 if k in critical else 3])} ELSE []::VARCHAR[] END{')' if n else ''}" for n, (k, v) in enumerate(synonyms.items()))
+
+
+_ADDED, _TB8_ADDED = _added(_SYNONYMS, ("and",)), _added(_SYNONYMS)
 _NUMBERED = "flatten(list_transform(nums, lambda x: CASE WHEN NOT contains(x, '.') AND NOT contains(x, ',') THEN CASE WHEN length(x) > 3 THEN [x || '.0', x || ',0', rtrim(reverse(regexp_replace(reverse(x), '([0-9]{3})', '\\1 ', 'g')))] ELSE [x || '.0', x || ',0'] END ELSE [translate(x, '.,', ',.'), regexp_extract(x, '^[0-9]+', 0)] END))"
 
 
@@ -210,11 +218,18 @@ def tb7(spark, d):
     return rows.select("item_id", F.array_sort(F.array_distinct(F.split(F.regexp_replace(more, "1 234 567", "1_234_567"), " "))).alias("w")).select("item_id", F.array_sort(F.transform("w", lambda x: F.replace(x, F.lit("_"), F.lit(" ")))).alias("added"))
 
 
-@register("tb8_prepare_query", rf"WITH q AS (SELECT *, list_filter(['the', 'of', 'de'], lambda k: list_contains({TOK}, k))[1:2] AS k, len({WORDS}) AS n FROM benchmark) SELECT item_id, coalesce(nullif(trim(regexp_replace(regexp_replace(lower(CASE WHEN n < 30 AND len(k) > 0 THEN text || ' ' || array_to_string(k, ' ') ELSE text END), '[^\p{{L}}0-9\s]', ' ', 'g'), '\s+', ' ', 'g')), ''), text) AS query FROM q WHERE NOT regexp_matches(text, '[0-9]')")
+_ONCE = "list_filter({0}, lambda x, i: list_position({0}, x) = i)"
+
+
+@register("tb8_prepare_query", rf"""WITH n AS (SELECT item_id, text, regexp_extract_all(text, '[0-9]+(?:[.,][0-9]+)?') AS l FROM asked), q AS (SELECT item_id, text, {_ONCE.format("l")} AS nums FROM n),
+a AS (SELECT item_id, text, list_concat({_TB8_ADDED}, {_NUMBERED}) AS l FROM q), b AS (SELECT item_id, text, {_ONCE.format("l")}[1:40] AS l FROM a),
+w AS (SELECT item_id, text, list_filter(['the', 'of', 'de'], lambda k: list_contains({TOK}, k))[1:2] AS k, list_reduce(list_prepend(text, l), lambda u, x: CASE WHEN length(u) + 1 + length(x) <= length(text) + 200 THEN u || ' ' || x ELSE u END) AS wide FROM b),
+z AS (SELECT item_id, text, CASE WHEN len({WORDS.replace("text", "wide")}) < 30 AND len(k) > 0 THEN wide || ' ' || array_to_string(k, ' ') ELSE wide END AS wide FROM w)
+SELECT item_id, coalesce(nullif(trim(regexp_replace(regexp_replace(lower(wide), '[^\p{{L}}0-9\s]', ' ', 'g'), '\s+', ' ', 'g')), ''), text) AS query FROM z""".replace("FROM asked", "FROM (SELECT item_id, text || ' ' || item_id || ',5 ' || (item_id * 1009) AS text FROM benchmark)"))
 def tb8(spark, d):
-    """Queries without numbers, with no synonyms, where SQL can follow: important terms are repeated in short ones."""
-    rows = table(spark, d, "benchmark").where(~F.col("text").rlike("[0-9]"))
-    return rows.select("item_id", tx.prepared_query(F.col("text"), {"\u0001": ("x",)}, ("the", "of", "de")).alias("query"))
+    """Queries, each asking for two numbers more, with synonyms and the numbers' other writings; important terms are repeated in short ones."""
+    asked = F.concat("text", F.lit(" "), "item_id", F.lit(",5 "), F.col("item_id") * 1009)
+    return table(spark, d, "benchmark").select("item_id", tx.prepared_query(asked, _SYNONYMS, ("the", "of", "de")).alias("query"))
 
 
 @register("tb9_numeric_query", r"SELECT doc_id, regexp_matches(text, '[0-9]') OR regexp_matches(lower(text), '\b(rate|percent|limit|price|cost|fee|amount|tariff)\b') AS numeric FROM documents")
