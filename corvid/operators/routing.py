@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from corvid.functions import text as tx
 from corvid.session import scratch
 
-from .retrieval import SMALL, minmax, top_k
+from .retrieval import SMALL, dense_search, minmax, top_k
 
 
 def tag(hits: DataFrame, source: str, corpus: str | None = None, multimodal: bool = False) -> DataFrame:
@@ -314,3 +314,29 @@ def ivf_search(vectors: DataFrame, queries: DataFrame, k: int, cells: int = 32,
 
 def normalised(hits: DataFrame, flat: float = 0.5) -> DataFrame:
     return hits.withColumn("norm", minmax("score", ["q_id"], flat, 6))
+
+
+def pooled_vector(tokens: Column, mask: Column, method: str = "mean", pooler: Column | None = None) -> Column:
+    """One vector of a text's token vectors (array<array<double>>): the mean of those that the mask
+    (array<boolean>) marks, the first, or the model's own `pooler` vector. Without a marked token,
+    or without tokens, null."""
+    if method == "pooler":
+        if pooler is None:
+            raise ValueError("pooler needs the model's own vector")
+        return pooler
+    if method == "cls":
+        return F.try_element_at(tokens, F.lit(1))
+    if method != "mean":
+        raise ValueError(f"unknown pooling {method}; there are mean, cls and pooler")
+    kept = F.filter(F.arrays_zip(tokens.alias("t"), mask.alias("m")), lambda x: x["m"])
+    added = F.aggregate(F.slice(kept, 2, F.greatest(F.size(kept) - 1, F.lit(0))), F.try_element_at(kept, F.lit(1))["t"], lambda a, x: F.zip_with(a, x["t"], lambda p, q: p + q))
+    return F.transform(added, lambda x: x / F.size(kept))
+
+
+def modal_search(tables: dict[str, DataFrame], queries: DataFrame, k: int) -> DataFrame:
+    """(q_id, item, score, rank, modal): the best k of each modality's vectors (item, v) for each query, whatever its own modality."""
+    out = None
+    for modal, vectors in tables.items():
+        found = dense_search(vectors, queries, k).withColumn("modal", F.lit(modal))
+        out = found if out is None else out.unionByName(found)
+    return out

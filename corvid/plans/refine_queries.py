@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corvid.functions import text as tx
+from corvid.operators import compression as cp
 from corvid.operators import refine as rf
 from corvid.operators import retrieval as rt
 from corvid.operators import routing as ro
@@ -12,7 +13,7 @@ from corvid.operators.loops import settled
 
 from .registry import register
 from .retrieval_queries import SQL_SPARSE, TOKS, _DENSE, benchmark, sparse, vectors
-from .routing_queries import _OKAPI, context_rows, context_scores, documents
+from .routing_queries import _OKAPI, _vectors, context_rows, context_scores, documents
 from .text_queries import WORDS, docs
 
 _W = lambda c: f"list_filter(regexp_split_to_array({c}, '[ \n\t]+'), lambda x: x <> '')"
@@ -133,15 +134,39 @@ def rf9(spark, d):
     return rows.select("doc_id", F.col("pos").cast("long").alias("pos"), "x.rate", "x.compress", F.size(tx.words(F.col("x.text"))).cast("long").alias("words"))
 
 
-RANKERS = {"bm25": context_scores}
+def gzip_scores(c):
+    """The nearer a context compresses with the question, the higher."""
+    return c.select("q_id", "doc_id", (-cp.gzip_distance("query", "text")).alias("s"))
+
+
+def vector_scores(c):
+    ask = c.select("q_id", F.col("query").alias("text")).dropDuplicates(["q_id"])
+    return ro.bi_rerank(c.select("q_id", "doc_id"), ask, c.select("doc_id", "text").dropDuplicates(["doc_id"]), 10).select("q_id", "doc_id", F.col("score").alias("s"))
+
+
+RANKERS = {"bm25": context_scores, "gzip": gzip_scores, "vectors": vector_scores}
+
+
+def ranked_contexts(spark, d, name):
+    c = settled(context_rows(spark, d))
+    scored = c.select("q_id", "doc_id").join(RANKERS[name](c), ["q_id", "doc_id"], "left").select("q_id", "doc_id", F.round(F.coalesce("s", F.lit(0.0)), 6).alias("score"))
+    return rt.top_k(scored, 10, rank="place").select("q_id", "doc_id", "place")
 
 
 @register("rf10_rank_contexts", f"WITH {SQL_SPARSE}, {_OKAPI} SELECT q_id, doc_id, row_number() OVER (PARTITION BY q_id ORDER BY round(coalesce(s, 0), 6) DESC, doc_id) AS place FROM oc LEFT JOIN sc USING (q_id, doc_id)")
 def rf10(spark, d):
     """The contexts of a question by one of the rankers."""
-    c = context_rows(spark, d)
-    scored = c.select("q_id", "doc_id").join(RANKERS["bm25"](c), ["q_id", "doc_id"], "left").select("q_id", "doc_id", F.round(F.coalesce("s", F.lit(0.0)), 6).alias("score"))
-    return rt.top_k(scored, 10, rank="place").select("q_id", "doc_id", "place")
+    return ranked_contexts(spark, d, "bm25")
+
+
+@register("rf10_by_vectors", f"WITH {SQL_SPARSE}, qv AS {_vectors('item_id', 'benchmark')}, dv AS {_vectors('doc_id', 'documents')}, s AS (SELECT q_id, doc_id, round(coalesce(sum(qv.w * dv.w), 0), 6) AS score FROM (SELECT * FROM sparse WHERE rank <= 10) LEFT JOIN (SELECT q.id AS q_id, v.id AS doc_id, q.w AS w, v.w AS v FROM qv q JOIN dv v ON q.dim = v.dim) p USING (q_id, doc_id) GROUP BY ALL) SELECT q_id, doc_id, row_number() OVER (PARTITION BY q_id ORDER BY score DESC, doc_id) AS place FROM s".replace("sum(qv.w * dv.w)", "sum(p.w * p.v)"))
+def rf10v(spark, d):
+    return ranked_contexts(spark, d, "vectors")
+
+
+@register("rf10_by_gzip")
+def rf10g(spark, d):
+    return ranked_contexts(spark, d, "gzip")
 
 
 @register("rf11_recover", f"SELECT doc_id, array_to_string(w[1:greatest(1, ((len(w) - 1) // 2) * 2 + 1)], ' ') AS out FROM (SELECT doc_id, {WORDS} AS w FROM documents) WHERE len(w) > 0")

@@ -163,6 +163,29 @@ def dn9(spark, d):
     return v.groupBy("modal").agg(F.count("*").alias("n"), F.round(F.avg(F.col("v")[0].cast("double")), 6).alias("mean"))
 
 
+@register("dn9_search", """WITH m AS (SELECT vec_id, embedding::DOUBLE[] AS v, CASE WHEN label % 2 = 0 THEN 'text' ELSE 'image' END AS modal FROM embeddings),
+s AS (SELECT q.vec_id AS q_id, q.modal AS asked, b.modal, b.vec_id AS item, round(list_dot_product(q.v, b.v), 6) AS score FROM m q JOIN m b ON q.vec_id <> b.vec_id WHERE q.vec_id % 20 = 0)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id, modal ORDER BY score DESC, item) AS rank FROM s) WHERE rank <= 5""")
+def dn9_search(spark, d):
+    """Each query, of either modality, searches the vectors of both: the best five of each."""
+    v, q = vectors(spark, d)
+    kind = lambda x: F.when(F.col(x) % 2 == 0, "text").otherwise("image")
+    found = ro.modal_search({m: v.where(kind("label") == m) for m in ("text", "image")}, q, 5)
+    return found.join(v.select(F.col("item").alias("q_id"), kind("label").alias("asked")), "q_id")
+
+
+@register("dn3_pooling", """WITH t AS (SELECT vec_id, label, embedding::DOUBLE[] AS e, unnest(generate_series(0, 7)) AS dim FROM embeddings)
+SELECT vec_id, dim, round(list_sum(list_transform(generate_series(0, label % 8), lambda k: e[8 * k + dim + 1])) / (label % 8 + 1), 6) AS mean, round(e[dim + 1], 6) AS cls FROM t""")
+def dn3_pooling(spark, d):
+    """Vectors as eight tokens of eight numbers, of which as many count as the label says."""
+    e = F.transform("embedding", lambda x: x.cast("double"))
+    tokens = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.slice(e, k * 8 + 1, 8))
+    mask = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: k <= F.col("label") % 8)
+    rows = table(spark, d, "embeddings").select("vec_id", ro.pooled_vector(tokens, mask, "mean").alias("m"), ro.pooled_vector(tokens, mask, "cls").alias("c"))
+    each = rows.select("vec_id", F.posexplode(F.arrays_zip("m", "c")).alias("dim", "x"))
+    return each.select("vec_id", F.col("dim").cast("long").alias("dim"), F.round("x.m", 6).alias("mean"), F.round("x.c", 6).alias("cls"))
+
+
 @register("rr2_bi_encoder", f"WITH {SQL_SPARSE}, qv AS {_vectors('item_id', 'benchmark')}, dv AS {_vectors('doc_id', 'documents')}, s AS (SELECT q_id, doc_id, round(sum(qv.w * dv.w), 6) AS score FROM sparse JOIN qv ON qv.id = q_id JOIN dv ON dv.id = doc_id AND dv.dim = qv.dim GROUP BY ALL) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= 5")
 def rr2(spark, d):
     return ro.bi_rerank(settled(sparse(spark, d)), benchmark(spark, d), documents(spark, d), 5)
