@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Stash, batch, fresh, hash64, id_text, slices, word_hashes
-from .exchange import by_part, components, deal, parts, per_part, repeated
+from .exchange import MOST_PARTITIONS, by_part, components, deal, parts, per_part, repeated
 
 SHINGLE = 5
 NUM, DEN = 3, 4  # links need NUM / DEN = 0.75
@@ -295,7 +295,7 @@ def cell_pairs(members: DataFrame, n_parts: int) -> DataFrame:
     that meets in several cells leaves from the smallest that both its sides name, if they name
     one; every cell that a member names is open here, as both sides are in it and still apart.
     """
-    dealt = members.repartition(n_parts, "cell", "block_a", "block_b").sortWithinPartitions("cell", "block_a", "block_b")
+    dealt = members.repartition(min(n_parts, MOST_PARTITIONS), "cell", "block_a", "block_b").sortWithinPartitions("cell", "block_a", "block_b")
 
     def solve(table: pa.Table):
         cell, one, two, side, rep, comp, n = (table[c].to_numpy() for c in ("cell", "block_a", "block_b", "side", "rep", "comp", "n"))

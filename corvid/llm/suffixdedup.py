@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Stash, batch, fresh, hash64, id_text, powers, row_slices, slices
-from .exchange import by_part, deal, parts, per_part, repeated
+from .exchange import MOST_PARTITIONS, by_part, deal, parts, per_part, repeated
 
 MATCH = 100
 GRAM = 32
@@ -321,7 +321,7 @@ _MARK = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int
 
 def marks(found: DataFrame, n_parts: int) -> DataFrame:
     """(doc_id, start, end) of bytes to remove, from contexts dealt by their gram."""
-    dealt = found.repartition(n_parts, "gram").sortWithinPartitions("gram", "doc_id", "place")
+    dealt = found.repartition(min(n_parts, MOST_PARTITIONS), "gram").sortWithinPartitions("gram", "doc_id", "place")
 
     def shard(rows: list[tuple], folder: str):
         gram = np.array([r[0] for r in rows])
