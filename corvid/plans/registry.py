@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("text_queries", "retrieval_queries", "index_queries", "compression_queries", "routing_queries", "refine_queries", "generation_queries", "agent_queries", "protocol_queries", "file_queries")
+MODULES = ("text_queries", "retrieval_queries", "index_queries", "compression_queries", "routing_queries", "refine_queries", "generation_queries", "agent_queries", "chain_queries", "wiki_queries", "protocol_queries", "file_queries")
 
 _queries: dict[str, Query] = {}
 _oracles: dict[str, str] = {}
