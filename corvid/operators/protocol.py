@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from corvid.functions import text as tx
 
+from .retrieval import few_of
+
 
 @dataclass(frozen=True)
 class Protocol:
@@ -74,7 +76,7 @@ def run_protocol(questions: DataFrame, search: Callable[[DataFrame], DataFrame],
     write(open rows, turn) gives them with `said`; rows have text, transcript and last, the last result.
     search(q_id, text) gives (q_id, doc_id, rank); a result is the first sentence of the best document.
     """
-    none = F.lit(None).cast("string")
+    none, few = F.lit(None).cast("string"), few_of(questions)
     state = questions.select("q_id", "text", F.lit("").alias("transcript"), F.array().cast("array<string>").alias("asked"), F.lit("").alias("last"), none.alias("answer"), none.alias("reason"))
     columns = state.columns
     for turn in range(1, protocol.rounds + 1):
@@ -89,7 +91,7 @@ def run_protocol(questions: DataFrame, search: Callable[[DataFrame], DataFrame],
         read = settle(read.withColumn("why", why))
         going = read.where("why IS NULL")
         hits = search(going.select("q_id", F.col("query").alias("text"))).where("rank = 1").select("q_id", "doc_id")
-        held = hits.join(texts.select("doc_id", F.regexp_extract("text", r"^([^.!?\n]*)", 1).alias("result")), "doc_id").select("q_id", "result")
+        held = few(hits).join(texts.select("doc_id", "text"), "doc_id").select("q_id", F.regexp_extract("text", r"^([^.!?\n]*)", 1).alias("result"))
         moved = going.join(held, "q_id", "left").withColumn("result", F.coalesce("result", F.lit("")))
         over = F.lit("rounds") if turn == protocol.rounds else none
         shown = F.concat("transcript", "cut", F.lit(protocol.result[0]), "result", F.lit(protocol.result[1]))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corvid.operators import chains as ch
 from corvid.operators import generation as gn
 from corvid.operators import refine as rf
-from corvid.operators.loops import settled
+from corvid.operators.loops import settled, written
 from corvid.session import table
 
 from .agent_queries import searching
@@ -103,4 +103,4 @@ fr{k} AS MATERIALIZED (SELECT q_id, query, path, total FROM (SELECT *, row_numbe
 @register("pl11_three_levels", f"WITH {_IDX}, {tree_sql(3)} SELECT q_id, path, answer, prob FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY prob DESC, path) AS r FROM lv) WHERE r = 1")
 def pl11_three(spark, d):
     """Answer, rewrite, decompose or disambiguate on three levels; the best leaf of each question."""
-    return gn.query_tree(benchmark(spark, d), searching(spark, d), documents(spark, d), 3, settled)
+    return gn.query_tree(benchmark(spark, d), searching(spark, d), documents(spark, d), 3, written)
