@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from corvid.functions import text as tx
 from corvid.session import scratch
 
-from .retrieval import SMALL, dense_search, minmax, top_k
+from .retrieval import SMALL, best_by_products, dense_search, minmax, top_k
 
 
 def tag(hits: DataFrame, source: str, corpus: str | None = None, multimodal: bool = False) -> DataFrame:
@@ -295,20 +295,27 @@ def ivf_search(vectors: DataFrame, queries: DataFrame, k: int, cells: int = 32,
     """Approximate search of (item, v) for (q_id, q): a query meets the vectors of its nearest cells.
 
     Every vector is in one cell. The default probes suit vectors without structure, like the test ones
-    (recall 0.95 to 0.96); clustered embeddings need far fewer. A hot cell is split by AQE, and salted by item before that, as a
-    query's probes are sent to each salt.
+    (recall 0.95 to 0.96); clustered embeddings need far fewer. A task meets the vectors of a cell with
+    the queries that probe it as matrices and sends each query's best k, so a hot cell is no one task.
     """
-    from .retrieval import dot
-
     centre = coarse_cells(vectors, cells)
-    salts = max(1, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
-    held = assign(vectors.select("item", "v"), centre, 1).withColumn("salt", F.pmod(F.xxhash64("item"), F.lit(salts)))
-    asked = assign(queries.select("q_id", "q"), centre, probes, "q")
-    if queries.count() <= SMALL // 10:
-        met = held.join(F.broadcast(asked), "cell")
-    else:
-        met = held.join(asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long")), ["cell", "salt"])
-    scored = met.where(F.col("item") != F.col("q_id")).select("q_id", "item", F.round(dot(F.col("v"), F.col("q")), 6).alias("score"))
+
+    def by_cell(q):
+        probed = _nearest(q, centre, probes) if len(centre) else np.zeros((len(q), 0), int)
+        asked = [np.nonzero((probed == c).any(axis=1))[0] for c in range(len(centre))]
+
+        def meet(v):
+            own = _nearest(v, centre, 1)[:, 0]
+            return [(np.nonzero(own == c)[0], asked[c]) for c in np.unique(own)]
+
+        return meet
+
+    blocks = max(1, -(-queries.count() // SMALL))
+    scored = None
+    for n in range(blocks):
+        part = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("q_id"), F.lit(blocks)) == n)
+        own = best_by_products(vectors, part, k, cells=by_cell)
+        scored = own if scored is None else scored.unionByName(own)
     return top_k(scored, k, item="item")
 
 
