@@ -8,7 +8,7 @@ from corvid.functions import text as tx
 from corvid.operators import compression as cp
 from corvid.operators import conditional as cd
 from corvid.operators.loops import settled
-from corvid.session import table
+from corvid.session import spread, table
 
 from .registry import register
 from .retrieval_queries import SQL_OVERLAP, SQL_QRELS, SQL_SPARSE, benchmark, qrels, reranked, sparse
@@ -102,7 +102,8 @@ def rf7(spark, d):
 @register("rf7_iterative")
 def rf7_iterative(spark, d):
     """Half of each window of 200 words, judged by a pair model of the corpus and what was kept of the text before it."""
-    return cd.compress(cd.probabilities(settled(placed_words(spark, d))), 0.5).select("doc_id", "pos", "word")
+    texts = spread(docs(spark, d)).select("doc_id", tx.words(F.col("text")).alias("words"))
+    return cd.compress_texts(texts, 0.5).select("doc_id", "pos", "word")
 
 
 @register("rf8_word_selection", f"""

@@ -116,3 +116,33 @@ def test_words_without_spaces_are_found_again(spark):
             counts[w] += 1
     own = sg.Dictionary.of(dict(counts))
     assert [own.words("".join(line)) for line in lines] == lines
+
+
+def test_texts_in_chunks_keep_what_token_rows_keep(spark, monkeypatch):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from corvid.operators import conditional as cd
+
+    rng = random.Random(5)
+    rows = [(n, [rng.choice("a b c dd ee ff gg the the the".split()) for _ in range(rng.choice([0, 1, 5, 57]))]) for n in range(60)] + [(100, None), (101, ["lone"])]
+    texts = spark.createDataFrame(rows, "doc_id long, words array<string>")
+    tokens = texts.select("doc_id", F.posexplode("words").alias("pos", "word"))
+    key = lambda df: sorted((r.doc_id, r.pos, r.word, round(r.loss, 9)) for r in df.collect())
+    scored = cd.probabilities(tokens, 10)
+    want = key(cd.compress(scored, 0.5, 10))
+    assert want and key(cd.compress_texts(texts, 0.5, 10)) == want
+    assert key(cd.compress_texts(texts, 0.5, 10, gain=True)) == key(cd.compress(scored, 0.5, 10, gain=True))
+    monkeypatch.setattr(cd, "CHUNK", 50)
+    monkeypatch.setattr(cd, "BUCKET", 20)
+    assert key(cd.compress_texts(texts, 0.5, 10)) == want
+    assert cd.compress_texts(texts.limit(0), 0.5, 10).count() == 0
+
+
+def test_tokens_are_not_shuffled(spark):
+    from corvid.plans import registry
+
+    plan = registry.queries()["rf7_iterative"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.split("\n") if "hashpartitioning(" in line]
+    assert dealt and not any("word#" in line or "prev#" in line or "doc_id#" in line.split("ENSURE")[0].split("hashpartitioning")[1] for line in dealt)
