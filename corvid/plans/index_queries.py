@@ -33,14 +33,16 @@ def sp2_written(spark, d):
 
 
 def sparse_weights(spark, d):
-    """(term, doc_id, weight) of sp6's stand-in encoder, written, as an index reads it several times; and (term, idf)."""
+    """(term, doc_id, weight) of sp6's stand-in encoder, not written yet; and (term, idf), written."""
     path = scratch(spark, "sparse")
-    counts = rt.postings(documents(spark, d))
-    tf = counts.where(F.col("term") != rt.ITSELF)
-    idf = tf.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(counts.where(F.col("term") == rt.ITSELF).agg(F.count("*").alias("n_docs"))))
-    tf.join(idf, "term").select("term", "doc_id", (F.log1p("tf") * F.log(1 + F.col("n_docs") / F.col("df"))).alias("weight"), F.log(1 + F.col("n_docs") / F.col("df")).alias("idf")).write.parquet(path)
-    held = spark.read.parquet(path)
-    return held.select("term", "doc_id", "weight"), held.groupBy("term").agg(F.first("idf").alias("idf"))
+    rows = bm.count_terms(documents(spark, d), f"{path}/counts")
+    tf = rows.select("doc_id", F.explode(F.arrays_zip("terms", "tfs")).alias("x")).select("doc_id", F.col("x.terms").alias("term"), F.col("x.tfs").alias("tf"))
+    n_docs = rows.select("doc_id").distinct().count()
+    if n_docs < rows.count():  # rows that repeat an id are one document
+        tf = tf.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
+    tf.groupBy("term").agg(F.log(1 + F.lit(n_docs) / F.count("*")).alias("idf")).write.parquet(f"{path}/idf")
+    idf = spark.read.parquet(f"{path}/idf")
+    return tf.join(idf, "term").select("term", "doc_id", (F.log1p("tf") * F.col("idf")).alias("weight")), idf
 
 
 def cut_questions(spark, d, idf, cut=10):
@@ -78,8 +80,7 @@ def sp1_snowball(spark, d):
 @register("sp3_stemmed_search")
 def sp3_stemmed(spark, d):
     """BM25 over English stems without stop words, from a written index; the questions are analysed alike."""
-    docs, en = documents(spark, d), F.lit("en")
-    terms = sm.analyse(tokens_of(docs, "doc_id"), en)
-    index = bm.bm25_of_terms(terms, docs.select("doc_id"), scratch(spark, "stems"))
-    asked = sm.analyse(tokens_of(benchmark(spark, d), "q_id"), en).dropDuplicates().withColumn("weight", F.lit(1.0))
+    docs = documents(spark, d).withColumn("text", F.coalesce("text", F.lit("")))  # each counts
+    index = bm.bm25(docs, scratch(spark, "stems"), term_of=sm.stem_or_none("en"))
+    asked = sm.analyse(tokens_of(benchmark(spark, d), "q_id"), F.lit("en")).dropDuplicates().withColumn("weight", F.lit(1.0))
     return bm.search(index, asked, 10)
