@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from corvid.functions import text as tx
 
-from .retrieval import dot
+from .retrieval import dot, few_of
 from .routing import DIM, hashed_dim
 
 #: Ends a path, as a chosen triple does not.
@@ -49,7 +49,7 @@ def triples_of_hits(hits: DataFrame, texts: DataFrame, extract: Callable[[Column
     sentences of a long one are dealt to all tasks before they are encoded.
     A document that was extracted to nothing has no rows; malformed triples are skipped.
     """
-    found = texts.join(hits.select("doc_id").dropDuplicates(), "doc_id")
+    found = texts.join(few_of(hits)(hits.select("doc_id").dropDuplicates()), "doc_id")
     blocks = found.select("doc_id", F.posexplode(F.regexp_extract_all(extract(F.col("text")), F.lit("<([^>]*)>"), F.lit(1))).alias("n", "x"))
     parts = [F.trim(F.regexp_extract("x", "^(.*);([^;]*);([^;]*)$", k)) for k in (1, 2, 3)]
     made = blocks.where(F.col("x").rlike("^(.*);([^;]*);([^;]*)$")).select("doc_id", "n", F.concat_ws(" ", *parts).alias("said"))

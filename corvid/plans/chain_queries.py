@@ -10,10 +10,10 @@ from corvid.operators import refine as rf
 from corvid.operators.loops import settled, written
 from corvid.session import table
 
-from .agent_queries import searching
+from .agent_queries import forward, searching
 from .generation_queries import _FIRST
 from .registry import register
-from .retrieval_queries import SQL_INDEX, SQL_SPARSE, TOKS, benchmark, sparse
+from .retrieval_queries import SQL_INDEX, SQL_SPARSE, TOKS, benchmark
 from .routing_queries import documents
 from .text_queries import WORDS
 
@@ -51,7 +51,8 @@ _ROWS = "cr AS (SELECT q_id, chain, pos, doc_id, said FROM (SELECT q_id, chain,
 
 def found_chains(spark, d):
     """(chains, triples): four hops over the triples of the five best documents of each question."""
-    own = settled(ch.triples_of_hits(settled(sparse(spark, d, 5)), documents(spark, d)))
+    hits = settled(forward(spark, d).search(benchmark(spark, d), 5))
+    own = settled(ch.triples_of_hits(hits, documents(spark, d)))
     return ch.chains(benchmark(spark, d), own, settled, HOPS), own
 
 

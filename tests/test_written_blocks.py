@@ -47,3 +47,13 @@ def test_terms_of_tokens(spark, tmp_path):
     want = {r.term for r in sm.analyse(spark.createDataFrame([("runners",), ("running",), ("the",)], "term string"), F.lit("en")).collect()}
     assert {r.term for r in held.terms().collect()} == want
     assert held.rows().agg(F.sum(F.size("ids"))).first()[0] == 3
+
+
+def test_chains_shuffle_no_postings(spark, monkeypatch):
+    from corvid.plans import chain_queries as cq
+
+    plans, keep = [], cq.settled
+    monkeypatch.setattr(cq, "settled", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df))
+    cq.found_chains(spark, SF)
+    dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plans[0])
+    assert dealt and not any("doc_id" in x or "term" in x for x in dealt)
