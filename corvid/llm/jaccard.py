@@ -3,7 +3,8 @@
 A document is the set of its distinct 5-word shingles. Shingles are hashed into GROUPS
 groups, and the group counts are the document's point. For two points the sum of the
 coordinate minima bounds the overlap of the sets from above, and for a box of points the same
-sum with the box's upper corner does; a pair, a point and a box, or two boxes can only hold a
+sum with the box's upper corner does (points of long sets have more groups, which boxes fold
+to GROUPS and pairs don't); a pair, a point and a box, or two boxes can only hold a
 link where that bound reaches t / (1 + t) of both sizes. Survivors are verified on the sets.
 
 One tree over all points can't prune: unlike documents of one size have nearly the same
@@ -79,14 +80,25 @@ def prefix_size(n: int) -> int:
     return n - -(-NUM * n // DEN) + 1
 
 
-def point(shingles: np.ndarray) -> bytes:
+def point(shingles: np.ndarray, groups: int = GROUPS) -> bytes:
     """Group counts as bytes; what a count has beyond 255 is the point's excess, its size less its counts."""
-    return np.minimum(np.bincount((shingles & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS), 255).astype(np.uint8).tobytes()
+    return np.minimum(np.bincount((shingles & np.uint64(groups - 1)).astype(np.int64), minlength=groups), 255).astype(np.uint8).tobytes()
+
+
+def groups_of(n):
+    """Groups of the points of sets of these sizes: some four to eight shingles each, GROUPS at least. Of fewer, the
+    counts of two long unlike documents are much the same."""
+    return np.maximum(GROUPS, 1 << np.maximum(0, np.frexp(np.asarray(n, float))[1].astype(np.int64) - 3))
+
 
+def sharp_point(shingles: np.ndarray) -> bytes:
+    """packed_point() over groups_of() the set's size."""
+    return packed_point(shingles, int(groups_of(len(shingles))))
 
-def packed_point(shingles: np.ndarray) -> bytes:
+
+def packed_point(shingles: np.ndarray, groups: int = GROUPS) -> bytes:
     """The point with two, four or eight bits a count, the fewest that hold them all."""
-    count = np.frombuffer(point(shingles), np.uint8)
+    count = np.frombuffer(point(shingles, groups), np.uint8)
     top = int(count.max())
     for bits in (2, 4):
         if top < 1 << bits:
@@ -96,8 +108,7 @@ def packed_point(shingles: np.ndarray) -> bytes:
 
 def fine_point(shingles: np.ndarray) -> bytes:
     """The point over as many groups as the set has shingles (a power of two): sharper for long documents."""
-    groups = max(GROUPS, 1 << int(len(shingles)).bit_length())
-    return np.minimum(np.bincount((shingles & np.uint64(groups - 1)).astype(np.int64), minlength=groups), 255).astype(np.uint8).tobytes()
+    return point(shingles, max(GROUPS, 1 << int(len(shingles)).bit_length()))
 
 
 def fine_bound(p: bytes, q: bytes, n_p: int, n_q: int) -> int:
@@ -108,19 +119,53 @@ def fine_bound(p: bytes, q: bytes, n_p: int, n_q: int) -> int:
     return int(np.minimum(a, b).sum()) + min(n_p - int(a.sum()), n_q - int(b.sum()))
 
 
-def points_of(column) -> np.ndarray:
+def points_of(column, groups: int = GROUPS) -> np.ndarray:
     """[row, group] counts of packed points."""
     raw = column.to_pylist()
     size = np.fromiter(map(len, raw), np.int64, len(raw))
-    out = np.empty((len(raw), GROUPS), np.uint8)
+    out = np.empty((len(raw), groups), np.uint8)
     for width in np.unique(size).tolist():
         at = np.flatnonzero(size == width)
-        bits = 8 * width // GROUPS
+        bits = 8 * width // groups
         held = np.frombuffer(b"".join([raw[n] for n in at.tolist()]), np.uint8).reshape(len(at), width, 1)
-        out[at] = ((held >> np.arange(0, 8, bits, dtype=np.uint8)) & np.uint8((1 << bits) - 1)).reshape(len(at), GROUPS)
+        out[at] = ((held >> np.arange(0, 8, bits, dtype=np.uint8)) & np.uint8((1 << bits) - 1)).reshape(len(at), groups)
     return out
 
 
+class Points:
+    """Sharp points of sets of sizes n: [row, group] counts folded to GROUPS in `coarse`, and those of long sets in all their groups."""
+
+    def __init__(self, column, n: np.ndarray):
+        self.n, self.groups, self.place = n, groups_of(n), np.zeros(len(n), np.int64)
+        self.coarse, self.fine = np.empty((len(n), GROUPS), np.uint8), {}
+        for groups in np.unique(self.groups).tolist():
+            rows = np.flatnonzero(self.groups == groups)
+            held = points_of(column.take(pa.array(rows)), groups)
+            self.coarse[rows] = held if groups == GROUPS else np.minimum(held.reshape(len(rows), -1, GROUPS).sum(axis=1), 255)
+            if groups > GROUPS:
+                self.place[rows], self.fine[groups] = np.arange(len(rows)), held
+
+    def _folded(self, rows: np.ndarray, groups: int) -> np.ndarray:
+        out = np.empty((len(rows), groups), np.int64)
+        for own in np.unique(self.groups[rows]).tolist():
+            at = np.flatnonzero(self.groups[rows] == own)
+            out[at] = self.fine[own][self.place[rows[at]]].reshape(len(at), -1, groups).sum(axis=1)
+        return out
+
+    def near(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether each pair of rows may link by the finest groups that both have; True where that is GROUPS."""
+        out, groups = np.ones(len(i), bool), np.minimum(self.groups[i], self.groups[j])
+        for w in np.unique(groups[groups > GROUPS]).tolist():
+            at = np.flatnonzero(groups == w)
+            step = max(1, 2_000_000 // w)
+            for k in range(0, len(at), step):
+                some = at[k : k + step]
+                a, b = self._folded(i[some], w), self._folded(j[some], w)
+                m, n = self.n[i[some]], self.n[j[some]]
+                out[some] = enough(np.minimum(a, b).sum(axis=1) + np.minimum(m - a.sum(axis=1), n - b.sum(axis=1)), m, n)
+        return out
+
+
 def excess_of(n: np.ndarray, points: np.ndarray) -> np.ndarray:
     return n - points.sum(axis=1, dtype=np.int64)
 
@@ -149,7 +194,7 @@ def profile(docs: DataFrame, stash: Stash) -> DataFrame:
         for ids, texts in slices(batches):
             sets = shingle_sets(texts)
             classes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-            yield batch(schema, [0] * len(texts), ids, classes, list(map(len, sets)), list(map(packed_point, sets)), list(map(fine_point, sets)))
+            yield batch(schema, [0] * len(texts), ids, classes, list(map(len, sets)), list(map(sharp_point, sets)), list(map(fine_point, sets)))
             for c, s in zip(classes, sets, strict=True):
                 if c and c not in seen:
                     seen.add(c)
@@ -299,12 +344,15 @@ def cell_pairs(members: DataFrame, n_parts: int) -> DataFrame:
 
     def solve(table: pa.Table):
         cell, one, two, side, rep, comp, n = (table[c].to_numpy() for c in ("cell", "block_a", "block_b", "side", "rep", "comp", "n"))
-        points = points_of(table["point"])
+        held = Points(table["point"], n)
+        points = held.coarse
         named = table["named"].combine_chunks().flatten().to_numpy().reshape(-1, NAMED)
         cuts = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])]))
         size = np.diff(np.append(cuts, len(cell)))
         small = np.repeat((size <= LEAF) & (one[cuts] == two[cuts]), size)
-        found = [small_pairs(*(x[small] for x in (cell, rep, comp, n, points, named)))]
+        i, j = small_pairs(*(x[small] for x in (cell, np.arange(len(cell)), comp, n, points, named)))
+        near = held.near(i, j)
+        found = [(rep[i[near]], rep[j[near]])]
         for start, m in zip(cuts[~small[cuts]].tolist(), size[~small[cuts]].tolist(), strict=True):
             at = np.arange(start, start + m)
             diagonal = one[start] == two[start]
@@ -316,6 +364,7 @@ def cell_pairs(members: DataFrame, n_parts: int) -> DataFrame:
                 i, js = first[i], second[js]
                 js = js[(comp[js] != comp[i]) & ((rep[js] > rep[i]) | (not diagonal))]
                 js = js[~left_to_smaller(cell[start], named[i], named[js])]
+                js = js[held.near(np.full(len(js), i), js)]
                 if len(js):
                     found.append((np.full(len(js), rep[i]), rep[js]))
         a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
