@@ -10,7 +10,7 @@ from corvid.operators import refine as rf
 from corvid.operators.loops import settled, written
 from corvid.session import table
 
-from .agent_queries import forward, searching
+from .agent_queries import best_of, with_index
 from .generation_queries import _FIRST
 from .registry import register
 from .retrieval_queries import SQL_INDEX, SQL_SPARSE, TOKS, benchmark
@@ -51,7 +51,7 @@ _ROWS = "cr AS (SELECT q_id, chain, pos, doc_id, said FROM (SELECT q_id, chain,
 
 def found_chains(spark, d):
     """(chains, triples): four hops over the triples of the five best documents of each question."""
-    hits = settled(forward(spark, d).search(benchmark(spark, d), 5))
+    hits = with_index(spark, d, lambda held: settled(held.search(benchmark(spark, d), 5)))
     own = settled(ch.triples_of_hits(hits, documents(spark, d)))
     return ch.chains(benchmark(spark, d), own, settled, HOPS), own
 
@@ -104,4 +104,4 @@ fr{k} AS MATERIALIZED (SELECT q_id, query, path, total FROM (SELECT *, row_numbe
 @register("pl11_three_levels", f"WITH {_IDX}, {tree_sql(3)} SELECT q_id, path, answer, prob FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY prob DESC, path) AS r FROM lv) WHERE r = 1")
 def pl11_three(spark, d):
     """Answer, rewrite, decompose or disambiguate on three levels; the best leaf of each question."""
-    return gn.query_tree(benchmark(spark, d), searching(spark, d), documents(spark, d), 3, written)
+    return with_index(spark, d, lambda held: gn.query_tree(benchmark(spark, d), best_of(held), documents(spark, d), 3, written))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corvid.operators import protocol as pr
 from corvid.operators.loops import written
 
-from .agent_queries import _IDX, searching
+from .agent_queries import _IDX, best_of, with_index
 from .generation_queries import _FIRST
 from .registry import register
 from .retrieval_queries import TOKS, benchmark
@@ -45,7 +45,7 @@ st{k} AS MATERIALIZED (SELECT * FROM st{k - 1} WHERE reason IS NOT NULL
 
 def run(spark, d, name):
     p = pr.PROTOCOLS[name]
-    return pr.run_protocol(benchmark(spark, d), searching(spark, d), documents(spark, d), p, pr.scripted(p), written)
+    return with_index(spark, d, lambda held: pr.run_protocol(benchmark(spark, d), best_of(held), documents(spark, d), p, pr.scripted(p), written))
 
 
 def _register(query_name: str, name: str) -> None:
