@@ -46,6 +46,8 @@ GROUPS = 256
 #: Shingles that the order puts last: at most so many (a broadcast of 8 bytes each), each held
 #: by over COMMON documents. Any such set is exact; it only shapes the cells.
 MOST_COMMON, COMMON = 100_000, 50
+#: Groups of a point up to which each shingle has one; more groups than this are for the longest sets.
+MOST_SHARP = 1024
 LEAF = 32
 #: Members of a cell that one task compares; larger cells are dealt as pairs of blocks.
 BLOCK = 4096
@@ -86,9 +88,11 @@ def point(shingles: np.ndarray, groups: int = GROUPS) -> bytes:
 
 
 def groups_of(n):
-    """Groups of the points of sets of these sizes: some four to eight shingles each, GROUPS at least. Of fewer, the
-    counts of two long unlike documents are much the same."""
-    return np.maximum(GROUPS, 1 << np.maximum(0, np.frexp(np.asarray(n, float))[1].astype(np.int64) - 3))
+    """Groups of the points of sets of these sizes: one for each shingle at least up to MOST_SHARP, then some four to
+    eight shingles each, GROUPS at least. Of fewer, the counts of two long unlike documents are much the same, and what
+    two near copies don't share meets by chance, so that a group of copies just below the bound leaves as all its pairs."""
+    bits = np.frexp(np.asarray(n, float))[1].astype(np.int64)
+    return np.maximum(np.clip(1 << bits, GROUPS, MOST_SHARP), 1 << np.maximum(0, bits - 3))
 
 
 def sharp_point(shingles: np.ndarray) -> bytes:

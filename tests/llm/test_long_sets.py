@@ -40,3 +40,14 @@ def test_no_link_is_lost_by_the_bounds():
     linked = np.array([bool(jc.enough(len(np.intersect1d(sets[a], sets[b])), n[a], n[b])) for a, b in zip(i, j)])
     assert linked.sum() > 8
     assert (p.near(i, j) & jc.enough(jc.overlap_bound(p.coarse[i], p.coarse[j], excess[i], excess[j]), n[i], n[j]))[linked].all()
+
+
+def test_a_group_just_below_the_bound_is_not_all_its_pairs(spark):
+    r = np.random.default_rng(7)
+    draw = lambda n: np.unique(r.integers(0, 2**63, n).astype(np.uint64))
+    base = draw(396)
+    sets = [np.unique(np.concatenate([r.permutation(base)[:357], draw(39)])) for _ in range(40)]
+    sets.append(np.unique(np.concatenate([sets[0][:370], draw(26)])))
+    links = {(a, b) for b in range(len(sets)) for a in range(b) if jc.enough(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]))}
+    got = {tuple(x) for x in jc.cell_pairs(members(spark, sets, [[7]] * len(sets)), 2).collect()}
+    assert links and links <= got and len(got) < 150, len(got)  # of 820
