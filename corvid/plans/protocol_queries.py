@@ -11,7 +11,6 @@ from .agent_queries import _IDX, best_of, with_index
 from .generation_queries import _FIRST
 from .registry import register
 from .retrieval_queries import TOKS, benchmark
-from .routing_queries import documents
 from .text_queries import WORDS
 
 
@@ -45,7 +44,7 @@ st{k} AS MATERIALIZED (SELECT * FROM st{k - 1} WHERE reason IS NOT NULL
 
 def run(spark, d, name):
     p = pr.PROTOCOLS[name]
-    return with_index(spark, d, lambda held: pr.run_protocol(benchmark(spark, d), best_of(held), documents(spark, d), p, pr.scripted(p), written))
+    return with_index(spark, d, lambda held: pr.run_protocol(benchmark(spark, d), best_of(held), held.kept, p, pr.scripted(p), written))
 
 
 def _register(query_name: str, name: str) -> None:
