@@ -122,31 +122,76 @@ def recover(response: pd.Series, original: pd.Series, kept: pd.Series) -> pd.Ser
 # --- triples ------------------------------------------------------------------------------
 
 
-def hop(beam: DataFrame, triples: DataFrame, width: int = 5, most: int = 20, least: float = 1e-4) -> DataFrame:
+#: Triples of at most so many terms are found by each set of their terms.
+FEW_TERMS = 6
+
+
+def term_bags(triples: DataFrame, settle) -> DataFrame:
+    """(triple, more, bag) of triples (triple, terms): their terms, and the different ones, those of many triples last.
+
+    The rows of one triple are taken together; a term of several of them stands in the bag as often.
+    """
+    held = settle(triples.where("triple IS NOT NULL"))
+    rows = held.withColumn("term", F.explode(F.array_distinct("terms"))).where("term IS NOT NULL")
+    counts = rows.groupBy("term").agg(F.count("*").alias("n"))
+    # no more than 1,000 terms; the order only decides how many sets a term has to be compared with
+    frequent = counts.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("total")))).where("1000 * n >= total").drop("total")
+    ranked = rows.join(F.broadcast(frequent), "term", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    bag = F.transform(F.array_sort(F.collect_list(F.struct("n", "term"))), lambda x: x["term"])
+    return ranked.groupBy("triple").agg(F.min("terms").alias("more"), bag.alias("bag"))
+
+
+def offers(bags: DataFrame, most: int) -> DataFrame:
+    """(term, shared, triples): for each set of terms that triples have in common the `most` first of them, under its rarest term.
+
+    A triple among the k best of a path that shares just this set with it comes behind fewer than k unused triples
+    of the set, as each of them shares as many terms at least; so with `most` of k and the path's length none is missed.
+    Triples of more than FEW_TERMS stand under each term, as one set that a path need not have whole.
+    """
+    sets = F.aggregate("bag", F.array(F.array().cast("array<string>")), lambda got, x: F.concat(got, F.transform(got, lambda s: F.concat(s, F.array(x)))))
+    sets = F.when(F.size("bag") > FEW_TERMS, F.array("bag")).otherwise(F.array_distinct(F.filter(sets, lambda s: F.size(s) > 0)))
+    rows = bags.select("triple", F.explode(sets).alias("shared"))
+    first = rows.withColumn("r", F.row_number().over(Window.partitionBy("shared").orderBy("triple"))).where(F.col("r") <= most)
+    terms = F.when(F.size("shared") > FEW_TERMS, F.array_distinct("shared")).otherwise(F.slice("shared", 1, 1))
+    return first.groupBy("shared").agg(F.collect_list("triple").alias("triples")).select(F.explode(terms).alias("term"), "shared", "triples")
+
+
+def hop(beam: DataFrame, bags: DataFrame, offered: DataFrame, width: int = 5, most: int = 20, least: float = 1e-4) -> DataFrame:
     """One hop of a beam (q_id, path array<long>, terms array<string>, prob): each path is offered the
-    `width` unused triples (triple, terms) that share most terms with the question and the path, by
+    `width` unused triples (of term_bags and their offers) that share most terms with the question and the path, by
     softmax of the shared terms; a question keeps its `most` most probable paths.
 
-    Candidates meet paths by a shared term, never all by all.
+    A question meets sets of shared terms and a path their first triples, so what is shuffled grows with the
+    different sets, not with the triples that have a frequent term.
     """
     key = ["q_id", "path"]
-    asked = beam.withColumn("term", F.explode(F.array_distinct("terms")))
-    offered = triples.select("triple", F.col("terms").alias("more"), F.explode(F.array_distinct("terms")).alias("term"))
-    shared = asked.join(offered, "term").where(~F.array_contains("path", F.col("triple"))).groupBy(*key, "triple").agg(F.count("*").alias("n"), F.first("terms").alias("terms"), F.first("more").alias("more"), F.first("prob").alias("prob"))
+    held = lambda terms: (F.size("shared") > FEW_TERMS) | F.forall("shared", lambda x: F.array_contains(terms, x))
+    paths = beam.groupBy(*key).agg(F.first("terms").alias("terms"), F.first("prob").alias("prob"), F.flatten(F.collect_list(F.array_distinct("terms"))).alias("has"))
+    asked = paths.groupBy("q_id").agg(F.array_distinct(F.flatten(F.collect_list("has"))).alias("asks"))
+    asked = asked.withColumn("term", F.explode("asks"))
+    near = asked.join(offered, "term").where(held("asks")).select(F.col("q_id").alias("_q"), "shared", "triples").dropDuplicates(["_q", "shared"])
+    n = F.aggregate("shared", F.lit(0), lambda got, x: got + F.size(F.filter("has", lambda y: y == x)))
+    met = paths.join(near, F.col("q_id").eqNullSafe(F.col("_q"))).where(held("has")).select(*key, "triples", n.alias("n")).where("n > 0")
+    met = met.withColumn("triple", F.explode("triples")).where(~F.array_contains("path", F.col("triple"))).groupBy(*key, "triple").agg(F.max("n").alias("n"))
     by = Window.partitionBy(*key)
-    best = shared.withColumn("r", F.row_number().over(by.orderBy(F.desc("n"), "triple"))).where(F.col("r") <= width)
+    best = met.withColumn("r", F.row_number().over(by.orderBy(F.desc("n"), "triple"))).where(F.col("r") <= width)
+    known = paths.select(F.col("q_id").alias("_q"), F.col("path").alias("_path"), "terms", "prob")
+    best = best.join(known, F.col("q_id").eqNullSafe(F.col("_q")) & (F.col("path") == F.col("_path"))).drop("_q", "_path")
     weight = F.exp(F.col("n") - F.max("n").over(by))
     chosen = best.withColumn("prob", F.round(F.col("prob") * weight / F.sum(weight).over(by), 9)).where(F.col("prob") >= least)
+    chosen = chosen.join(bags.select("triple", "more"), "triple")
     grown = chosen.select("q_id", F.concat("path", F.array("triple")).alias("path"), F.concat("terms", "more").alias("terms"), "prob")
     order = Window.partitionBy("q_id").orderBy(F.desc("prob"), "path")
     return grown.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most).drop("place")
 
 
-def chains(questions: DataFrame, triples: DataFrame, hops: int, settle, **options) -> DataFrame:
+def chains(questions: DataFrame, triples: DataFrame, hops: int, settle, width: int = 5, **options) -> DataFrame:
     """(q_id, path, prob) after at most `hops` hops; a path without a further triple stays as it is."""
     beam = questions.select("q_id", F.array().cast("array<long>").alias("path"), tx.tokens(F.col("text")).alias("terms"), F.lit(1.0).alias("prob"))
+    bags = settle(term_bags(triples, settle))
+    offered = settle(offers(bags, width + hops - 1))
     for _ in range(hops):
-        grown = settle(hop(beam, triples, **options))
+        grown = settle(hop(beam, bags, offered, width, **options))
         ended = beam.join(grown.select("q_id").dropDuplicates(), "q_id", "left_anti")
         beam = settle(grown.unionByName(ended))
     return beam.select("q_id", "path", "prob")
