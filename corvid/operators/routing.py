@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import threading
 import time
 import uuid
 import warnings
@@ -10,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import InheritableThread
+from pyspark import InheritableThread, SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,15 +31,16 @@ def tag(hits: DataFrame, source: str, corpus: str | None = None, multimodal: boo
     return hits.select(*keep, chunk.alias("chunk_id"), doc.alias("doc_id"), F.lit(source).alias("source"), F.lit(corpus).alias("corpus"), F.lit(multimodal).alias("multimodal"))
 
 
-def fan_out(searches: dict[str, Callable[[], DataFrame]], seconds: float = 3600) -> DataFrame:
+def fan_out(searches: dict[str, Callable[[], DataFrame]], seconds: float = 3600, whole: bool = False) -> DataFrame:
     """The union of the sources' hits under their names, searched side by side.
 
     Each source is settled in the shared folder by a thread of its own, its jobs under a tag. A source
     that can't be set up, fails in a task, or has not ended in time (its jobs are cancelled)
     is left out with a warning; only if none is left is that an error.
+    whole: no source may be missing. The first one that is lost is an error, and the others are cancelled.
     """
     spark = SparkSession.active()
-    sc, ended = spark.sparkContext, {}
+    sc, ended, lost = spark.sparkContext, {}, threading.Event()
 
     def settle(name: str, tag: str) -> None:
         sc.addJobTag(tag)
@@ -48,7 +50,8 @@ def fan_out(searches: dict[str, Callable[[], DataFrame]], seconds: float = 3600)
             hits.write.parquet(path)
             ended[name] = spark.read.schema(hits.schema).parquet(path)
         except Exception as why:  # noqa: BLE001  any source may fail in its own way
-            ended[name] = str(why).strip().split("\n")[0]
+            ended[name] = why
+            lost.set()
         finally:
             sc.removeJobTag(tag)
 
@@ -56,22 +59,41 @@ def fan_out(searches: dict[str, Callable[[], DataFrame]], seconds: float = 3600)
     for name, (tag, _) in threads.items():
         threads[name] = tag, InheritableThread(target=settle, args=(name, tag), daemon=True)
         threads[name][1].start()
-    until, found = time.monotonic() + seconds, None
-    for name, (tag, thread) in threads.items():
-        thread.join(max(0.0, until - time.monotonic()))
-        if thread.is_alive():
-            sc.cancelJobsWithTag(tag)
-        got = ended.get(name, f"no result within {seconds:g} seconds")
-        if isinstance(got, str):
-            warnings.warn(f"source {name} is left out: {got}", stacklevel=2)
+    until = time.monotonic() + seconds
+    for _, thread in threads.values():
+        while thread.is_alive() and time.monotonic() < until and not (whole and lost.is_set()):
+            thread.join(0.2)
+    got = dict(ended)  # what is cancelled from here on has not ended in time
+    late = [name for name in searches if name not in got]
+    for name in late:
+        sc.cancelJobsWithTag(threads[name][0])
+    said = {name: str(why).strip().split("\n")[0] for name, why in got.items() if isinstance(why, Exception)}
+    said |= dict.fromkeys(late, f"no result within {seconds:g} seconds")
+    if whole and said:
+        _end([threads[name] for name in late], sc)
+        name = next(iter(said))
+        raise RuntimeError(f"source {name} is lost: {said[name]}") from got.get(name)
+    found = None
+    for name in searches:
+        if name in said:
+            warnings.warn(f"source {name} is left out: {said[name]}", stacklevel=2)
             continue
-        hits = got.withColumn("source", F.lit(name))
+        hits = got[name].withColumn("source", F.lit(name))
         found = hits if found is None else found.unionByName(hits, allowMissingColumns=True)
     if found is None:
         raise RuntimeError("no source could be searched")
     return found
 
 
+def _end(threads: list[tuple[str, InheritableThread]], sc: SparkContext, seconds: float = 60) -> None:
+    """Cancels the jobs of these threads, those that they still begin too, until they have ended: the caller may delete what they read."""
+    until = time.monotonic() + seconds
+    while time.monotonic() < until and any(thread.is_alive() for _, thread in threads):
+        for tag, thread in threads:
+            sc.cancelJobsWithTag(tag)
+            thread.join(0.5)
+
+
 def share_of_weights(weights: Column, total: Column) -> Column:
     """Weights clamped at zero over their clamped total; equal halves where there is none."""
     return F.when(total > 0, F.greatest(weights, F.lit(0.0)) / total).otherwise(F.lit(0.5))
